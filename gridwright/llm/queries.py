@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("queries_p1",)
+MODULES = ("queries_p1", "queries_p6", "queries_p7")
 
 QUERIES: dict = {}
 ORACLES: dict = {}
