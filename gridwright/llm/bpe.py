@@ -159,6 +159,7 @@ def encode_texts(df: DataFrame, key: str = "doc_id", text: str = "text", path: s
 def count_tokens(df: DataFrame, text: str = "text", path: str = BYTE_BPE, name: str = "n_tokens") -> DataFrame:
     """All columns of ``df`` but the text, and the text's number of ids (0 if null or empty)."""
     rest = df.drop(text)
+    names = [*rest.columns, name]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema) + f", `{name}` bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,6 +168,6 @@ def count_tokens(df: DataFrame, text: str = "text", path: str = BYTE_BPE, name:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
                 counts = bpe.encode(part.column(part.num_columns - 1).to_pylist())[1]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(counts.astype(np.int64))], [*rest.columns, name])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(counts.astype(np.int64))], names)
 
     return df.select(*[F.col(f"`{c}`") for c in rest.columns], F.col(text)).mapInArrow(run, schema)

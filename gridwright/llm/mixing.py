@@ -20,6 +20,8 @@ from gridwright.session import written
 #: Targets are a table of settings; more sources than this is an error, not a truncation.
 MOST_SOURCES = 100_000
 SEED = 20310701
+#: As ``total_tokens``: the tokens of the targets' documents, each taken once.
+ALL = "all"
 
 
 def water_fill(weights: dict[str, float], sizes: dict[str, float], repeats: dict[str, float], total: float) -> dict[str, float]:
@@ -41,16 +43,29 @@ def water_fill(weights: dict[str, float], sizes: dict[str, float], repeats: dict
     return share
 
 
+def largest_total(weights: dict[str, float], sizes: dict[str, float], repeats: dict[str, float]) -> float:
+    """The largest total at which every source that has documents gets its weight's share.
+
+    Weights of sources without documents (or with a cap below one repetition's worth of
+    anything) go to the others in proportion, as nothing else can fill them.
+    """
+    able = [s for s, w in weights.items() if w > 0 and repeats[s] > 0 and sizes.get(s, 0.0) > 0]
+    whole = sum(weights[s] for s in able)
+    return min((repeats[s] * sizes[s] * whole / weights[s] for s in able), default=0.0)
+
+
 def hash_code(stage: int) -> Column:
     """BITS bits of a non-negative 63-bit hash, the stage-th group of them."""
     return F.shiftright(F.col("value"), 63 - BITS * (stage + 1)).bitwiseAND(F.lit((1 << BITS) - 1)).cast("int")
 
 
-def mix(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None, seed: int = SEED, path: str = BYTE_BPE) -> tuple[DataFrame, DataFrame]:
+def mix(docs: DataFrame, targets: DataFrame, total_tokens: float | str | None = None, seed: int = SEED, path: str = BYTE_BPE) -> tuple[DataFrame, DataFrame]:
     """(rows doc_id, source, n_tokens, copies; report by source) of a mixture.
 
     ``docs``: doc_id, source, text.  ``targets``: source, target_percent, max_repeats.
-    ``total_tokens``: size of the mixture; by default that of the sources' documents taken once.
+    ``total_tokens``: size of the mixture; by default the largest at which every source with
+    documents has its target share.  Beyond it, capped water-filling decides (``ALL`` stands for
+    the tokens of all documents once: small sources are then at their caps).
     Documents without tokens (null, empty) can't add to a share and are left out, as are those
     of sources without a target.  A null weight or cap counts as 0, weights needn't add up to
     100, and of repeated targets of one source the first in order of its columns counts.
@@ -67,7 +82,9 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None,
     if len(rows) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
     size = {r[0]: float(r[3]) for r in rows}
-    share = water_fill({r[0]: r[1] for r in rows}, size, {r[0]: r[2] for r in rows}, sum(size.values()) if total_tokens is None else total_tokens)
+    weights, caps = {r[0]: r[1] for r in rows}, {r[0]: r[2] for r in rows}
+    total = largest_total(weights, size, caps) if total_tokens is None else sum(size.values()) if total_tokens == ALL else total_tokens
+    share = water_fill(weights, size, caps, total)
     plan, whole = [], {}
     for source, weight, cap, tokens, docs_n in rows:
         whole[source] = int(share[source] // tokens) if tokens else 0

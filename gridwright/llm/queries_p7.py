@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from gridwright.llm.mixing import mix
+from gridwright.llm.mixing import ALL, mix
 from gridwright.session import table
 
 
-def _run(spark, sf_dir):
-    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+def _run(spark, sf_dir, total=None):
+    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"), total)
 
 
 def p7_mix(spark, sf_dir):
@@ -18,5 +18,14 @@ def p7_shares(spark, sf_dir):
     return _run(spark, sf_dir)[1]
 
 
-QUERIES = {"p7_mix": p7_mix, "p7_shares": p7_shares}
+def p7_mix_all(spark, sf_dir):
+    """The mixture as large as all documents once: sources too small for that are at their caps."""
+    return _run(spark, sf_dir, ALL)[0]
+
+
+def p7_shares_all(spark, sf_dir):
+    return _run(spark, sf_dir, ALL)[1]
+
+
+QUERIES = {"p7_mix": p7_mix, "p7_shares": p7_shares, "p7_mix_all": p7_mix_all, "p7_shares_all": p7_shares_all}
 ORACLES: dict = {}
