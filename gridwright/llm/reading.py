@@ -186,7 +186,7 @@ def rising_curve(x: list[float], y: list[float]) -> tuple[list[float], list[floa
     blocks: list[list[float]] = []
     for a, b in sorted(zip(x, y, strict=True)):
         blocks.append([a, b, 1.0])
-        while len(blocks) > 1 and blocks[-2][1] >= blocks[-1][1]:
+        while len(blocks) > 1 and (blocks[-2][1] >= blocks[-1][1] or blocks[-2][0] >= blocks[-1][0]):
             a2, b2, n2 = blocks.pop()
             a1, b1, n1 = blocks.pop()
             n = n1 + n2
