@@ -118,6 +118,16 @@ def example_logs(texts: list[str]) -> np.ndarray:
         return np.log(hits / hits.sum())
 
 
+MARKUP = regex.compile(r"[\s\p{P}\p{S}\p{Cf}\p{Z}]+")
+JAMO_ONLY = regex.compile(r"[ㄱ-ㅎ\s]*[ㄱ-ㅎ]{3}[ㄱ-ㅎ\s]*")
+NOTHING = {"", "na", "null", "none", "nil", "nan", "없음"}
+
+
+def bare(text: str | None) -> bool:
+    """No content: nothing but white space, marks, markup, or a word that means nothing."""
+    return not text or MARKUP.sub("", TAG.sub("", plain(text))).lower() in NOTHING
+
+
 # -- models -------------------------------------------------------------------------------
 class ResidueModel:
     """Log likelihood ratios of n-gram bins: the best residue model against natural prose.
@@ -156,9 +166,10 @@ class ResidueModel:
         """(is residue, share covered, unfilled placeholders)."""
         if not text or not text.strip():
             return False, 0.0, 0
-        shown = blank_code(plain(text))
-        spots = placeholders(shown)
-        cover = self.cover(text)
+        spots = placeholders(blank_code(plain(text)))
+        if not spots and bare(text):
+            return False, 0.0, 0
+        cover = 1.0 if JAMO_ONLY.fullmatch(plain(text)) else self.cover(text)
         return bool(spots) or cover >= COVER, cover, len(spots)
 
 
