@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("queries_p1", "queries_p3", "queries_p4", "queries_p6", "queries_p7", "queries_p8")
+MODULES = ("queries_p1", "queries_p2", "queries_p3", "queries_p4", "queries_p6", "queries_p7", "queries_p8")
 
 QUERIES: dict = {}
 ORACLES: dict = {}
