@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from gridwright.llm.reading import WORD, language
 from gridwright.llm.refusal_seeds import COMPANIONS, refusal_texts
-from gridwright.llm.residue import BINS, CLIP, FENCE, FORMULA, INLINE, MACRO, TAG, ResidueModel, bare, codes, example_logs, modelled, plain
+from gridwright.llm.residue import BINS, CLIP, FORMULA, TAG, WINDOW, ResidueModel, bare, blank_code, codes, covered, example_logs, lettered, modelled, placeholders, plain, without_code
 from gridwright.session import written
 
 DEFECTS = ("empty", "truncated", "refusal", "copies_question", "other_language")
@@ -57,53 +57,73 @@ SPEECH = regex.compile(r"[\p{L}]{2,}")
 
 
 def prose(text: str) -> str:
-    """Text without code and formulas, one sentence a line where code was."""
-    text = MACRO.sub("\n", FENCE.sub("\n", TAG.sub("\n", text)))
-    return FORMULA.sub("\n", INLINE.sub(" ", text))
+    """Plain text without code and formulas, one sentence a line where code was."""
+    return without_code(TAG.sub("\n", text) if "<" in text else text, "\n")
 
 
-def masked(text: str) -> list[str]:
-    """Sentences with names, functions, cells and numbers masked, in small letters."""
+def mask(part: str) -> str:
+    for pattern, sub in MASKS:
+        part = pattern.sub(sub, part)
+    return part.lower()
+
+
+def parts(text: str) -> list[str]:
+    """Sentences of a text, without quote and list marks, white space single."""
     out = []
     for part in SPLIT.split(text):
-        part = regex.sub(r"\s+", " ", QUOTE.sub("", part)).strip(" \t*_-")
+        part = " ".join((QUOTE.sub("", part) if ">" in part else part).split()).strip(" *_-")
         if part:
-            for pattern, sub in MASKS:
-                part = pattern.sub(sub, part)
-            out.append(part.lower())
+            out.append(part)
     return out
 
 
+def masked(text: str) -> list[str]:
+    """Sentences with names, functions, cells and numbers masked, in small letters."""
+    return [mask(part) for part in parts(text)]
+
+
 def stops_short(shown: str) -> bool:
     """Forms that show by themselves that a text goes on: an ellipsis with 'more', an open
     formula, macro or list, a colon or comma at the end."""
     end = shown.rstrip()
-    if CUT_MARK.search(end):
+    if CUT_MARK.search(end, pos=max(0, len(end) - 40)):
         return True
     if MACRO_HEAD.search(end) and not MACRO_END.search(end):
         return True
     if end.count("```") % 2:
         return True
-    half = HALF_FORMULA.search(end.rstrip("`"))
+    half = HALF_FORMULA.search(end.rstrip("`")) if "=" in end else None
     if half:
-        rest = regex.sub(r'"[^"]*"', "", half.group("rest"))
+        rest = STRING.sub("", half.group("rest"))
         level = 0
         for k, ch in enumerate(rest):
             level += (ch == "(") - (ch == ")")
-            if ch == ")" and level == 0 and k + 1 < len(rest) and regex.match(r"\}?\s+\S", rest[k + 1 :]) and not regex.match(r"\s*[-+*/&^<>=]", rest[k + 1 :]):
+            if ch == ")" and level == 0 and k + 1 < len(rest) and AFTER.match(rest, pos=k + 1):
                 return False  # prose after the formula
-        if level > 0 or not rest.strip() or regex.search(r"[-+*/&^(,]\s*(?:[A-Za-z]+)?$", rest):
+        if level > 0 or not rest.strip() or OPEN_END.search(rest):
             return True
-    return bool(regex.search(r"[:,]$|(?:^|\n|[.!?:]\s)\d{1,2}[.)]$|\s[-*•]$", end))
+    return bool(GOES_ON.search(end))
+
+
+STRING, AFTER = regex.compile(r'"[^"]*"'), regex.compile(r"\}?\s+[^\s\-+*/&^<>=]")
+OPEN_END = regex.compile(r"[-+*/&^(,]\s*(?:[A-Za-z]+)?$")
+GOES_ON = regex.compile(r"[:,]$|(?:^|\n|[.!?:]\s)\d{1,2}[.)]$|\s[-*•]$")
+
+
+NOT_WORD = regex.compile(r"[\W_]+")
 
 
 def grams(text: str) -> set[str]:
-    flat = regex.sub(r"[\W_]+", " ", text.lower()).strip()
+    flat = NOT_WORD.sub(" ", text.lower()).strip()
     return {flat[k : k + 3] for k in range(len(flat) - 2)}
 
 
-def copies(answer: str, question: str, title: str) -> bool:
+def copies(answer: str, question: str) -> bool:
     """The answer says what the question says and hardly anything else."""
+    heard = set(question.lower().split())
+    told = answer.lower().split()
+    if 3 * sum(w in heard for w in told) < len(told):
+        return False
     said = answer
     for _ in range(2):
         said = LEAD.sub("", QUOTE.sub("", said).strip())
@@ -130,22 +150,16 @@ class RefusalModel:
     def _clip(best: np.ndarray, base: np.ndarray) -> np.ndarray:
         return np.clip(np.where(np.isinf(best), -CLIP * 0.6, best - base), -CLIP, CLIP).astype(np.float32)
 
-    def cover(self, text: str) -> tuple[float, float]:
+    def cover(self, at: np.ndarray, letters: np.ndarray) -> tuple[float, float]:
         """Share of letters in refusal windows, and the largest window mean of refusals proper."""
-        read = modelled(text)
-        letters = np.fromiter((c.isalnum() for c in read), bool, len(read))
         if letters.sum() < 8:
             return 0.0, 0.0
-        at = codes(read)[: len(read)]
-        width = min(14, len(at))
-        one = np.ones(width)
-        sums = np.convolve(self.ratio[at], one, "valid") / width
-        inside = np.zeros(len(read) + 1)
-        hot = np.flatnonzero(sums > 0.5)
-        np.add.at(inside, hot, 1)
-        np.add.at(inside, np.minimum(hot + width, len(read)), -1)
-        covered = np.cumsum(inside)[:-1] > 0
-        return float((covered & letters).sum() / letters.sum()), float((np.convolve(self.core[at], one, "valid") / width).max())
+        share = covered(self.ratio[at], letters, 0.5)
+        if share < REFUSED:
+            return share, 0.0
+        width = min(WINDOW, len(at))
+        total = np.concatenate(([0.0], np.cumsum(self.core[at], dtype=np.float64)))
+        return share, float((total[width:] - total[:-width]).max() / width)
 
 
 class PairJudge:
@@ -156,40 +170,43 @@ class PairJudge:
 
     def judge(self, text: str | None, markdown: str | None, title: str | None, body: str | None) -> tuple[str, str | None, str | None]:
         """(defect or '' or 'residue', masked last sentence without an end mark, language)."""
-        if bare(text) and not self.residue.judge(text)[0]:
+        if bare(text) and not (text and placeholders(blank_code(plain(text)))):
             if bare(markdown):
                 return "empty", None, ""
             text = markdown
-        if self.residue.judge(text)[0]:
-            return "residue", None, ""
         shown = plain(text).strip()
+        read = modelled(text)
+        at, letters = codes(read)[: len(read)], lettered(read)
+        if self.residue.judge(text, (at, letters))[0]:
+            return "residue", None, ""
         question = plain(f"{title or ''}\n{body or ''}")
-        if copies(TAG.sub(" ", shown), question, title or ""):
+        if copies(TAG.sub(" ", shown) if "<" in shown else shown, question):
             return "copies_question", None, ""
         said = prose(shown)
-        words = [w.lower() for w in WORD.findall(said)]
-        has_code = bool(FORMULA.search(shown) or MACRO_HEAD.search(shown))
+        words = WORD.findall(said.lower())
+        has_code = "=" in shown and FORMULA.search(shown) or MACRO_HEAD.search(shown)
         if not has_code and words:
-            cover, core = self.refusal.cover(text)
+            cover, core = self.refusal.cover(at, letters)
             if cover >= REFUSED and core > 0.8:
                 return "refusal", None, ""
         if stops_short(shown):
             return "truncated", None, ""
         if len(words) >= 4:
-            asked = question_language(question)
             told = language(words)
-            if asked and told and asked != told:
+            asked = question_language(question) if told else ""
+            if asked and asked != told:
                 return "other_language", None, told
-        flat = TAG.sub(" ", shown).rstrip(" *_>")
+        flat = (TAG.sub(" ", shown) if "<" in shown else shown).rstrip(" *_>")
         tail = None
-        if flat and not END_MARK.search(flat) and not regex.search(r"[)\]`}\"]$", flat):
-            last = masked(said)
-            tail = last[-1] if last and len(last[-1]) >= LEAST_HEAD else None
+        if flat and flat[-1] not in ")]`}\"" and not END_MARK.search(flat, pos=max(0, len(flat) - 12)):
+            last = parts(said)
+            end = mask(last[-1]) if last else ""
+            tail = end if len(end) >= LEAST_HEAD else None
         return "", tail, ""
 
 
 def question_language(question: str) -> str:
-    return language([w.lower() for w in WORD.findall(FORMULA.sub(" ", question))])
+    return language(WORD.findall(without_code(question).lower()))
 
 
 def sentence_counts(pairs: DataFrame) -> DataFrame:
@@ -210,11 +227,12 @@ def sentence_counts(pairs: DataFrame) -> DataFrame:
             for text in batch.column(0).to_pylist():
                 if text:
                     shown = plain(text).strip()
-                    parts = masked(prose(shown))
-                    if parts:
-                        inner.update(parts[:-1])
-                        whole = END_MARK.search(TAG.sub(" ", shown).rstrip(" *_>"))
-                        (inner if whole else ends).update(parts[-1:])
+                    every = masked(prose(shown))
+                    if every:
+                        inner.update(every[:-1])
+                        flat = (TAG.sub(" ", shown) if "<" in shown else shown).rstrip(" *_>")
+                        whole = END_MARK.search(flat, pos=max(0, len(flat) - 12))
+                        (inner if whole else ends).update(every[-1:])
             if len(inner) + len(ends) > 100_000:
                 yield drain()
         yield drain()

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from statistics import median
@@ -33,8 +34,6 @@ STOPWORDS = {
     "es": "el la los las de del que y en un una para por con no es se lo su al como más pero si ya hay cuando este esta aquí muy también mi tu me te porque puedes sin desde hasta sobre entre",
     "fr": "le la les de des du et est un une pour dans que qui ne pas sur avec ce cette il elle je tu vous nous se son sa ses au aux mais ou où si plus car par en même aussi puis mon ton votre c'est d'un j'ai l'on",
 }
-_STOP = {w: lang for lang in reversed(("en", "de", "es", "fr")) for w in STOPWORDS[lang].split()}
-_SHARED = {w for w in _STOP if sum(w in STOPWORDS[lang].split() for lang in STOPWORDS) > 1}
 _SETS = {lang: frozenset(STOPWORDS[lang].split()) for lang in STOPWORDS}
 
 FENCE = regex.compile(r"```.*?(?:```|\Z)|~~~.*?(?:~~~|\Z)", regex.S)
@@ -76,10 +75,10 @@ def language(words: list[str]) -> str:
     """The language of most words: Hangul by script, the others by their frequent words."""
     if not words:
         return ""
-    hangul = sum(1 for w in words if "가" <= w[0] <= "힣")
-    if hangul * 3 > len(words):
+    times = Counter(words)
+    if sum(n for w, n in times.items() if "가" <= w[0] <= "힣") * 3 > len(words):
         return "ko"
-    votes = {lang: sum(1 for w in words if w in known) for lang, known in _SETS.items()}
+    votes = {lang: sum(times[w] for w in times.keys() & known) for lang, known in _SETS.items()}
     best = max(votes, key=votes.get)
     return best if votes[best] >= max(1, 0.06 * len(words)) else ""
 

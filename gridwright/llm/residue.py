@@ -41,12 +41,17 @@ MACRO = regex.compile(r"\bSub \w+\(\).*?(?:End Sub|\Z)", regex.S)
 
 
 def plain(text: str) -> str:
-    """Text as read: entities resolved, compatibility forms folded, white space single."""
-    text = unicodedata.normalize("NFKC", html.unescape(html.unescape(text)))
+    """Text as read: entities resolved, compatibility forms folded."""
+    if "&" in text:
+        text = html.unescape(html.unescape(text))
+    if text.isascii():
+        return text
+    text = unicodedata.normalize("NFKC", text)
     # jamo of keyboard mash are folded to conjoining ones; back to the ones on the keys
-    return "".join(chr(_JAMO[c]) if (c := ord(ch)) in _JAMO else ch for ch in text) if any("ᄀ" <= ch <= "ᄒ" for ch in text) else text
+    return text.translate(_JAMO) if _CONJOINING.search(text) else text
 
 
+_CONJOINING = regex.compile("[ᄀ-ᄒ]")
 _JAMO = {0x1100 + k: ord(c) for k, c in enumerate("ㄱㄲㄴㄷㄸㄹㅁㅂㅃㅅㅆㅇㅈㅉㅊㅋㅌㅍㅎ")}
 
 
@@ -55,10 +60,26 @@ REFERENCE = regex.compile(r"[(\[#]* ?\b(?:ref(?:erence)?|request[ -]id|incident|
 SITE = regex.compile(r"\s*(?:\||::|[-–—])\s*(?:엑셀 게시판|질문답변|커뮤니티|엑셀|오빠두\S*|community|forum|q&a)\s*$", regex.I)
 
 
+def without_code(text: str, gap: str = " ") -> str:
+    """Text without fenced and inline code, macros and formulas."""
+    if "`" in text:
+        text = INLINE.sub(" ", FENCE.sub(gap, text))
+    if "Sub " in text:
+        text = MACRO.sub(gap, text)
+    return FORMULA.sub(gap, text) if "=" in text else text
+
+
 def modelled(text: str) -> str:
     """What the n-gram models read: visible prose in small letters, a run of digits as one 0."""
-    text = SITE.sub("", REFERENCE.sub(" ", TAG.sub(" ", plain(MACRO.sub(" ", FORMULA.sub(" ", INLINE.sub(" ", FENCE.sub(" ", text))))))))
-    return regex.sub(r"\s+", " ", regex.sub(r"\d+", "0", text.lower())).strip()
+    text = plain(without_code(text))
+    if "<" in text:
+        text = TAG.sub(" ", text)
+    if "(" in text or "[" in text or "#" in text:
+        text = REFERENCE.sub(" ", text)
+    return " ".join(DIGITS.sub("0", SITE.sub("", text).lower()).split())
+
+
+DIGITS = regex.compile(r"\d+")
 
 
 def codes(text: str) -> np.ndarray:
@@ -82,13 +103,16 @@ PLACEHOLDER = regex.compile(f"{DOUBLE}|{ASKING}|(?i:{SINGLE})", regex.I)
 PRINTF = regex.compile(r"%[sd](?!\w)|\{\d\}")
 #: Words of sentences that speak about placeholders, scripts or templates.
 ABOUT = regex.compile(r"placeholder|mail merge|merge field|field shows|format call|format string|format code|template|office script|backtick|preview|script(?:ing)? language|variable|메일 병합|필드|서식|스크립트에서|변수|템플릿|미리 보기|\] ?칸|Platzhalter|Vorlage|Serienbrief|modèle|publipostage|plantilla|combinación", regex.I)
-SENTENCE = regex.compile(r"[^.!?\n]*(?:[.!?]+(?=\s|$)|\n|$)")
+#: No placeholder is without one of these.
+HINT = regex.compile(r"[\[{<%@#$]|__|XX|TODO|todo")
 
 
 def placeholders(text: str) -> list[tuple[int, int]]:
     """Places of unfilled placeholders in a text whose code is blanked out."""
+    out: list[tuple[int, int]] = []
+    if not HINT.search(text):
+        return out
     whole_page = regex.search(r"<html|</", text, regex.I)
-    out = []
     for m in PLACEHOLDER.finditer(text):
         if whole_page and regex.fullmatch(r"</?\w+>", m.group()):
             continue
@@ -104,11 +128,17 @@ def placeholders(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def _blank(m) -> str:
+    return " " * len(m.group())
+
+
 def blank_code(text: str) -> str:
-    for pattern in (FENCE, INLINE, MACRO):
-        text = pattern.sub(lambda m: " " * len(m.group()), text)
+    if "`" in text:
+        text = INLINE.sub(_blank, FENCE.sub(_blank, text))
+    if "Sub " in text:
+        text = MACRO.sub(_blank, text)
     # a formula's braces are no placeholder
-    return regex.sub(r"\{=[^{}]*\}", lambda m: " " * len(m.group()), text)
+    return regex.sub(r"\{=[^{}]*\}", _blank, text) if "{=" in text else text
 
 
 def example_logs(texts: list[str]) -> np.ndarray:
@@ -129,6 +159,27 @@ def bare(text: str | None) -> bool:
 
 
 # -- models -------------------------------------------------------------------------------
+def lettered(text: str) -> np.ndarray:
+    """Which characters are letters or digits (beyond ASCII: all but blanks and marks)."""
+    points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+    return _LETTER[np.minimum(points, 128)] & ~((points >= 0x2000) & (points < 0x2070)) & ~((points >= 0x3000) & (points < 0x3020))
+
+
+_LETTER = np.array([chr(k).isalnum() for k in range(128)] + [True])
+
+
+def covered(score: np.ndarray, letters: np.ndarray, least: float) -> float:
+    """Share of the letters in windows whose mean score exceeds ``least``."""
+    size = len(score)
+    width = min(WINDOW, size)
+    total = np.concatenate(([0.0], np.cumsum(score, dtype=np.float64)))
+    hot = np.flatnonzero(total[width:] - total[:-width] > least * width)
+    if not len(hot):
+        return 0.0
+    inside = np.bincount(hot, minlength=size + 1)[: size + 1] - np.bincount(np.minimum(hot + width, size), minlength=size + 1)[: size + 1]
+    return float((letters & (np.cumsum(inside)[:-1] > 0)).sum() / letters.sum())
+
+
 class ResidueModel:
     """Log likelihood ratios of n-gram bins: the best residue model against natural prose.
 
@@ -146,30 +197,19 @@ class ResidueModel:
             best = np.maximum(best, example_logs(texts))
         self.ratio = np.clip(np.where(np.isinf(best), -CLIP * 0.6, best - base), -CLIP, CLIP).astype(np.float32)
 
-    def cover(self, text: str) -> float:
-        """Share of a text's letters and digits that lie in residue windows."""
-        prose = modelled(text)
-        letters = np.fromiter((c.isalnum() for c in prose), bool, len(prose))
-        if letters.sum() < LEAST:
-            return 0.0
-        score = self.ratio[codes(prose)][: len(prose)]
-        width = min(WINDOW, len(score))
-        sums = np.convolve(score, np.ones(width), "valid") / width
-        inside = np.zeros(len(prose) + 1)
-        hot = np.flatnonzero(sums > RATIO)
-        np.add.at(inside, hot, 1)
-        np.add.at(inside, np.minimum(hot + width, len(prose)), -1)
-        covered = np.cumsum(inside)[:-1] > 0
-        return float((covered & letters).sum() / letters.sum())
-
-    def judge(self, text: str | None) -> tuple[bool, float, int]:
-        """(is residue, share covered, unfilled placeholders)."""
+    def judge(self, text: str | None, read: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[bool, float, int]:
+        """(is residue, share covered, unfilled placeholders); ``read``: n-grams and letters, if known."""
         if not text or not text.strip():
             return False, 0.0, 0
-        spots = placeholders(blank_code(plain(text)))
-        if not spots and bare(text):
+        shown = plain(text)
+        spots = placeholders(blank_code(shown))
+        if not spots and len(text) < 60 and bare(text):
             return False, 0.0, 0
-        cover = 1.0 if JAMO_ONLY.fullmatch(plain(text)) else self.cover(text)
+        if read is None:
+            prose = modelled(text)
+            read = codes(prose)[: len(prose)], lettered(prose)
+        cover = covered(self.ratio[read[0]], read[1], RATIO) if read[1].sum() >= LEAST else 0.0
+        cover = 1.0 if "ㄱ" <= shown[:1] <= "ㅎ" and JAMO_ONLY.fullmatch(shown) else cover
         return bool(spots) or cover >= COVER, cover, len(spots)
 
 
