@@ -18,28 +18,29 @@ BLOCKS = frozenset(("p", "br", "div", "li", "tr", "h1", "h2", "h3", "h4", "ul",
 class _Text(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.out, self.skip, self.code, self.links = [], 0, [], []
+        self.out, self.open, self.code, self.links = [], [], [], []
 
     def handle_starttag(self, tag, attrs):
-        if tag in ("pre", "code"):
+        if tag in ("pre", "code") and not any(t in ("pre", "code") for t in self.open):
             self.code.append("")
         if tag in SKIP and tag != "img":
-            self.skip += 1
+            self.open.append(tag)
         if tag in BLOCKS:
             self.out.append(" ")
         if tag == "a":
             self.links.extend(v for k, v in attrs if k == "href" and v)
 
     def handle_endtag(self, tag):
-        if tag in SKIP and tag != "img" and self.skip:
-            self.skip -= 1
+        if tag in self.open:
+            while self.open.pop() != tag:
+                pass
         if tag in BLOCKS:
             self.out.append(" ")
 
     def handle_data(self, data):
-        if not self.skip:
+        if not self.open:
             self.out.append(data)
-        elif self.code:
+        elif self.open[-1] in ("pre", "code"):
             self.code[-1] += data
 
 
