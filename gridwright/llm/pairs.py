@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from gridwright.llm.reading import WORD, language
 from gridwright.llm.refusal_seeds import COMPANIONS, refusal_texts
-from gridwright.llm.residue import BINS, CLIP, FORMULA, TAG, WINDOW, ResidueModel, bare, blank_code, codes, covered, example_logs, lettered, modelled, placeholders, plain, without_code
+from gridwright.llm.residue import CLIP, FORMULA, TAG, WINDOW, ResidueModel, bare, blank_code, codes, covered, example_logs, lettered, modelled, natural_logs, placeholders, plain, without_code
 from gridwright.session import written
 
 DEFECTS = ("empty", "truncated", "refusal", "copies_question", "other_language")
@@ -140,8 +140,7 @@ class RefusalModel:
     """Log likelihood ratios of refusal against the corpus's prose."""
 
     def __init__(self, natural: np.ndarray):
-        prior = 0.5
-        base = np.log((natural + prior) / (natural.sum() + prior * BINS))
+        base = natural_logs(natural)
         best = np.maximum(example_logs(refusal_texts()), example_logs(COMPANIONS))
         self.core = self._clip(example_logs(refusal_texts()), base)
         self.ratio = self._clip(best, base)
@@ -277,8 +276,11 @@ def cut_sentences(counts: DataFrame) -> DataFrame:
 
 
 def length_limits(judged: DataFrame) -> DataFrame:
-    """Lengths at which far more answers stop, without an end mark, than at those around."""
-    lengths = judged.filter("tail is not null").groupBy("size").count()
+    """Lengths at which answers stop in far more ways, without an end mark, than at those around.
+
+    Different ends are counted, not answers: copies of one answer, or a common closing, are one.
+    """
+    lengths = judged.filter("tail is not null").select("size", "tail").distinct().groupBy("size").count()
     near = W.orderBy("size").rangeBetween(-AROUND, AROUND)
     # one row a length: as many as the longest answer has characters, whatever the corpus
     mean = (F.sum("count").over(near) - F.col("count")) / (2 * AROUND)

@@ -159,6 +159,16 @@ def bare(text: str | None) -> bool:
 
 
 # -- models -------------------------------------------------------------------------------
+#: Share of natural prose that is left to n-grams not seen in the corpus, alike at every size.
+UNSEEN = 0.02
+
+
+def natural_logs(counts: np.ndarray) -> np.ndarray:
+    """Log frequency of each bin in the corpus, smoothed."""
+    total = max(float(counts.sum()), 1.0)
+    return np.log(((1 - UNSEEN) * counts + UNSEEN * total / BINS) / total)
+
+
 def lettered(text: str) -> np.ndarray:
     """Which characters are letters or digits (beyond ASCII: all but blanks and marks)."""
     points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
@@ -188,8 +198,7 @@ class ResidueModel:
     """
 
     def __init__(self, natural: np.ndarray):
-        prior = 0.5
-        base = np.log((natural + prior) / (natural.sum() + prior * BINS))
+        base = natural_logs(natural)
         for texts in (refusal_texts(), COMPANIONS, SHORT_ANSWERS):
             base = np.maximum(base, example_logs(texts))
         best = np.full(BINS, -np.inf)
