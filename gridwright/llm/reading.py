@@ -103,7 +103,7 @@ def syllables(word: str, lang: str = "en") -> int:
         count -= 1
     if regex.search(r"[^aeiouy]e(?:ly|ment|ments|ful|less|ness)$", word):
         count -= 1
-    count += len(regex.findall(r"ia(?!l|n$|ns$|nce|nt|ble)|(?<![ctgsx])ia(?=l|n|b)|io(?!us|n)|(?<![ctgsx])io(?=us|n)|iu|[^gq]ua|(?<!p)eo(?!u)|(?<![cgt])eou|(?<=[aeiouy].{1,9})[^aeiouy]ea$|^(?:re)?creat|[aeou]ing|uou|y[aio]|sm$|sms$", word))
+    count += len(regex.findall(r"ia(?!l|n$|ns$|nce|nt|ble)|(?<![ctgsx])ia(?=l|n|b)|io(?!us|n)|(?<![ctgsx])io(?=us|n)|iu|[^gq]ua|(?<!p)eo(?!u)|(?<![cgt])eou|(?<=[aeiouy].{0,9})[^aeiouy]ea$|^(?:re)?creat|[aeou]ing|uou|y[aio]|sm$|sms$", word))
     return max(1, count)
 
 
