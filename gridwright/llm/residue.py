@@ -149,7 +149,9 @@ def example_logs(texts: list[str]) -> np.ndarray:
 
 
 MARKUP = regex.compile(r"[\s\p{P}\p{S}\p{Cf}\p{Z}]+")
-JAMO_ONLY = regex.compile(r"[ㄱ-ㅎ\s]*[ㄱ-ㅎ]{3}[ㄱ-ㅎ\s]*")
+#: Whole texts that are too short for windows: nothing but loose consonants (and numbers), or
+#: a single word struck on one row of keys, without vowels.
+MASHED = regex.compile(r"(?=[^ㄱ-ㅎ]*[ㄱ-ㅎ]\s?[ㄱ-ㅎ])[ㄱ-ㅎ\s\d]+|\s*(?:[sdfghjkl]{2,}|[qwrtp]{2,})\s*")
 NOTHING = {"", "na", "null", "none", "nil", "nan", "없음"}
 
 
@@ -218,7 +220,7 @@ class ResidueModel:
             prose = modelled(text)
             read = codes(prose)[: len(prose)], lettered(prose)
         cover = covered(self.ratio[read[0]], read[1], RATIO) if read[1].sum() >= LEAST else 0.0
-        cover = 1.0 if "ㄱ" <= shown[:1] <= "ㅎ" and JAMO_ONLY.fullmatch(shown) else cover
+        cover = 1.0 if len(shown) < 200 and MASHED.fullmatch(shown) else cover
         return bool(spots) or cover >= COVER, cover, len(spots)
 
 
