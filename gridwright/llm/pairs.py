@@ -26,11 +26,13 @@ from gridwright.session import written
 
 DEFECTS = ("empty", "truncated", "refusal", "copies_question", "other_language")
 #: Share of an answer's n-grams in the question that makes it a copy, and its fewest words.
-COPY, COPY_WORDS = 0.8, 4
+COPY, COPY_WORDS = 0.8, 5
 #: Share of the letters that refusal must cover.
 REFUSED = 0.6
 #: A cut sentence's full version is at least so many times as frequent as the cut one as an end.
 OFTEN = 3
+#: Ends without a mark count a WHOLE-th as whole sentences.
+WHOLE = 4
 #: Characters of a sentence's head that keep sorted neighbours in one task; shorter ends are
 #: looked up among all heads down to LEAST_HEAD characters.
 HEAD, LEAST_HEAD = 12, 3
@@ -127,7 +129,7 @@ def copies(answer: str, question: str) -> bool:
     said = answer
     for _ in range(2):
         said = LEAD.sub("", QUOTE.sub("", said).strip())
-    if len(SPEECH.findall(said)) < COPY_WORDS:
+    if len(set(SPEECH.findall(said.lower()))) < COPY_WORDS:
         return False
     words, asked = Counter(SPEECH.findall(said.lower())), set(SPEECH.findall(question.lower()))
     if sum(n for w, n in words.items() if w in asked) < 0.5 * sum(words.values()):
@@ -242,11 +244,15 @@ def sentence_counts(pairs: DataFrame) -> DataFrame:
 def cut_sentences(counts: DataFrame) -> DataFrame:
     """Ends that are the beginning of a more frequent whole sentence (column ``tail``).
 
+    An end without a mark is itself a whole sentence if it is frequent by far (a closing):
+    a WHOLE-th of its number counts then.
+
     In text order, the sentences that begin with an end follow it directly.  Sorting by range
     of the first HEAD characters keeps each such run in one task, which reads it as a stream
     and holds only the chain of prefixes of the current sentence.  Shorter ends are matched
     with the heads of all whole sentences by an equi-join.
     """
+    counts = counts.withColumn("inner", F.greatest("inner", F.floor(F.col("ends") / WHOLE)))
     head = F.substring("sentence", 1, HEAD)
     long = counts.filter(F.length("sentence") >= HEAD).select(head.alias("head"), "sentence", "inner", "ends").repartitionByRange("head").sortWithinPartitions("sentence")
 

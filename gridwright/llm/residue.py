@@ -96,7 +96,7 @@ def codes(text: str) -> np.ndarray:
 # fixed values: names of the fields that page and mail templates fill in
 FIELDS = "title|subject|body|content|contents|text|answer|question|message|comment|category|board|topic|product|author|agent|date|name|user|user_name|username|first_name|last_name|nickname|post_title|post|link|url|steps|range|formula|code|image|file|email|company|price|description"
 _NAME = r"[A-Za-z가-힣][\w.]*(?: [A-Za-z가-힣][\w.]*){0,2}"
-DOUBLE = rf"\{{\{{[^{{}}\n]{{1,40}}\}}\}}|\{{%[^{{}}%\n]{{1,40}}%\}}|<%=?[^<>%\n]{{1,40}}%>|#\{{ ?{_NAME} ?\}}|%%{_NAME}%%|@@{_NAME}@@|\[\[ ?{_NAME} ?\]\]|(?<!\w)__[A-Za-z][A-Za-z_0-9]*?__(?!\w)|\$\{{ ?{_NAME} ?\}}"
+DOUBLE = rf"\{{\{{[^{{}}\n]{{1,40}}\}}\}}|\{{%[^{{}}%\n]{{1,40}}%\}}|<%=?[^<>%\n]{{1,40}}%>|#\{{ ?{_NAME} ?\}}|%%{_NAME}%%|@@{_NAME}@@|\[\[ ?{_NAME} ?\]\]|(?<!\w)__[A-Za-z][A-Za-z_0-9]*?__(?!\w)|\$\{{ ?{_NAME} ?\}}|\$[A-Za-z][A-Za-z_]{{2,}}\$"
 SINGLE = rf"\$(?:{FIELDS})\$|<(?:{FIELDS})>|\{{ ?(?:{FIELDS}) ?\}}|\[(?:{FIELDS})\]"
 ASKING = r"[\[<{(]{1,2} ?(?:please )?(?:insert|enter|paste|add|type|put|your|write|fill in|to be)\b[^\[\]<>{}()\n]{0,60}[\]>})]{1,2}|\[[^\[\]\n]{0,30}(?:입력|입력하세요|넣으세요|작성하세요|채우기|들어갈 자리)\]|\bXX+_\w+_XX+\b|(?<!\w)TODO\b(?::| \w)|\[(?:to be completed|tbd|todo|placeholder|hier einfügen|insérer ici|insertar aquí)\]"
 PLACEHOLDER = regex.compile(f"{DOUBLE}|{ASKING}|(?i:{SINGLE})", regex.I)
@@ -114,7 +114,7 @@ def placeholders(text: str) -> list[tuple[int, int]]:
         return out
     whole_page = regex.search(r"<html|</", text, regex.I)
     for m in PLACEHOLDER.finditer(text):
-        if whole_page and regex.fullmatch(r"</?\w+>", m.group()):
+        if whole_page and m.group().lower() in ("<title>", "<body>", "<link>", "<code>", "<image>"):
             continue
         begin = max(text.rfind(c, 0, m.start()) for c in "\n!?。") + 1
         stop = regex.search(r"[.!?](?:\s|$)|\n|$", text, pos=m.end()).end()

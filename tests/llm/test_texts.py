@@ -17,7 +17,7 @@ SOUND = [
     "=IFERROR(INDEX(A2:A9, MATCH(1, B2:B9, 0)), \"\")",
     "Yes",
 ]
-RESIDUE = ["Lorem ipsum dolor sit amet nisi urna.", "404 Not Found", "<html><head><title>502 Bad Gateway</title></head><body><hr>web/1.2</body></html>", "Please enable JavaScript to view this page.", "이 페이지를 보려면 JavaScript 사용이 필요합니다", "{{answer}}", "Try this: [paste formula here]", "Dear #{name},\n\n[[content]]\n\nBest wishes", "hgjfkd lskdjf ghfjdk slaskdj", "여기에 텍스트를 넣으세요", "XX_FORMULA_XX"]
+RESIDUE = ["Lorem ipsum dolor sit amet nisi urna.", "404 Not Found", "Try this: <steps>", "<div class=\"x\">$ANSWER$</div>", "<html><head><title>502 Bad Gateway</title></head><body><hr>web/1.2</body></html>", "Please enable JavaScript to view this page.", "이 페이지를 보려면 JavaScript 사용이 필요합니다", "{{answer}}", "Try this: [paste formula here]", "Dear #{name},\n\n[[content]]\n\nBest wishes", "hgjfkd lskdjf ghfjdk slaskdj", "여기에 텍스트를 넣으세요", "XX_FORMULA_XX"]
 QA = "pair_id bigint, source string, question struct<title string, body string, text string, body_markdown string, id string>, answer struct<text string, body_markdown string>, text string, defect string"
 
 
@@ -60,6 +60,7 @@ def test_cut_sentences_equal_brute_force(spark):
     ends = {s[:k]: 1 for s in whole for k in (3, 5, 11, 12, 14, 20)} | {"yes": 40, "take now the sheet again": 2, "done and tested": 7}
     counts = [(s, n, 0) for s, n in whole.items()] + [(s, 0, n) for s, n in ends.items()]
     df = spark.createDataFrame(counts, "sentence string, inner bigint, ends bigint")
+    whole |= {e: n // 4 for e, n in ends.items() if n // 4}
     want = {e for e, n in ends.items() if any(s.startswith(e) and s != e and any(c.isalpha() for c in s[len(e) :]) and sum(c.isalpha() for c in s[len(e) :]) >= 2 and m >= 3 * n for s, m in whole.items())}
     assert {r["tail"] for r in cut_sentences(df).collect()} == want
 
