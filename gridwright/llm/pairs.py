@@ -332,7 +332,8 @@ def broken_pairs(pairs: DataFrame, natural: np.ndarray) -> DataFrame:
     judged = written(judge_pairs(pairs, natural), "pairs-judged")
     cut = cut_sentences(written(sentence_counts(pairs), "pairs-sentences")).distinct().withColumn("cut", F.lit(True))
     limits = length_limits(judged).withColumn("limit", F.lit(True))
-    # few distinct cut sentences carry many pairs: joined per distinct tail, not per pair
+    # the distinct cut sentences and limits are few; a closing that a tenth of all pairs have is
+    # a hot key on the left only, which an adaptive join splits
     tails = judged.filter("tail is not null and defect = ''")
     short = tails.join(cut, "tail", "left").join(limits, "size", "left").filter("cut or limit").select("pair_id", F.lit("truncated").alias("defect"))
     own = judged.filter(F.col("defect").isin(*DEFECTS)).select("pair_id", "defect")
