@@ -15,17 +15,33 @@ def adaptive_threshold(df: DataFrame, by: str, order: str, success: Column, star
     """Threshold after each event: down by .05 (to .5) while the last ten succeed less than half
     the time, up by .02 (to .95) while they do so more than four times in five.
 
-    The rate is a window; the clamped steps are folded over the events of one entity in order.
-    Each step maps a threshold to min(hi, max(lo, t + d)), and such maps compose to maps of the
-    same form, so the fold is a running composition that an ``aggregate`` does in the JVM.
+    The rate is a window; the clamped steps are then folded in order.  A step maps a threshold t
+    to min(hi, max(lo, t + d)), and such maps compose to one of the same form.  So the events of
+    BLOCK consecutive places of ``order`` (an integer, unique per entity) become one map, and an
+    entity's few maps are applied in order: no entity's events are ever gathered in one place.
     """
     last = W.partitionBy(by).orderBy(order).rowsBetween(-(window - 1), 0)
     rate = F.when(F.count(F.lit(1)).over(last) >= window, F.avg(success.cast("int")).over(last))
     step = F.when(rate < 0.5, -0.05).when(rate > 0.8, 0.02).otherwise(0.0)
-    events = df.select(by, F.struct(F.col(order).alias("k"), step.alias("d")).alias("e"))
-    per = events.groupBy(by).agg(F.array_sort(F.collect_list("e")).alias("es"))
-    fold = F.aggregate("es", F.lit(start), lambda t, e: F.when(e["d"] < 0, F.greatest(F.lit(0.5), t + e["d"])).when(e["d"] > 0, F.least(F.lit(0.95), t + e["d"])).otherwise(t))
-    return per.select(by, F.size("es").cast("bigint").alias("events"), F.round(fold, 6).alias("threshold"))
+    events = df.select(by, F.col(order).alias("k"), step.alias("d")).select(by, F.floor(F.col("k") / BLOCK).alias("block"), F.struct("k", "d", F.when(F.col("d") < 0, 0.5).otherwise(-FAR).alias("lo"), F.when(F.col("d") > 0, 0.95).otherwise(FAR).alias("hi")).alias("e"))
+    blocks = events.groupBy(by, "block").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("e")).alias("es"))
+    maps = blocks.select(by, "n", _compose("es").alias("m"), "block").select(by, "n", F.struct(F.col("block").alias("k"), "m.d", "m.lo", "m.hi").alias("e"))
+    whole = maps.groupBy(by).agg(F.sum("n").alias("events"), F.array_sort(F.collect_list("e")).alias("es")).select(by, "events", _compose("es").alias("m"))
+    return whole.select(by, "events", F.round(_clamp(F.lit(start) + F.col("m.d"), F.col("m.lo"), F.col("m.hi")), 6).alias("threshold"))
+
+
+#: Places of an order that are folded together, and a bound beyond any threshold.
+BLOCK, FAR = 4096, 1e9
+
+
+def _clamp(t: Column, lo: Column, hi: Column) -> Column:
+    return F.least(hi, F.greatest(lo, t))
+
+
+def _compose(steps: str) -> Column:
+    """One map for an array of maps (d, lo, hi), applied in order."""
+    same = F.struct(F.lit(0.0).alias("d"), F.lit(-FAR).alias("lo"), F.lit(FAR).alias("hi"))
+    return F.aggregate(steps, same, lambda m, e: F.struct((m["d"] + e["d"]).alias("d"), _clamp(m["lo"] + e["d"], e["lo"], e["hi"]).alias("lo"), _clamp(m["hi"] + e["d"], e["lo"], e["hi"]).alias("hi")))
 
 
 def expiring_counts(stream: DataFrame, key: str, at: str, ttl: str, ttl_ms: int) -> DataFrame:

@@ -44,10 +44,9 @@ def similar_pairs(df: DataFrame, key: str, vector: str, least: float, cells: int
     placed = near.groupBy("id", "v").agg(F.sort_array(F.collect_list("at")).alias("at"))
     home = placed.select("id", "v", F.col("at")[0]["cell"].alias("cell"))
     guest = placed.select("id", "v", F.explode(F.filter("at", lambda x: x["d"] <= F.col("at")[0]["d"] + reach)).alias("c")).select("id", "v", F.col("c.cell").alias("cell"))
-    pairs = home.alias("h").join(guest.alias("g"), (F.col("h.cell") == F.col("g.cell")) & (F.col("h.id") != F.col("g.id")))
-    sim = dot(F.col("h.v"), F.col("g.v"))
-    found = pairs.select(F.least("h.id", "g.id").alias("a"), F.greatest("h.id", "g.id").alias("b"), sim.alias("similarity")).filter(F.col("similarity") >= least)
-    found = found.groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
+    # each of two similar vectors is a guest in the other's cell, so one order of ids is enough
+    pairs = home.alias("h").join(guest.alias("g"), (F.col("h.cell") == F.col("g.cell")) & (F.col("h.id") < F.col("g.id")))
+    found = pairs.select(F.col("h.id").alias("a"), F.col("g.id").alias("b"), dot(F.col("h.v"), F.col("g.v")).alias("similarity")).filter(F.col("similarity") >= least)
     copies = rows.join(distinct.select("v", F.col("id").alias("first")), "v").filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("similarity"))
     return found.unionByName(copies)
 
@@ -68,7 +67,7 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     edges are written to the shared folder, so lineage stays short and a lost executor costs
     no more than its own tasks.
     """
-    pairs = edges.select(F.col("a").cast("bigint").alias("a"), F.col("b").cast("bigint").alias("b")).filter("a is not null and b is not null")
+    pairs = written(edges.select(F.col("a").cast("bigint").alias("a"), F.col("b").cast("bigint").alias("b")).filter("a is not null and b is not null"), "edges")
     links = written(pairs.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     before = None

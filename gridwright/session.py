@@ -59,6 +59,13 @@ def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan for a costly Python step: dealt out anew if it has fewer partitions than there
+    are cores, as a table of one small file has.  A large table has more, and stays as it is."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a test-data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
