@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from gridwright.llm.pairs import broken_pairs, pair_texts
 from gridwright.llm.residue import natural_counts
-from gridwright.session import table
+from gridwright.session import spread, table
 
 
 def p4_found(spark, sf_dir):
-    pairs = pair_texts(table(spark, sf_dir, "qa_pairs"))
+    pairs = spread(pair_texts(table(spark, sf_dir, "qa_pairs")))
     return broken_pairs(pairs, natural_counts(pairs.select("said")))
 
 

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from gridwright.llm.mixing import ALL, mix
-from gridwright.session import table
+from gridwright.session import spread, table
 
 
 def _run(spark, sf_dir, total=None):
-    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"), total)
+    return mix(spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text")), table(spark, sf_dir, "mix_targets"), total)
 
 
 def p7_mix(spark, sf_dir):

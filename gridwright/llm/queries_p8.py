@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from gridwright.llm.reading import reading_levels, university_prose
-from gridwright.session import table
+from gridwright.session import spread, table
 
 
 def p8_levels(spark, sf_dir):
-    return reading_levels(table(spark, sf_dir, "documents"), table(spark, sf_dir, "reading_labels"))
+    return reading_levels(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), table(spark, sf_dir, "reading_labels"))
 
 
 def p8_found(spark, sf_dir):
