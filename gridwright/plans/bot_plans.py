@@ -145,3 +145,6 @@ ORACLES = {
     "f19_bot_gate": f"{_W} SELECT pair_id FROM qa WHERE {_RULES} >= 0.7",
     "a23_rates": f"{_W} SELECT count(*) AS n, count(*) FILTER (WHERE {_RULES} >= 0.7) AS bots, round(avg(CAST({_RULES} >= 0.7 AS INTEGER)), 6) AS rate FROM qa",
 }
+
+#: SQL of the layers, for plans that combine them.
+_rules_sql, _behave_sql = _RULES, _BEHAVE
