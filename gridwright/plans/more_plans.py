@@ -13,35 +13,35 @@ from gridwright.session import table
 c = F.col
 
 
-def p04_standard_pair(spark, sf):
+def pr04_standard_pair(spark, sf):
     """Forum pair in the standard shape: selected answers are accepted, scores stand for reputation."""
     r = qa(spark, sf).filter("source = 'reddit'")
     return r.select("pair_id", F.lit(True).alias("is_accepted"), c("a_score").alias("reputation"), c("total_comments").alias("views"))
 
 
-def p07_sync_payload(spark, sf):
+def pr07_sync_payload(spark, sf):
     """Payload rows: parsed metadata, prefixed source, defaults."""
     meta = F.from_json("metadata", "lang string, answers bigint")
     return table(spark, sf, "oppadu_collected").select("post_id", "collected_at", F.concat(F.lit("sync_"), F.lit("oppadu")).alias("source"), F.coalesce(meta["lang"], F.lit("ko")).alias("lang"), F.coalesce(meta["answers"], F.lit(0)).alias("answers"))
 
 
-def p10_entry(spark, sf):
+def pr10_entry(spark, sf):
     """Flat training entry with a quality gate."""
     return qa(spark, sf).filter((c("overall") >= 6) & (c("overall") <= 10)).select(F.concat("source", F.lit("_"), c("pair_id").cast("string")).alias("id"), c("title").alias("user_question"), F.length("a_text").cast("bigint").alias("answer_length"))
 
 
-def p12_question_with_context(spark, sf):
+def pr12_question_with_context(spark, sf):
     return qa(spark, sf).select("pair_id", F.concat_ws("\n", F.concat(F.lit("Q: "), "title"), F.concat(F.lit("Tags: "), F.array_join(F.slice("tags", 1, 5), ", "))).alias("prompt"))
 
 
-def p13_round_trip(spark, sf):
+def pr13_round_trip(spark, sf):
     """A struct to JSON and back."""
     s = F.struct("pair_id", "a_score", "author")
     back = F.from_json(F.to_json(s), "pair_id bigint, a_score bigint, author string")
     return qa(spark, sf).select(back["pair_id"].alias("pair_id"), back["a_score"].alias("a_score"), back["author"].alias("author"))
 
 
-def p17_features(spark, sf):
+def pr17_features(spark, sf):
     return qa(spark, sf).select("pair_id", F.length("title").cast("bigint").alias("title_length"), F.coalesce(F.when(c("tags").isNotNull(), F.size("tags")), F.lit(0)).cast("bigint").alias("tags"), c("q_text").contains("?").alias("asks"), T.has_code(F.coalesce("a_text", F.lit(""))).alias("code"))
 
 
@@ -292,17 +292,17 @@ def _norm(x: str) -> str:
     return f"CASE WHEN count(*) OVER w <= 1 OR max({x}) OVER w = min({x}) OVER w THEN 1.0 ELSE ({x} - min({x}) OVER w)::DOUBLE / (max({x}) OVER w - min({x}) OVER w) END::DOUBLE"
 
 
-QUERIES = {f.__name__: f for f in (p04_standard_pair, p07_sync_payload, p10_entry, p12_question_with_context, p13_round_trip, p17_features, f03_threshold, f06_solved, f11_required_words, f13_good_after, f14_required_fields, f17_similarity_floor, f20_image_urls, f21_date_range, f24_empty_is_bot, j02_accepted_or_best, j04_top_two, j08_parent, a02_simple_stats, a05_triage_stats, a07_similarity_spread, a09_tracker, a11_posts_with_answers, a16_key_sizes, a24_fingerprints, a28_floor_allocation, a37_batch_stats, a44_valid_share, w09_first_occurrence, o06_composite_sort, o07_newest, u06_split, t15_leading_equals, t24_explanation, t39_routing_mentions, d1_iso_parse, d5_since, m5_distance, c01_question_raw, c02_answer_raw, c03_completion, c04_final_score, c11_community_score, c18_formula_complexity, c21_formula_syntax, e06_exact_ids, x02_append, x06_reset)}
+QUERIES = {f.__name__: f for f in (pr04_standard_pair, pr07_sync_payload, pr10_entry, pr12_question_with_context, pr13_round_trip, pr17_features, f03_threshold, f06_solved, f11_required_words, f13_good_after, f14_required_fields, f17_similarity_floor, f20_image_urls, f21_date_range, f24_empty_is_bot, j02_accepted_or_best, j04_top_two, j08_parent, a02_simple_stats, a05_triage_stats, a07_similarity_spread, a09_tracker, a11_posts_with_answers, a16_key_sizes, a24_fingerprints, a28_floor_allocation, a37_batch_stats, a44_valid_share, w09_first_occurrence, o06_composite_sort, o07_newest, u06_split, t15_leading_equals, t24_explanation, t39_routing_mentions, d1_iso_parse, d5_since, m5_distance, c01_question_raw, c02_answer_raw, c03_completion, c04_final_score, c11_community_score, c18_formula_complexity, c21_formula_syntax, e06_exact_ids, x02_append, x06_reset)}
 from gridwright.plans.common import USAGE  # noqa: E402
 from gridwright.plans.text_plans import ORACLES as _TEXT  # noqa: E402
 
 ORACLES = {
-    "p04_standard_pair": f"{_W} SELECT pair_id, true AS is_accepted, a_score AS reputation, total_comments AS views FROM qa WHERE source = 'reddit'",
-    "p07_sync_payload": "SELECT post_id, collected_at, 'sync_oppadu' AS source, coalesce(CASE WHEN json_valid(metadata) THEN json_extract_string(metadata, '$.lang') END, 'ko') AS lang, coalesce(CAST(CASE WHEN json_valid(metadata) THEN json_extract_string(metadata, '$.answers') END AS BIGINT), 0) AS answers FROM oppadu_collected",
-    "p10_entry": f"{_W} SELECT source || '_' || pair_id AS id, title AS user_question, length(a_text) AS answer_length FROM qa WHERE overall >= 6 AND overall <= 10",
-    "p12_question_with_context": f"{_W} SELECT pair_id, concat_ws(chr(10), 'Q: ' || title, 'Tags: ' || array_to_string(tags[1:5], ', ')) AS prompt FROM qa",
-    "p13_round_trip": f"{_W} SELECT pair_id, a_score, author FROM qa",
-    "p17_features": f"{_W} SELECT pair_id, length(title) AS title_length, coalesce(len(tags), 0) AS tags, contains(q_text, '?') AS asks, {_CODE} AS code FROM qa",
+    "pr04_standard_pair": f"{_W} SELECT pair_id, true AS is_accepted, a_score AS reputation, total_comments AS views FROM qa WHERE source = 'reddit'",
+    "pr07_sync_payload": "SELECT post_id, collected_at, 'sync_oppadu' AS source, coalesce(CASE WHEN json_valid(metadata) THEN json_extract_string(metadata, '$.lang') END, 'ko') AS lang, coalesce(CAST(CASE WHEN json_valid(metadata) THEN json_extract_string(metadata, '$.answers') END AS BIGINT), 0) AS answers FROM oppadu_collected",
+    "pr10_entry": f"{_W} SELECT source || '_' || pair_id AS id, title AS user_question, length(a_text) AS answer_length FROM qa WHERE overall >= 6 AND overall <= 10",
+    "pr12_question_with_context": f"{_W} SELECT pair_id, concat_ws(chr(10), 'Q: ' || title, 'Tags: ' || array_to_string(tags[1:5], ', ')) AS prompt FROM qa",
+    "pr13_round_trip": f"{_W} SELECT pair_id, a_score, author FROM qa",
+    "pr17_features": f"{_W} SELECT pair_id, length(title) AS title_length, coalesce(len(tags), 0) AS tags, contains(q_text, '?') AS asks, {_CODE} AS code FROM qa",
     "f03_threshold": "SELECT DISTINCT post_id FROM oppadu_posts WHERE quality_score >= 5.5 AND quality_score <= 10",
     "f06_solved": f"{_W} SELECT pair_id FROM qa WHERE lower(solution_type) = 'verified' AND q_id IS NOT NULL AND q_id NOT IN (SELECT submission_id FROM reddit_collected WHERE submission_id IS NOT NULL)",
     "f11_required_words": "SELECT DISTINCT post_id FROM oppadu_posts WHERE contains(title, '함수') AND NOT regexp_matches(title, '광고|홍보|오류')",

@@ -50,40 +50,40 @@ def s29_image_sources(spark, sf):
     return rows.select("post_id", "src", kind.alias("kind"), F.when(kind == "data", F.floor(F.length(F.regexp_extract("src", "base64,(.*)$", 1)) * 0.75)).alias("size"))
 
 
-def p01_canonical(spark, sf):
+def pr01_canonical(spark, sf):
     """Canonical text: title and body, ids as text."""
     return qa(spark, sf).select(c("pair_id").cast("string").alias("id"), F.trim(F.concat_ws("\n", "title", "body")).alias("text"))
 
 
-def p02_body_if_any(spark, sf):
+def pr02_body_if_any(spark, sf):
     return qa(spark, sf).select("pair_id", F.when(F.coalesce("body", F.lit("")) != "", F.concat_ws("\n", "title", "body")).otherwise(c("title")).alias("text"), F.lit("excel").alias("tag"))
 
 
-def p03_answer_id(spark, sf):
+def pr03_answer_id(spark, sf):
     return table(spark, sf, "oppadu_posts").select("post_id", F.concat("post_id", F.lit("_answer")).alias("answer_id"), F.lit("KR").alias("country")).distinct()
 
 
-def p05_tags(spark, sf):
+def pr05_tags(spark, sf):
     """Tags from a title's words, distinct and sorted."""
     words = ("pivot", "macro", "formula", "chart", "table", "vlookup", "filter", "date")
     return qa(spark, sf).filter("title is not null").select("pair_id", F.array_sort(F.array_distinct(F.concat(F.array(F.lit("excel")), T.mentions(c("title"), words)))).alias("tags"))
 
 
-def p06_vector_document(spark, sf):
+def pr06_vector_document(spark, sf):
     return qa(spark, sf).select("pair_id", F.concat_ws(" ", "title", "body").alias("embedding_text"), F.length(F.coalesce("a_text", F.lit(""))).cast("bigint").alias("answer_length"), F.coalesce(F.when(c("tags").isNotNull(), F.size("tags")), F.lit(0)).cast("bigint").alias("tag_count"))
 
 
-def p08_clean_row(spark, sf):
+def pr08_clean_row(spark, sf):
     """Trimmed question and answer, at most two tags, defaults; too short ones out."""
     rows = qa(spark, sf).select("pair_id", T.collapse(F.coalesce("q_text", F.lit(""))).alias("q"), T.collapse(F.coalesce("a_text", F.lit(""))).alias("a"), F.slice(F.coalesce("tags", F.array().cast("array<string>")), 1, 2).alias("tags"))
     return rows.filter((F.length("q") >= 10) & (F.length("a") >= 20))
 
 
-def p09_defaults(spark, sf):
+def pr09_defaults(spark, sf):
     return qa(spark, sf).select("pair_id", F.coalesce("author", F.lit("[deleted]")).alias("author"), F.coalesce("a_score", F.lit(0)).alias("score"))
 
 
-def p11_context(spark, sf):
+def pr11_context(spark, sf):
     """Ranked context lines of a source's best rated pairs."""
     rows = qa(spark, sf).filter("overall between 0 and 10 and title is not null")
     top = rows.withColumn("rank", F.row_number().over(W.partitionBy("source").orderBy(F.desc("overall"), "pair_id"))).filter("rank <= 5")
@@ -91,7 +91,7 @@ def p11_context(spark, sf):
     return top.groupBy("source").agg(F.concat_ws("\n", F.transform(F.array_sort(F.collect_list(F.struct("rank", line.alias("line")))), lambda x: x["line"])).alias("context"))
 
 
-def p14_merge(spark, sf):
+def pr14_merge(spark, sf):
     """Maps merged, the right one winning."""
     left = F.create_map(F.lit("lang"), F.lit("en"), F.lit("kind"), F.lit("qa"))
     merged = F.map_concat(F.map_filter(left, lambda k, v: k != "lang"), F.create_map(F.lit("lang"), c("source")))
@@ -331,7 +331,7 @@ _HITS = lambda t, ws: "(" + " + ".join(f"CAST(contains(lower({t}), '{w}') AS INT
 _CODE = r"regexp_matches({}, '(?s)```.*```|`[^`\n]+`|<code>|<pre>|=[A-Z]+\(')"
 _GRAMS = "CASE WHEN length(lower({t})) >= 3 THEN list_distinct(list_transform(generate_series(1, length(lower({t})) - 2), lambda i: substr(lower({t}), i, 3))) ELSE [] END"
 
-QUERIES = {f.__name__: f for f in (s15_scan, s16_prefix_scan, s20_batch_export, s27_insert_new, s28_delete, s29_image_sources, p01_canonical, p02_body_if_any, p03_answer_id, p05_tags, p06_vector_document, p08_clean_row, p09_defaults, p11_context, p14_merge, f01_by_quality, f02_text_gate, f05_two_of_three, f07_question_gate, f08_answer_gate, f16_validators, f18_predicate_tree, f22_contains, f25_two_of_four, j01_question_to_post, j03_left_newest, j05_not_in, j06_not_collected, j07_semi, j09_similar_pairs, j10_title_jaccard, j11_nearest, j12_dimension, e03_components, e04_keep_best, e05_group_size, e08_first_wins, a03_forum_stats, a06_dedup_stats, a12_pivot, a17_funnel, a25_tag_frequency, a26_keyword_shares, a27_score_range, a42_by_source, w01_min_max, w02_best_of_group, w10_best_answer, o01_top, o02_keyset, o03_offset, o04_top_authors, o08_longest_formula, u01_union, u02_difference, u03_jaccard, u05_top_up)}
+QUERIES = {f.__name__: f for f in (s15_scan, s16_prefix_scan, s20_batch_export, s27_insert_new, s28_delete, s29_image_sources, pr01_canonical, pr02_body_if_any, pr03_answer_id, pr05_tags, pr06_vector_document, pr08_clean_row, pr09_defaults, pr11_context, pr14_merge, f01_by_quality, f02_text_gate, f05_two_of_three, f07_question_gate, f08_answer_gate, f16_validators, f18_predicate_tree, f22_contains, f25_two_of_four, j01_question_to_post, j03_left_newest, j05_not_in, j06_not_collected, j07_semi, j09_similar_pairs, j10_title_jaccard, j11_nearest, j12_dimension, e03_components, e04_keep_best, e05_group_size, e08_first_wins, a03_forum_stats, a06_dedup_stats, a12_pivot, a17_funnel, a25_tag_frequency, a26_keyword_shares, a27_score_range, a42_by_source, w01_min_max, w02_best_of_group, w10_best_answer, o01_top, o02_keyset, o03_offset, o04_top_authors, o08_longest_formula, u01_union, u02_difference, u03_jaccard, u05_top_up)}
 ORACLES = {
     "s15_scan": "SELECT DISTINCT question_id, quality_score FROM stackoverflow_collected WHERE quality_score >= 8 AND NOT isnan(quality_score)",
     "s16_prefix_scan": "SELECT submission_id, collected_at, CASE WHEN json_valid(metadata) THEN json_extract_string(metadata, '$.author') END AS author, CAST(CASE WHEN json_valid(metadata) THEN json_extract_string(metadata, '$.answers') END AS BIGINT) AS answers FROM reddit_collected WHERE starts_with(submission_id, '1a')",
@@ -339,15 +339,15 @@ ORACLES = {
     "s27_insert_new": "SELECT vec_id, label FROM embeddings WHERE vec_id % 3 <> 0",
     "s28_delete": "SELECT vec_id, label FROM embeddings WHERE label <> 3",
     "s29_image_sources": r"WITH s AS (SELECT DISTINCT post_id, CASE WHEN CAST(post_id AS BIGINT) % 3 = 0 THEN 'data:image/png;base64,' || md5(title) WHEN CAST(post_id AS BIGINT) % 3 = 1 THEN url ELSE '/img/' || post_id || '.png' END AS src FROM oppadu_posts) SELECT *, CASE WHEN kind = 'data' THEN CAST(floor(length(regexp_extract(src, 'base64,(.*)$', 1)) * 0.75) AS BIGINT) END AS size FROM (SELECT *, CASE WHEN starts_with(src, 'data:image/') THEN 'data' WHEN regexp_matches(src, '^https?://') THEN 'url' WHEN regexp_matches(src, '\.(png|jpg|jpeg|gif)$') THEN 'file' ELSE 'invalid' END AS kind FROM s)",
-    "p01_canonical": f"{_W} SELECT CAST(pair_id AS VARCHAR) AS id, trim(concat_ws(chr(10), title, body), ' ') AS text FROM qa",
-    "p02_body_if_any": f"{_W} SELECT pair_id, CASE WHEN coalesce(body, '') <> '' THEN concat_ws(chr(10), title, body) ELSE title END AS text, 'excel' AS tag FROM qa",
-    "p03_answer_id": "SELECT DISTINCT post_id, post_id || '_answer' AS answer_id, 'KR' AS country FROM oppadu_posts",
-    "p05_tags": f"{_W} SELECT pair_id, list_sort(list_distinct(list_concat(['excel'], list_filter(['pivot', 'macro', 'formula', 'chart', 'table', 'vlookup', 'filter', 'date'], lambda w: contains(lower(title), w))))) AS tags FROM qa WHERE title IS NOT NULL",
-    "p06_vector_document": f"{_W} SELECT pair_id, concat_ws(' ', title, body) AS embedding_text, length(coalesce(a_text, '')) AS answer_length, coalesce(len(tags), 0) AS tag_count FROM qa",
-    "p08_clean_row": f"{_W}, r AS (SELECT pair_id, trim(regexp_replace(coalesce(q_text, ''), '{_B}', ' ', 'g'), ' ') AS q, trim(regexp_replace(coalesce(a_text, ''), '{_B}', ' ', 'g'), ' ') AS a, coalesce(tags[1:2], []) AS tags FROM qa) SELECT * FROM r WHERE length(q) >= 10 AND length(a) >= 20",
-    "p09_defaults": f"{_W} SELECT pair_id, coalesce(author, '[deleted]') AS author, coalesce(a_score, 0) AS score FROM qa",
-    "p11_context": f"{_W}, t AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY overall DESC, pair_id) AS rank FROM qa WHERE {_GOOD} AND title IS NOT NULL) SELECT source, string_agg(rank || '. ' || substr(title, 1, 60), chr(10) ORDER BY rank) AS context FROM t WHERE rank <= 5 GROUP BY source",
-    "p14_merge": f"{_W} SELECT pair_id, source AS lang, 'qa' AS kind FROM qa",
+    "pr01_canonical": f"{_W} SELECT CAST(pair_id AS VARCHAR) AS id, trim(concat_ws(chr(10), title, body), ' ') AS text FROM qa",
+    "pr02_body_if_any": f"{_W} SELECT pair_id, CASE WHEN coalesce(body, '') <> '' THEN concat_ws(chr(10), title, body) ELSE title END AS text, 'excel' AS tag FROM qa",
+    "pr03_answer_id": "SELECT DISTINCT post_id, post_id || '_answer' AS answer_id, 'KR' AS country FROM oppadu_posts",
+    "pr05_tags": f"{_W} SELECT pair_id, list_sort(list_distinct(list_concat(['excel'], list_filter(['pivot', 'macro', 'formula', 'chart', 'table', 'vlookup', 'filter', 'date'], lambda w: contains(lower(title), w))))) AS tags FROM qa WHERE title IS NOT NULL",
+    "pr06_vector_document": f"{_W} SELECT pair_id, concat_ws(' ', title, body) AS embedding_text, length(coalesce(a_text, '')) AS answer_length, coalesce(len(tags), 0) AS tag_count FROM qa",
+    "pr08_clean_row": f"{_W}, r AS (SELECT pair_id, trim(regexp_replace(coalesce(q_text, ''), '{_B}', ' ', 'g'), ' ') AS q, trim(regexp_replace(coalesce(a_text, ''), '{_B}', ' ', 'g'), ' ') AS a, coalesce(tags[1:2], []) AS tags FROM qa) SELECT * FROM r WHERE length(q) >= 10 AND length(a) >= 20",
+    "pr09_defaults": f"{_W} SELECT pair_id, coalesce(author, '[deleted]') AS author, coalesce(a_score, 0) AS score FROM qa",
+    "pr11_context": f"{_W}, t AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY overall DESC, pair_id) AS rank FROM qa WHERE {_GOOD} AND title IS NOT NULL) SELECT source, string_agg(rank || '. ' || substr(title, 1, 60), chr(10) ORDER BY rank) AS context FROM t WHERE rank <= 5 GROUP BY source",
+    "pr14_merge": f"{_W} SELECT pair_id, source AS lang, 'qa' AS kind FROM qa",
     "f01_by_quality": f"{_W} SELECT pair_id, overall FROM qa WHERE overall >= 5 AND NOT isnan(overall)",
     "f02_text_gate": f"{_W} SELECT pair_id FROM qa WHERE length(trim(coalesce(q_text, ''), ' ')) >= 10 AND length(trim(coalesce(a_text, ''), ' ')) >= 10 AND overall >= 3 AND NOT isnan(overall)",
     "f05_two_of_three": f"{_W} SELECT pair_id FROM qa WHERE CAST(coalesce(list_contains(tags, 'xlookup'), false) AS INTEGER) + CAST({_HITS(chr(99) + 'oalesce(title, ' + chr(39) * 2 + ')', ('formula', 'pivot'))} > 0 AS INTEGER) + CAST(coalesce(q_score, 0) >= 10 AS INTEGER) >= 2",
