@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """Upsert by primary key: the greatest row of each key in the order given (null first).
 
-    One hash aggregation with map-side combine; no window, so a hot key sends one row a task.
+    One aggregation with map-side combine; no window, so a hot key sends one row a task.
     """
     rest = [c for c in df.columns if c not in keys]
     best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
