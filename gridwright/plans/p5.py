@@ -12,7 +12,7 @@ def p5_rolling(spark, sf_dir):
     wide = usage_rolling(table(spark, sf_dir, "usage_records"))
     keep = ["model", F.date_format("usage_day", "yyyy-MM-dd").alias("usage_day"), "records"]
     for w in (7, 30):
-        keep += [F.col(f"cost_usd_total_{w}").alias(f"cost_total_{w}"), F.col(f"cost_usd_avg_{w}").alias(f"cost_avg_{w}"), F.col(f"tokens_total_{w}").cast("bigint").alias(f"tokens_total_{w}"), f"tokens_avg_{w}"]
+        keep += [F.col(f"cost_usd_total_{w}").alias(f"cost_total_{w}"), F.col(f"cost_usd_avg_{w}").alias(f"cost_avg_{w}"), F.col(f"tokens_total_{w}").cast("bigint").alias(f"tokens_total_{w}"), f"tokens_avg_{w}", F.col(f"cost_usd_daily_{w}").alias(f"cost_daily_{w}"), f"tokens_daily_{w}"]
     return wide.select(*keep)
 
 
@@ -46,7 +46,8 @@ def _sums(w: int) -> str:
     return f"""CAST(sum(s0) {over} AS DOUBLE) AS cost_total_{w},
         CASE WHEN sum(c0) {over} > 0 THEN CAST(sum(s0) {over} AS DOUBLE) / sum(c0) {over} END AS cost_avg_{w},
         CAST(sum(s1) {over} AS BIGINT) AS tokens_total_{w},
-        CASE WHEN sum(c1) {over} > 0 THEN CAST(sum(s1) {over} AS DOUBLE) / sum(c1) {over} END AS tokens_avg_{w}"""
+        CASE WHEN sum(c1) {over} > 0 THEN CAST(sum(s1) {over} AS DOUBLE) / sum(c1) {over} END AS tokens_avg_{w},
+        CAST(sum(s0) {over} AS DOUBLE) / {w} AS cost_daily_{w}, CAST(sum(s1) {over} AS DOUBLE) / {w} AS tokens_daily_{w}"""
 
 
 QUERIES = {"p5_found": p5_found, "p5_rolling": p5_rolling}
