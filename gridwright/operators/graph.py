@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -51,13 +54,51 @@ def similar_pairs(df: DataFrame, key: str, vector: str, least: float, cells: int
     return found.unionByName(copies)
 
 
+#: Queries that are sent to every task at once.
+QUERY_BLOCK = 4096
+
+
 def nearest(df: DataFrame, queries: DataFrame, key: str, vector: str, k: int) -> DataFrame:
-    """The k rows of greatest cosine for each query of a stated set, ties by id, itself excluded."""
-    rows = df.select(F.col(key).alias("id"), unit(F.col(vector)).alias("v")).filter("v is not null")
-    asked = queries.select(F.col(key).alias("query"), unit(F.col(vector)).alias("q")).filter("q is not null")
-    scored = rows.join(asked, F.col("id") != F.col("query")).select("query", "id", dot(F.col("v"), F.col("q")).alias("similarity"))
+    """(query, id, similarity, rank): the k rows of greatest cosine for each query of a stated
+    set, ties by id, itself excluded.  Keys are integers; null and zero vectors have no place.
+
+    Queries go in blocks of QUERY_BLOCK; each task multiplies its rows with a block and keeps k
+    of them a query, so what is exchanged is k rows a query and task, not every pair.
+    """
+    rows = df.select(F.col(key).cast("bigint").alias("id"), unit(F.col(vector)).alias("v")).filter("v is not null and id is not null")
+    asked = queries.select(F.col(key).cast("bigint").alias("query"), unit(F.col(vector)).alias("q")).filter("q is not null and query is not null")
+    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    best = None
+    for block in range(blocks):
+        part = asked.filter(F.pmod(F.xxhash64("query"), F.lit(blocks)) == block).toPandas()
+        ids, matrix = part["query"].to_numpy(), np.array(part["q"].tolist(), dtype=np.float64)
+        if not len(ids):
+            continue
+        shared = df.sparkSession.sparkContext.broadcast((ids, matrix))
+        found = rows.mapInPandas(_scorer(shared, k), "query bigint, id bigint, similarity double")
+        best = found if best is None else best.unionByName(found)
+    if best is None:
+        return df.sparkSession.createDataFrame([], "query bigint, id bigint, similarity double, rank int")
     order = W.partitionBy("query").orderBy(F.desc("similarity"), "id")
-    return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+
+def _scorer(shared, k: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, matrix = shared.value
+        keep: list[pd.DataFrame] = []
+        for batch in batches:
+            if len(batch):
+                own = batch["id"].to_numpy()
+                sims = np.array(batch["v"].tolist(), dtype=np.float64) @ matrix.T
+                sims[own[:, None] == ids[None, :]] = -np.inf
+                by_id = np.argsort(own, kind="stable")
+                top = by_id[np.argsort(-sims[by_id], axis=0, kind="stable")[:k]]
+                frame = pd.DataFrame({"query": np.tile(ids, len(top)), "id": own[top].ravel(), "similarity": np.take_along_axis(sims, top, axis=0).ravel()})
+                keep = [pd.concat([*keep, frame[np.isfinite(frame["similarity"])]]).sort_values(["similarity", "id"], ascending=[False, True]).groupby("query").head(k)]
+        yield from keep
+
+    return run
 
 
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
