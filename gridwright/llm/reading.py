@@ -46,6 +46,7 @@ CODE_LINE = regex.compile(
 TABLE_LINE = regex.compile(r"^\s*\||\|.*\|.*\||^\s*[-+|: ]{3,}$|^[^\t\n]*(?:\t[^\t\n]*){2,}$")
 BULLET = regex.compile(r"^\s*(?:[-*•·‣◦–—]|\(?\d{1,3}[.)]|\(?[a-z][.)]|#{1,6}|>+)\s+")
 ABBREVIATION = regex.compile(r"\b(?:e\.\s?g|i\.\s?e|approx|etc|cf|vs|fig|no|resp|incl|ca|dr|mr|mrs|ms|prof|z\.\s?b|d\.\s?h|bzw|usw|p\.\s?ej|sr|sra|par ex|al|eq|sec|ch|vol|pp)\.", regex.I)
+ENDED = regex.compile(r"[.!?:;…]\s*$")
 END = regex.compile(r"(?<=[.!?…。])[\"')\]»”]*\s+|;\s*\n|\n")
 WORD = regex.compile(r"[\p{L}\p{M}]+(?:['’\-][\p{L}\p{M}]+)*")
 CELL = regex.compile(r"\$?\b[A-Z]{1,3}\$?\d+(?::\$?[A-Z]{1,3}\$?\d+)?\b")
@@ -53,9 +54,10 @@ CELL = regex.compile(r"\$?\b[A-Z]{1,3}\$?\d+(?::\$?[A-Z]{1,3}\$?\d+)?\b")
 
 def prose_sentences(text: str) -> list[str]:
     """Sentences of a text's prose: no code, formulas or tables; a list item ends a sentence."""
-    text = unicodedata.normalize("NFKC", text).replace("\r\n", "\n").replace("\r", "\n")
-    text = TAGS.sub("\n", FENCE.sub("\n\n", text))
-    text = INLINE.sub(" ", text)
+    text = (text if text.isascii() else unicodedata.normalize("NFKC", text)).replace("\r\n", "\n").replace("\r", "\n")
+    text = FENCE.sub("\n\n", text) if "```" in text or "~~~" in text else text
+    text = TAGS.sub("\n", text) if "<" in text else text
+    text = INLINE.sub(" ", text) if "`" in text else text
     lines: list[str] = []
     for line in text.split("\n"):
         if not line.strip():
@@ -63,11 +65,11 @@ def prose_sentences(text: str) -> list[str]:
         elif not (TABLE_LINE.search(line) or CODE_LINE.match(line)):
             bare = BULLET.sub("", line)
             # a wrapped line goes on with a small letter; a list item or a new line doesn't
-            if lines and lines[-1] and bare == line and bare.lstrip()[:1].islower() and not regex.search(r"[.!?:;…]\s*$", lines[-1]):
+            if lines and lines[-1] and bare == line and bare.lstrip()[:1].islower() and not ENDED.search(lines[-1]):
                 lines[-1] += " " + bare.strip()
             else:
                 lines.append(bare.strip())
-    joined = ABBREVIATION.sub(lambda m: m.group().replace(".", "․"), FORMULA.sub(" ", "\n".join(lines)))
+    joined = ABBREVIATION.sub(lambda m: m.group().replace(".", "․"), FORMULA.sub(" ", "\n".join(lines)) if "=" in text else "\n".join(lines))
     return [s for s in END.split(joined) if s and WORD.search(s)]
 
 
@@ -107,6 +109,21 @@ def syllables(word: str, lang: str = "en") -> int:
     return max(1, count)
 
 
+APOSTROPHE, SUFFIX = regex.compile(r"['’\-]"), regex.compile(r"(?:ed|es|ing)$")
+
+
+@lru_cache(maxsize=1 << 17)
+def weigh(word: str, lang: str) -> tuple[int, int, bool, bool]:
+    """Letters, syllables, whether a word is long, and whether it is hard (three syllables or
+    more, not counting an ending, and not compound)."""
+    if word.isupper() and len(word) > 1:  # a function's name is read as a short word
+        return 5, 2, False, False
+    low = word.lower()
+    parts = [p for p in APOSTROPHE.split(low) if p]
+    each = sum(syllables(p, lang) for p in parts)
+    return len(word), each, len(word) > 6, each >= 3 and "-" not in word and not (each == 3 and bool(SUFFIX.search(low)))
+
+
 def counts(text: str) -> dict:
     """Words, sentences, letters, syllables, hard words, and the language of a text's prose."""
     sentences = prose_sentences(text)
@@ -119,15 +136,9 @@ def counts(text: str) -> dict:
         if len(s) < (2 if lang == "ko" else 3):
             continue  # headings, greetings, labels
         for k, w in enumerate(s):
-            n += 1
-            if w.isupper() and len(w) > 1:  # a function's name is read as a short word
-                letters, syl = letters + 5, syl + 2
-                continue
-            low = w.lower()
-            each = sum(syllables(p, lang) for p in regex.split(r"['’\-]", low) if p)
-            letters, syl, sixes = letters + len(w), syl + each, sixes + (len(w) > 6)
-            name = k > 0 and w[0].isupper()
-            hard += each >= 3 and not name and "-" not in w and not (each == 3 and regex.search(r"(?:ed|es|ing)$", low))
+            a, b, long_, difficult = weigh(w, lang)
+            n, letters, syl, sixes = n + 1, letters + a, syl + b, sixes + long_
+            hard += difficult and not (k > 0 and w[0].isupper())
     return {"lang": lang, "words": n, "sentences": len(sizes), "letters": letters, "syllables": syl, "hard": hard, "long": sixes}
 
 
