@@ -57,7 +57,7 @@ _JAMO = {0x1100 + k: ord(c) for k, c in enumerate("ㄱㄲㄴㄷㄸㄹㅁㅂㅃ
 
 #: Reference numbers and site names that servers put beside their messages.
 REFERENCE = regex.compile(r"[(\[#]* ?\b(?:ref(?:erence)?|request[ -]id|incident|trace)?[: ]{0,2}(?=[0-9a-f]*\d)[0-9a-f]{2,}\b ?[)\]]|#(?=[0-9a-f]*\d)[0-9a-f]{4,}\b|\(\p{Lu}\p{Ll}+-\d+\)")
-SITE = regex.compile(r"\s*(?:\||::|[-–—])\s*(?:엑셀 게시판|질문답변|커뮤니티|엑셀|오빠두\S*|community|forum|q&a)\s*$", regex.I)
+SITE = regex.compile(r"\s*(?:\||::|[-–—])\s*(?:엑셀 게시판|질문답변|커뮤니티|엑셀|community|forum|q&a)\s*$", regex.I)
 
 
 def without_code(text: str, gap: str = " ") -> str:
