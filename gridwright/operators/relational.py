@@ -26,6 +26,20 @@ def best_of_group(df: DataFrame, group: Sequence[str], score: str, tie: str) ->
     return df.groupBy(*group).agg(F.max_by(F.struct(*rest), key).alias("_row")).select(*group, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
+def previous_in_group(df: DataFrame, group: str, key: str, name: str, block: int = 65536) -> DataFrame:
+    """``name``: the greatest lesser ``key`` (integers, unique) of each row's group; null for the first.
+
+    Windows are over ``block`` consecutive keys of a group, so a hot group is spread over many
+    tasks; a block's first row gets the last key of the block before, of which a group has one
+    row a block.
+    """
+    rows = df.withColumn("_block", F.floor(F.col(key) / block))
+    last = rows.groupBy(group, "_block").agg(F.max(key).alias("_last"))
+    last = last.select(group, "_block", F.lag("_last").over(W.partitionBy(group).orderBy("_block")).alias("_before"))
+    inside = F.lag(key).over(W.partitionBy(group, "_block").orderBy(key))
+    return rows.withColumn(name, inside).join(last, [group, "_block"]).select(*df.columns, F.coalesce(name, "_before").alias(name))
+
+
 def not_known(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Rows whose key was not collected yet; rows without a key are skipped, as by lookup."""
     return df.filter(F.col(key).isNotNull()).join(known.select(key).filter(F.col(key).isNotNull()).distinct(), key, "left_anti")

@@ -6,7 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridwright.functions import text as T
-from gridwright.operators.relational import latest_by_key, min_max, ratio
+from gridwright.operators.relational import latest_by_key, min_max, previous_in_group, ratio
 from gridwright.plans.common import QA, qa
 from gridwright.session import table
 
@@ -102,10 +102,9 @@ def j04_top_two(spark, sf):
 
 
 def j08_parent(spark, sf):
-    """Documents with the document written before theirs in the thread, by hashed threads."""
-    d = table(spark, sf, "documents").filter("thread_id is not null and thread_id <> 't_faq_pinned'").select("doc_id", "thread_id")
-    before = W.partitionBy("thread_id").orderBy("doc_id")
-    return d.withColumn("parent_id", F.lag("doc_id").over(before)).filter("parent_id is not null").select("doc_id", "parent_id")
+    """Documents with the document written before theirs in the thread, by blocks of ids."""
+    d = table(spark, sf, "documents").filter("thread_id is not null").select("doc_id", "thread_id")
+    return previous_in_group(d, "thread_id", "doc_id", "parent_id").filter("parent_id is not null").select("doc_id", "parent_id")
 
 
 def a02_simple_stats(spark, sf):
