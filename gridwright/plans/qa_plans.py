@@ -235,9 +235,10 @@ def w02_best_of_group(spark, sf):
 
 
 def w10_best_answer(spark, sf):
-    """Confirmed first, then by score, then the first."""
-    order = W.partitionBy("author").orderBy(F.desc(F.coalesce(c("op_confirmed"), F.lit(False)).cast("int")), F.desc_nulls_last("a_score"), "pair_id")
-    return qa(spark, sf).filter("author is not null and author <> 'sheet_helper_bot'").withColumn("k", F.row_number().over(order)).filter("k = 1").select("author", "pair_id")
+    """Of each question: confirmed first, then by score, then the first; whoever wrote it."""
+    rank = F.struct(F.coalesce("op_confirmed", F.lit(False)).alias("ok"), "a_score")
+    rows = qa(spark, sf).filter("q_id is not null").select("source", "q_id", "pair_id", rank.alias("rank"))
+    return best_of_group(rows, ["source", "q_id"], "rank", "pair_id").select("source", "q_id", "pair_id")
 
 
 def a25_tag_frequency(spark, sf):

@@ -5,6 +5,7 @@ import os
 import pytest
 
 from gridwright.operators.relational import previous_in_group
+from gridwright.plans.common import QA
 from gridwright.plans.registry import collect
 from tests.oracle import compare, connect
 
@@ -28,3 +29,11 @@ def test_previous_in_group_crosses_blocks(spark):
         want[g, k], last[g] = last.get(g), k
     got = previous_in_group(spark.createDataFrame(rows, "g string, k bigint"), "g", "k", "p", block=4).collect()
     assert {(r["g"], r["k"]): r["p"] for r in got} == want and len(got) == len(rows)
+
+
+def test_w10_has_every_question(spark, con):
+    compare(QUERIES["w10_best_answer"](spark, DATA), con, f"WITH {QA} SELECT source, q_id, pair_id FROM qa WHERE q_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY source, q_id ORDER BY CAST(coalesce(op_confirmed, false) AS INTEGER) DESC, a_score DESC NULLS LAST, pair_id) = 1")
+
+
+def test_f10_excludes_no_author(spark, con):
+    compare(QUERIES["f10_comment_gate"](spark, DATA), con, f"WITH {QA} SELECT pair_id FROM qa WHERE length(a_text) BETWEEN 50 AND 5000 AND a_score >= 0")
