@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gridwright.functions import text as T
 from gridwright.operators.graph import components, nearest, similar_pairs
 from gridwright.operators.relational import best_of_group, keyset_page, min_max, not_known, ratio
+from gridwright.operators.user_texts import user_similarity
 from gridwright.plans.common import QA, qa
 from gridwright.session import table
 
@@ -196,6 +197,14 @@ def j10_title_jaccard(spark, sf):
     return pairs.select(c("x.submission_id").alias("id"), c("x.collected_at").alias("first"), F.round(T.jaccard(c("x.g"), c("y.g")), 6).alias("jaccard"))
 
 
+def j10_user_similarity(spark, sf):
+    """Mean and greatest trigram Jaccard over all pairs of an author's answers, and their weighted score."""
+    said = F.lower(F.regexp_replace(F.when(c("a_text").rlike(r"(?U)\S"), c("a_text")).otherwise(c("a_md")), r"(?U)^\s+|\s+$", ""))
+    rows = qa(spark, sf).select(c("author").alias("user"), said.alias("text")).filter(F.length("text") > 10)
+    s = user_similarity(rows)
+    return s.select(c("user").alias("author"), "n", F.round("mean", 6).alias("mean"), F.round("most", 6).alias("most"), F.round(0.6 * c("mean") + 0.4 * c("most"), 6).alias("score"))
+
+
 # -- groups, windows, sorts ---------------------------------------------------------------
 def e03_components(spark, sf):
     pairs = similar_pairs(table(spark, sf, "embeddings"), "vec_id", "embedding", 0.42)
@@ -332,7 +341,7 @@ _HITS = lambda t, ws: "(" + " + ".join(f"CAST(contains(lower({t}), '{w}') AS INT
 _CODE = r"regexp_matches({}, '(?s)```.*```|`[^`\n]+`|<code>|<pre>|=[A-Z]+\(')"
 _GRAMS = "CASE WHEN length(lower({t})) >= 3 THEN list_distinct(list_transform(generate_series(1, length(lower({t})) - 2), lambda i: substr(lower({t}), i, 3))) ELSE [] END"
 
-QUERIES = {f.__name__: f for f in (s15_scan, s16_prefix_scan, s20_batch_export, s27_insert_new, s28_delete, s29_image_sources, pr01_canonical, pr02_body_if_any, pr03_answer_id, pr05_tags, pr06_vector_document, pr08_clean_row, pr09_defaults, pr11_context, pr14_merge, f01_by_quality, f02_text_gate, f05_two_of_three, f07_question_gate, f08_answer_gate, f16_validators, f18_predicate_tree, f22_contains, f25_two_of_four, j01_question_to_post, j03_left_newest, j05_not_in, j06_not_collected, j07_semi, j09_similar_pairs, j10_title_jaccard, j11_nearest, j12_dimension, e03_components, e04_keep_best, e05_group_size, e08_first_wins, a03_forum_stats, a06_dedup_stats, a12_pivot, a17_funnel, a25_tag_frequency, a26_keyword_shares, a27_score_range, a42_by_source, w01_min_max, w02_best_of_group, w10_best_answer, o01_top, o02_keyset, o03_offset, o04_top_authors, o08_longest_formula, u01_union, u02_difference, u03_jaccard, u05_top_up)}
+QUERIES = {f.__name__: f for f in (s15_scan, s16_prefix_scan, s20_batch_export, s27_insert_new, s28_delete, s29_image_sources, pr01_canonical, pr02_body_if_any, pr03_answer_id, pr05_tags, pr06_vector_document, pr08_clean_row, pr09_defaults, pr11_context, pr14_merge, f01_by_quality, f02_text_gate, f05_two_of_three, f07_question_gate, f08_answer_gate, f16_validators, f18_predicate_tree, f22_contains, f25_two_of_four, j01_question_to_post, j03_left_newest, j05_not_in, j06_not_collected, j07_semi, j09_similar_pairs, j10_title_jaccard, j10_user_similarity, j11_nearest, j12_dimension, e03_components, e04_keep_best, e05_group_size, e08_first_wins, a03_forum_stats, a06_dedup_stats, a12_pivot, a17_funnel, a25_tag_frequency, a26_keyword_shares, a27_score_range, a42_by_source, w01_min_max, w02_best_of_group, w10_best_answer, o01_top, o02_keyset, o03_offset, o04_top_authors, o08_longest_formula, u01_union, u02_difference, u03_jaccard, u05_top_up)}
 ORACLES = {
     "s15_scan": "SELECT DISTINCT question_id, quality_score FROM stackoverflow_collected WHERE quality_score >= 8 AND NOT isnan(quality_score)",
     "s16_prefix_scan": "SELECT submission_id, collected_at, CASE WHEN json_valid(metadata) THEN json_extract_string(metadata, '$.author') END AS author, CAST(CASE WHEN json_valid(metadata) THEN json_extract_string(metadata, '$.answers') END AS BIGINT) AS answers FROM reddit_collected WHERE starts_with(submission_id, '1a')",

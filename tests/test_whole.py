@@ -1,10 +1,13 @@
 """Queries against SQL without a cut: every group is in it, the hot one too."""
 
 import os
+import random
+from itertools import combinations
 
 import pytest
 
 from gridwright.operators.relational import previous_in_group
+from gridwright.operators.user_texts import trigrams, user_similarity
 from gridwright.plans.common import QA
 from gridwright.plans.registry import collect
 from tests.oracle import compare, connect
@@ -37,3 +40,25 @@ def test_w10_has_every_question(spark, con):
 
 def test_f10_excludes_no_author(spark, con):
     compare(QUERIES["f10_comment_gate"](spark, DATA), con, f"WITH {QA} SELECT pair_id FROM qa WHERE length(a_text) BETWEEN 50 AND 5000 AND a_score >= 0")
+
+
+def test_j10_compares_all_texts_of_a_user(spark):
+    rng = random.Random(5)
+    words = ["pivot", "sum it up", "Ärger!", "함수 값", "a-b", "the column"]
+    rows = [("hot", " ".join(rng.choices(words, k=rng.randrange(1, 5)))) for _ in range(90)] + [("two", "same text here"), ("two", "same text here"), ("one", "alone it is"), ("short", "!!"), ("short", "!!"), ("none", "abcd"), ("none", "xyzw")]
+    want = {}
+    for user in {u for u, _ in rows}:
+        pairs = list(combinations([trigrams(t) for u, t in rows if u == user], 2))
+        if pairs:
+            each = [len(a & b) / len(a | b) if a and b else 0.0 for a, b in pairs]
+            want[user] = (round(sum(each) / len(each), 9), round(max(each), 9))
+    df = spark.createDataFrame(rows, "user string, text string")
+    for block in (7, 1024):
+        got = {r["user"]: (round(r["mean"], 9), round(r["most"], 9)) for r in user_similarity(df, block).collect()}
+        assert got == want
+
+
+def test_j10_has_the_hot_author(spark, con):
+    want = con.execute(f"WITH {QA} SELECT author FROM qa WHERE author IS NOT NULL GROUP BY 1 HAVING count(*) FILTER (WHERE length(trim(a_text)) > 20) > 1").fetchall()
+    got = {r["author"]: r for r in QUERIES["j10_user_similarity"](spark, DATA).collect()}
+    assert {a for (a,) in want} <= set(got) and "sheet_helper_bot" in got
