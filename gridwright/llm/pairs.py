@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from gridwright.llm.reading import WORD, language
 from gridwright.llm.refusal_seeds import COMPANIONS, refusal_texts
-from gridwright.llm.residue import CLIP, FORMULA, TAG, WINDOW, ResidueModel, bare, blank_code, codes, covered, example_logs, lettered, modelled, natural_logs, placeholders, plain, without_code
+from gridwright.llm.residue import CLIP, FORMULA, TAG, WINDOW, ResidueModel, bare, blank_code, codes, covered, distinct_texts, example_logs, lettered, modelled, natural_logs, placeholders, plain, without_code
 from gridwright.session import written
 
 DEFECTS = ("empty", "truncated", "refusal", "copies_question", "other_language")
@@ -211,7 +211,10 @@ def question_language(question: str) -> str:
 
 
 def sentence_counts(pairs: DataFrame) -> DataFrame:
-    """sentence, inner (times as a whole sentence), ends (times as an end without a mark)."""
+    """sentence, inner (times as a whole sentence), ends (times as an end without a mark).
+
+    Different answers are counted: copies of one are one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inner: Counter = Counter()
@@ -238,7 +241,7 @@ def sentence_counts(pairs: DataFrame) -> DataFrame:
                 yield drain()
         yield drain()
 
-    return pairs.select("said").mapInArrow(run, "sentence string, inner bigint, ends bigint").groupBy("sentence").agg(F.sum("inner").alias("inner"), F.sum("ends").alias("ends"))
+    return distinct_texts(pairs.select("said")).mapInArrow(run, "sentence string, inner bigint, ends bigint").groupBy("sentence").agg(F.sum("inner").alias("inner"), F.sum("ends").alias("ends"))
 
 
 def cut_sentences(counts: DataFrame) -> DataFrame:

@@ -224,6 +224,12 @@ class ResidueModel:
         return bool(spots) or cover >= COVER, cover, len(spots)
 
 
+def distinct_texts(texts: DataFrame) -> DataFrame:
+    """Each text (one column) once, so that copies weigh in no count; nulls are left out."""
+    name = texts.columns[0]
+    return texts.filter(F.col(name).isNotNull()).groupBy(F.md5(name).alias("_hash")).agg(F.first(name).alias(name)).select(name)
+
+
 def natural_counts(texts: DataFrame) -> np.ndarray:
     """n-gram counts of all texts (one column), as an array of fixed size.
 
