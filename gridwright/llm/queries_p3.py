@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridwright.llm.residue import ResidueModel, answer_text, find_residue, natural_counts
+from gridwright.llm.residue import ResidueModel, answer_text, distinct_texts, find_residue, natural_counts
 from gridwright.session import spread, table
 
 
@@ -13,7 +13,7 @@ def residue_records(spark, sf_dir):
     answers = table(spark, sf_dir, "qa_pairs").select(F.lit("qa_pairs").alias("record_table"), F.col("pair_id").cast("string").alias("record_id"), answer_text().alias("text"))
     titles = table(spark, sf_dir, "oppadu_posts").select(F.lit("oppadu_posts").alias("record_table"), F.col("post_id").cast("string").alias("record_id"), F.col("title").alias("text"))
     records = spread(answers).unionByName(spread(titles))
-    return find_residue(records, ResidueModel(natural_counts(records.select("text"))))
+    return find_residue(records, ResidueModel(natural_counts(distinct_texts(records.select("text")))))
 
 
 def p3_found(spark, sf_dir):

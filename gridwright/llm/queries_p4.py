@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from gridwright.llm.pairs import broken_pairs, pair_texts
-from gridwright.llm.residue import natural_counts
+from gridwright.llm.residue import distinct_texts, natural_counts
 from gridwright.session import spread, table
 
 
 def p4_found(spark, sf_dir):
     pairs = spread(pair_texts(table(spark, sf_dir, "qa_pairs")))
-    return broken_pairs(pairs, natural_counts(pairs.select("said")))
+    return broken_pairs(pairs, natural_counts(distinct_texts(pairs.select("said"))))
 
 
 QUERIES = {"p4_found": p4_found}
