@@ -165,9 +165,10 @@ def c44_off_topic(spark, sf):
 
 
 def c48_response_pattern(spark, sf):
-    r = qa(spark, sf).filter("a_text is not null")
-    g = r.groupBy(F.pmod("pair_id", F.lit(40)).alias("grp")).agg(F.count(F.lit(1)).alias("n"), F.avg(F.length("a_text")).alias("m"), F.stddev_samp(F.length("a_text")).alias("s"))
-    return g.filter("n >= 3").select("grp", "n", F.round(F.try_divide("s", "m"), 4).alias("variation"))
+    """Variation of the length of each author's answers, of three or more."""
+    r = qa(spark, sf).filter("a_text <> '' and author is not null")
+    g = r.groupBy("author").agg(F.count(F.lit(1)).alias("n"), F.avg(F.length("a_text")).alias("m"), F.stddev_samp(F.length("a_text")).alias("s"))
+    return g.filter("n >= 3").select("author", "n", F.round(F.try_divide("s", "m"), 4).alias("variation"))
 
 
 def c49_engagement(spark, sf):

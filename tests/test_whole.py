@@ -62,3 +62,7 @@ def test_j10_has_the_hot_author(spark, con):
     want = con.execute(f"WITH {QA} SELECT author FROM qa WHERE author IS NOT NULL GROUP BY 1 HAVING count(*) FILTER (WHERE length(trim(a_text)) > 20) > 1").fetchall()
     got = {r["author"]: r for r in QUERIES["j10_user_similarity"](spark, DATA).collect()}
     assert {a for (a,) in want} <= set(got) and "sheet_helper_bot" in got
+
+
+def test_c48_is_of_authors(spark, con):
+    compare(QUERIES["c48_response_pattern"](spark, DATA), con, f"WITH {QA} SELECT author, count(*) AS n, round(stddev_samp(length(a_text)) / avg(length(a_text)), 4) AS variation FROM qa WHERE a_text <> '' AND author IS NOT NULL GROUP BY 1 HAVING count(*) >= 3")
