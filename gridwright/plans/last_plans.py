@@ -193,7 +193,10 @@ def e01_semantic_dedup(spark, sf):
 
 
 def e02_edges(spark, sf):
-    return similar_pairs(table(spark, sf, "embeddings"), "vec_id", "embedding", 0.95).select("a", "b")
+    """Pairs of cosine .95 among the vectors and a noisy copy of each."""
+    e = table(spark, sf, "embeddings").select(c("vec_id").cast("bigint").alias("vec_id"), c("embedding").cast("array<double>").alias("v"))
+    noisy = e.select((c("vec_id") + 1_000_000_000).alias("vec_id"), F.concat(F.transform(F.slice("v", 1, 1), lambda x: x * 1.25), F.slice("v", 2, 1 << 20)).alias("v"))
+    return similar_pairs(e.unionByName(noisy), "vec_id", "v", 0.95).select("a", "b")
 
 
 def e07_code_blocks(spark, sf):
@@ -248,7 +251,7 @@ QUERIES = {f.__name__: f for f in (s19_dataset, f09_submission_gate, f10_comment
 ORACLES = {
     "s19_dataset": f"{_W} SELECT source AS dataset, count(*) AS n, count(a_text) AS answered FROM qa WHERE title IS NOT NULL AND a_text IS NOT NULL GROUP BY 1",
     "f09_submission_gate": f"{_W} SELECT pair_id FROM qa WHERE source = 'reddit' AND length(title) BETWEEN 10 AND 200 AND q_score >= 5 AND total_comments >= 3",
-    "f10_comment_gate": f"{_W} SELECT pair_id FROM qa WHERE coalesce(author, '[deleted]') NOT IN ('[deleted]', 'sheet_helper_bot') AND length(a_text) BETWEEN 50 AND 5000 AND a_score >= 0",
+    "f10_comment_gate": f"{_W} SELECT pair_id FROM qa WHERE length(a_text) BETWEEN 50 AND 5000 AND a_score >= 0",
     "f12_answered": "SELECT DISTINCT post_id FROM oppadu_posts WHERE has_answer AND title IS NOT NULL",
     "f15_after_cleaning": f"{_W} SELECT pair_id FROM qa WHERE length({_STRIP('q_text')}) >= 10 AND length({_STRIP('a_text')}) >= 20",
     "f23_log_filter": "SELECT event_id FROM events WHERE contains(props, '\"k\": 7')",
@@ -273,11 +276,11 @@ ORACLES = {
     "c14_triage": f"{_W}, w AS (SELECT pair_id, CAST(coalesce(list_sum(list_transform(tags, lambda t: CASE WHEN t IN ('xlookup', 'sortby', 'filter') THEN 3 WHEN t = 'excel' THEN 1 ELSE 2 END)), 0) AS INTEGER) + CASE WHEN length(coalesce(q_text, '')) > 500 THEN 2 WHEN length(coalesce(q_text, '')) > 200 THEN 1 ELSE 0 END AS weight FROM qa) SELECT pair_id, weight, CASE WHEN weight >= 6 THEN 'complex' WHEN weight >= 3 THEN 'moderate' ELSE 'simple' END AS complexity FROM w",
     "c20_solution": f"{_W} SELECT q_id, pair_id FROM qa WHERE source = 'reddit' AND q_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY q_id ORDER BY CASE solution_type WHEN 'verified' THEN 3 WHEN 'op_confirmed' THEN 2 ELSE 1 END * 100000 + coalesce(a_score, 0) DESC, pair_id) = 1",
     "c44_off_topic": "SELECT doc_id, NOT (" + " OR ".join(f"contains(lower(text), '{w}')" for w in ("formula", "cell", "column", "row", "sheet", "workbook", "table", "range", "macro", "pivot")) + ") AS off_topic FROM documents WHERE text IS NOT NULL",
-    "c48_response_pattern": f"{_W} SELECT pair_id % 40 AS grp, count(*) AS n, round(stddev_samp(length(a_text)) / nullif(avg(length(a_text)), 0), 4) AS variation FROM qa WHERE a_text IS NOT NULL GROUP BY 1 HAVING count(*) >= 3",
+    "c48_response_pattern": f"{_W} SELECT author, count(*) AS n, round(stddev_samp(length(a_text)) / avg(length(a_text)), 4) AS variation FROM qa WHERE a_text <> '' AND author IS NOT NULL GROUP BY 1 HAVING count(*) >= 3",
     "c49_engagement": "WITH g AS (SELECT user_id, count(*) AS n, round(avg(CAST(value = 0 AS INTEGER)), 6) AS zero_share, count(DISTINCT event_type) AS kinds FROM events GROUP BY 1) SELECT *, CAST(CASE WHEN kinds = 1 AND n > 10 THEN 0.8 WHEN zero_share > 0.5 THEN 0.6 ELSE 0.1 END AS DOUBLE) AS risk FROM g",
     "c60_decision": f"{_W}, r AS (SELECT pair_id, {_RULES} AS r, {_style('a_text')} AS s FROM qa) SELECT pair_id, CASE WHEN greatest(r, s) >= 0.95 THEN 'block' WHEN (r + s) / 2 >= 0.7 THEN 'review' WHEN (r + s) / 2 >= 0.4 THEN 'watch' ELSE 'pass' END AS decision FROM r",
     "e01_semantic_dedup": f"WITH RECURSIVE {_E}, p AS (SELECT x.vec_id AS a, y.vec_id AS b FROM e x JOIN e y ON x.vec_id < y.vec_id WHERE list_dot_product(x.v, y.v) >= 0.42), l AS (SELECT a, b FROM p UNION SELECT b, a FROM p), r(id, seen) AS (SELECT a, a FROM l UNION SELECT r.id, l.b FROM r JOIN l ON r.seen = l.a), k AS (SELECT id, min(seen) AS component FROM r GROUP BY id) SELECT vec_id FROM embeddings LEFT JOIN k ON k.id = vec_id WHERE component IS NULL OR component = vec_id",
-    "e02_edges": f"WITH {_E} SELECT x.vec_id AS a, y.vec_id AS b FROM e x JOIN e y ON x.vec_id < y.vec_id WHERE list_dot_product(x.v, y.v) >= 0.95",
+    "e02_edges": "WITH o AS (SELECT CAST(vec_id AS BIGINT) AS vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings), u AS (SELECT * FROM o UNION ALL SELECT vec_id + 1000000000, list_concat([v[1] * 1.25], v[2:]) FROM o), e AS (SELECT vec_id, list_transform(v, lambda z: z / sqrt(list_dot_product(v, v))) AS v FROM u) SELECT x.vec_id AS a, y.vec_id AS b FROM e x JOIN e y ON x.vec_id < y.vec_id WHERE list_dot_product(x.v, y.v) >= 0.95",
     "e07_code_blocks": rf"{_W} SELECT pair_id, len(list_distinct(list_transform(regexp_extract_all(a_text, '{_F}'), lambda x: lower(regexp_replace(x, '[ \t\n]+', '', 'g'))))) AS n FROM qa WHERE a_text IS NOT NULL",
     "r02_incremental": "SELECT doc_id FROM documents WHERE created_utc > (SELECT max(created_utc) FROM documents) - 86400",
     "r09_expiring_counts": "SELECT event_type AS key, count(*) AS n FROM events GROUP BY 1",

@@ -50,9 +50,10 @@ def f03_threshold(spark, sf):
 
 
 def f06_solved(spark, sf):
-    """Verified pairs whose question was not collected before."""
-    known = table(spark, sf, "reddit_collected").select(c("submission_id").alias("q_id")).distinct()
-    return qa(spark, sf).filter((F.lower("solution_type") == "verified") & c("q_id").isNotNull()).join(known, "q_id", "left_anti").select("pair_id")
+    """New forum items marked as solved, in any case, that were not collected before."""
+    new = table(spark, sf, "incoming_items").filter((F.lower("source") == "reddit") & F.lower("title").contains("solved") & c("external_id").isNotNull())
+    known = table(spark, sf, "reddit_collected").select(c("submission_id").alias("external_id")).distinct()
+    return new.join(known, "external_id", "left_anti").select("item_id")
 
 
 def f11_required_words(spark, sf):
@@ -303,7 +304,7 @@ ORACLES = {
     "pr13_round_trip": f"{_W} SELECT pair_id, a_score, author FROM qa",
     "pr17_features": f"{_W} SELECT pair_id, length(title) AS title_length, coalesce(len(tags), 0) AS tags, contains(q_text, '?') AS asks, {_CODE} AS code FROM qa",
     "f03_threshold": "SELECT DISTINCT post_id FROM oppadu_posts WHERE quality_score >= 5.5 AND quality_score <= 10",
-    "f06_solved": f"{_W} SELECT pair_id FROM qa WHERE lower(solution_type) = 'verified' AND q_id IS NOT NULL AND q_id NOT IN (SELECT submission_id FROM reddit_collected WHERE submission_id IS NOT NULL)",
+    "f06_solved": "SELECT item_id FROM incoming_items WHERE lower(source) = 'reddit' AND contains(lower(title), 'solved') AND external_id NOT IN (SELECT submission_id FROM reddit_collected WHERE submission_id IS NOT NULL)",
     "f11_required_words": "SELECT DISTINCT post_id FROM oppadu_posts WHERE contains(title, '함수') AND NOT regexp_matches(title, '광고|홍보|오류')",
     "f13_good_after": "SELECT DISTINCT question_id FROM stackoverflow_collected WHERE quality_score >= 7 AND quality_score <= 10 AND question_id > 60001000",
     "f14_required_fields": f"{_W} SELECT pair_id FROM qa WHERE trim(coalesce(title, ''), ' ') <> '' AND trim(coalesce(a_text, ''), ' ') <> '' AND trim(coalesce(author, ''), ' ') <> ''",
@@ -313,7 +314,7 @@ ORACLES = {
     "f24_empty_is_bot": f"{_W} SELECT pair_id, coalesce(trim(a_text, ' ') = '', true) AS gated FROM qa",
     "j02_accepted_or_best": f"{_W} SELECT q_id, pair_id FROM qa WHERE q_id IS NOT NULL AND (coalesce(op_confirmed, false) OR a_score >= 1) QUALIFY row_number() OVER (PARTITION BY q_id ORDER BY CAST(coalesce(op_confirmed, false) AS INTEGER) DESC, a_score DESC NULLS LAST, pair_id) = 1",
     "j04_top_two": f"{_W} SELECT source, pair_id, row_number() OVER (PARTITION BY source ORDER BY a_score DESC, pair_id) AS k FROM qa WHERE a_score IS NOT NULL QUALIFY k <= 2",
-    "j08_parent": "SELECT * FROM (SELECT doc_id, lag(doc_id) OVER (PARTITION BY thread_id ORDER BY doc_id) AS parent_id FROM documents WHERE thread_id IS NOT NULL AND thread_id <> 't_faq_pinned') WHERE parent_id IS NOT NULL",
+    "j08_parent": "SELECT * FROM (SELECT doc_id, lag(doc_id) OVER (PARTITION BY thread_id ORDER BY doc_id) AS parent_id FROM documents WHERE thread_id IS NOT NULL) WHERE parent_id IS NOT NULL",
     "a02_simple_stats": f"SELECT count(*) AS n, count(*) FILTER (WHERE overall >= 3) AS passed, round(100.0 * count(*) FILTER (WHERE overall >= 3) / count(*), 4) AS percent, min(overall) AS least, max(overall) AS most FROM ({_TEXT['c05_simple_score']})",
     "a05_triage_stats": f"{_W} SELECT CASE WHEN {_CODE} THEN 'code' ELSE 'text' END AS path, count(*) AS n FROM qa GROUP BY 1",
     "a07_similarity_spread": f"WITH {_E} SELECT count(*) AS pairs, round(min(similarity), 3) AS least, round(max(similarity), 3) AS most FROM s",

@@ -390,7 +390,7 @@ ORACLES = {
     "a42_by_source": "SELECT source, count(*) AS n FROM qa_pairs GROUP BY source",
     "w01_min_max": f"{_W}, r AS (SELECT pair_id, q_score::DOUBLE AS q, a_score::DOUBLE AS a, count(*) OVER s AS n, min(q_score) OVER s AS ql, max(q_score) OVER s AS qh, min(a_score) OVER s AS al, max(a_score) OVER s AS ah FROM qa WHERE q_score IS NOT NULL AND a_score IS NOT NULL WINDOW s AS (PARTITION BY source)) SELECT pair_id, round(CASE WHEN n <= 1 OR qh = ql THEN 1.0 ELSE (q - ql) / (qh - ql) END::DOUBLE, 6) AS q_norm, round(CASE WHEN n <= 1 OR ah = al THEN 1.0 ELSE (a - al) / (ah - al) END::DOUBLE, 6) AS a_norm FROM r",
     "w02_best_of_group": f"{_W} SELECT q_id, pair_id FROM qa WHERE q_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY q_id ORDER BY a_score DESC NULLS LAST, pair_id) = 1",
-    "w10_best_answer": f"{_W} SELECT author, pair_id FROM qa WHERE author IS NOT NULL AND author <> 'sheet_helper_bot' QUALIFY row_number() OVER (PARTITION BY author ORDER BY CAST(coalesce(op_confirmed, false) AS INTEGER) DESC, a_score DESC NULLS LAST, pair_id) = 1",
+    "w10_best_answer": f"{_W} SELECT source, q_id, pair_id FROM qa WHERE q_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY source, q_id ORDER BY CAST(coalesce(op_confirmed, false) AS INTEGER) DESC, a_score DESC NULLS LAST, pair_id) = 1",
     "o01_top": f"{_W} SELECT pair_id, overall FROM qa WHERE {_GOOD} ORDER BY overall DESC, pair_id LIMIT 50",
     "o02_keyset": "SELECT doc_id, source FROM documents WHERE doc_id > 500 ORDER BY doc_id LIMIT 100",
     "o03_offset": "SELECT doc_id FROM documents ORDER BY doc_id LIMIT 50 OFFSET 200",

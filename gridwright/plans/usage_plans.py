@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gridwright.operators.relational import bounded_history, describe, exact_quantile, latest_by_key, nearest_rank, ratio
+from gridwright.operators.relational import bounded_history, describe, exact_quantile, latest_by_key, nearest_rank, previous_in_group, ratio
 from gridwright.plans.common import USAGE, usage
 from gridwright.session import table
 
@@ -142,10 +142,9 @@ def w03_gap_regularity(spark, sf):
 
 
 def w07_previous_gap(spark, sf):
-    """Events within five seconds of the user's previous one."""
-    order = W.partitionBy("user_id").orderBy("event_id")
-    gap = F.unix_micros(F.col("ts").cast("timestamp")) - F.lag(F.unix_micros(F.col("ts").cast("timestamp"))).over(order)
-    return table(spark, sf, "events").select("event_id", "user_id", (gap / F.lit(1_000_000.0)).alias("gap_s")).filter("gap_s < 5")
+    """Records within five seconds of the model's previous one, by blocks of a day."""
+    r = usage(spark, sf).filter("model is not null and happened is not null").select("model", F.unix_seconds(F.col("happened").cast("timestamp")).alias("second"))
+    return previous_in_group(r, "model", "second", "before", 86_400).select("model", "second", (F.col("second") - F.col("before")).alias("gap_s")).filter("gap_s < 5")
 
 
 def w11_posts_per_hour(spark, sf):
@@ -190,8 +189,9 @@ def x05_retention(spark, sf):
 
 
 def x01_upsert(spark, sf):
-    """INSERT OR REPLACE by key: the row collected last wins."""
-    rows = table(spark, sf, "stackoverflow_collected").select("question_id", "title", "collected_at", "quality_score")
+    """INSERT OR REPLACE by key: the row collected last wins.  A score that is no number is none."""
+    score = F.nanvl("quality_score", F.lit(None).cast("double")).alias("quality_score")
+    rows = table(spark, sf, "stackoverflow_collected").select("question_id", "title", "collected_at", score)
     return latest_by_key(rows, ["question_id"], ["collected_at"])
 
 
@@ -248,7 +248,7 @@ ORACLES = {
     "w04_error_rate": f"SELECT event_id, user_id, error_rate FROM (SELECT event_id, user_id, count(*) {_EVENTS_LAST} AS seen, round(avg(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) {_EVENTS_LAST}, 6) AS error_rate FROM events) WHERE seen = 10",
     "w05_bounded_history": "SELECT event_id, event_type, CAST(sum(CAST(value AS DECIMAL(18,4))) OVER w AS DOUBLE) / count(value) OVER w AS mean_1000 FROM events WINDOW w AS (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN 999 PRECEDING AND CURRENT ROW)",
     "w06_last10_success": f"SELECT event_id, event_type, CASE WHEN count(*) {_TYPE_LAST} >= 3 THEN round(avg(CASE WHEN value > 50 THEN 1 ELSE 0 END) {_TYPE_LAST}, 6) END AS success_rate FROM events",
-    "w07_previous_gap": "SELECT * FROM (SELECT event_id, user_id, (epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY event_id)) / 1000000.0 AS gap_s FROM events) WHERE gap_s < 5",
+    "w07_previous_gap": f"WITH {USAGE}, g AS (SELECT model, CAST(floor(epoch(happened)) AS BIGINT) AS second, CAST(floor(epoch(happened)) AS BIGINT) - lag(CAST(floor(epoch(happened)) AS BIGINT)) OVER (PARTITION BY model ORDER BY happened) AS gap_s FROM u WHERE model IS NOT NULL AND happened IS NOT NULL) SELECT * FROM g WHERE gap_s < 5",
     "w08_running_mean": "SELECT event_id, user_id, CAST(sum(CAST(value AS DECIMAL(18,4))) OVER w AS DOUBLE) / count(value) OVER w AS mean FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
     "w11_posts_per_hour": "WITH h AS (SELECT user_id, date_trunc('hour', ts) AS hour, count(*) AS n FROM events GROUP BY 1, 2) SELECT user_id, max(n) AS most, round(avg(n), 6) AS mean, CAST(CASE WHEN max(n) > 20 THEN 0.9 WHEN max(n) > 10 THEN 0.7 WHEN avg(n) > 3 THEN 0.6 ELSE 0.1 END AS DOUBLE) AS risk FROM h GROUP BY user_id",
     "r07_minute_counts": "SELECT strftime(ts, '%Y-%m-%d %H:%M') AS minute, count(*) AS n FROM events GROUP BY 1",
@@ -256,7 +256,7 @@ ORACLES = {
     "a22_detector_metrics": "WITH g AS (SELECT event_type, count(*) AS n, count(*) FILTER (WHERE value > 100) AS h, list(value ORDER BY value) FILTER (WHERE value IS NOT NULL) AS v FROM events GROUP BY 1) SELECT event_type, n, round(h / n::DOUBLE, 6) AS hit_rate, v[least(CAST(floor(len(v) * 0.95) AS BIGINT), len(v) - 1) + 1] AS p95, v[least(CAST(floor(len(v) * 0.99) AS BIGINT), len(v) - 1) + 1] AS p99 FROM g",
     "a36_health": "WITH l AS (SELECT user_id % 20 AS grp, event_type, row_number() OVER (PARTITION BY user_id % 20 ORDER BY event_id DESC) AS k FROM events) SELECT grp, round(avg(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END), 6) AS error_rate, CASE WHEN avg(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) > 0.5 THEN 'critical' WHEN avg(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) > 0.2 THEN 'warning' ELSE 'healthy' END AS status FROM l WHERE k <= 10 GROUP BY grp",
     "x05_retention": f"{U}, f AS (SELECT *, CASE WHEN stamp LIKE '%.%' THEN happened + CAST(rpad(regexp_extract(stamp, '\\.(\\d+)', 1), 6, '0') AS INTEGER) * INTERVAL 1 MICROSECOND ELSE happened END AS exact FROM u WHERE happened IS NOT NULL) SELECT id, model, source FROM f WHERE exact >= (SELECT max(exact) FROM f) - INTERVAL 30 DAY",
-    "x01_upsert": "SELECT question_id, title, collected_at, quality_score FROM stackoverflow_collected QUALIFY row_number() OVER (PARTITION BY question_id ORDER BY collected_at DESC) = 1",
+    "x01_upsert": "SELECT question_id, title, collected_at, CASE WHEN NOT isnan(quality_score) THEN quality_score END AS quality_score FROM stackoverflow_collected QUALIFY row_number() OVER (PARTITION BY question_id ORDER BY collected_at DESC) = 1",
     "a08_tracker_stats": "WITH r AS (SELECT 'stackoverflow' AS source, collected_at, quality_score FROM stackoverflow_collected UNION ALL SELECT 'reddit', collected_at, quality_score FROM reddit_collected UNION ALL SELECT 'oppadu', collected_at, quality_score FROM oppadu_collected) SELECT source, count(*) AS n, round(CAST(sum(CAST(quality_score AS DECIMAL(18,4))) AS DOUBLE) / count(quality_score), 4) AS mean, min(quality_score) AS least, max(quality_score) AS most FROM r WHERE collected_at >= 1930000000 AND NOT isnan(quality_score) GROUP BY source",
     "a01_score_stats": "SELECT count(s) AS n, round(avg(s), 6) AS mean, round(quantile_cont(s, 0.5), 6) AS median, min(s) AS least, max(s) AS most, round(stddev_pop(s), 6) AS deviation, count(*) FILTER (WHERE s >= 5) AS passed, round(100.0 * (count(*) FILTER (WHERE s >= 5)) / count(s), 4) AS passed_percent, count(*) FILTER (WHERE s >= 9) AS excellent, count(*) FILTER (WHERE s >= 7 AND s < 9) AS good, count(*) FILTER (WHERE s >= 5 AND s < 7) AS fair FROM (SELECT quality_score AS s FROM reddit_collected WHERE quality_score BETWEEN 0 AND 10)",
     "a43_share_of_total": "SELECT coalesce(source, 'none') AS source, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 6) AS percent FROM usage_records GROUP BY 1",

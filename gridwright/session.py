@@ -34,13 +34,16 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share.
 
-    It is the session's ``spark.checkpoint.dir``.  Only where that is unset (tests, local
-    mode) is a folder of this machine used, and then it is recorded in the session.
+    It is the session's ``spark.checkpoint.dir``.  Only where that is unset in local mode
+    (tests) is a folder of this machine used, and then it is recorded in the session; on a
+    cluster other machines couldn't read it, so there the setting is required.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
         folder = spark.conf.get("gridwright.local.dir", None)
         if not folder:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="gridwright-")
             spark.conf.set("gridwright.local.dir", folder)
     return folder.rstrip("/")

@@ -22,7 +22,7 @@ def canon(value):
     if isinstance(value, bool):
         return str(value)
     if isinstance(value, float):
-        return "NULL" if math.isnan(value) else f"{value:.6f}"
+        return "NaN" if math.isnan(value) else f"{value:.6f}"
     if isinstance(value, int):
         return f"{float(value):.6f}"
     if isinstance(value, (list, tuple)):

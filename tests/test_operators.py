@@ -27,13 +27,35 @@ def test_components_equal_union_find(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_components_of_a_long_path(spark):
+    order = list(range(1 << 14))
+    random.Random(9).shuffle(order)
+    edges = spark.createDataFrame([(k, k + 1) for k in order], "a bigint, b bigint").repartition(16)
+    got = components(edges).groupBy("component").count().collect()
+    assert [tuple(r) for r in got] == [(0, (1 << 14) + 1)]
+
+
+def test_similar_pairs_of_clusters_and_odd_vectors(spark):
+    rng = random.Random(8)
+    centres = [[rng.gauss(0, 1) for _ in range(6)] for _ in range(5)]
+    vecs = [[x + rng.gauss(0, 0.05) for x in centres[min(k % 9, 4)]] for k in range(150)]
+    rows = [(k, v) for k, v in enumerate(vecs)] + [(900, []), (901, [None] * 6), (902, [float("nan")] * 6), (None, [1.0] * 6)]
+    df = spark.createDataFrame(rows, "id bigint, v array<double>").repartition(3)
+    unit = [[x / sum(y * y for y in v) ** 0.5 for x in v] for v in vecs]
+    for least in (0.99, 0.2):
+        want = {(a, b) for a in range(150) for b in range(a + 1, 150) if sum(x * y for x, y in zip(unit[a], unit[b])) >= least}
+        got = [(r["a"], r["b"]) for r in similar_pairs(df, "id", "v", least, block=20).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    assert similar_pairs(df.limit(0), "id", "v", 0.5).count() == 0
+
+
 def test_similar_pairs_lose_nothing(spark):
     rng = random.Random(5)
     vecs = [[rng.gauss(0, 1) for _ in range(4)] for _ in range(60)] + [[1.0, 0.0, 0.0, 0.0]] * 3 + [[0.0] * 4, None]
     df = spark.createDataFrame(list(enumerate(vecs)), "id bigint, v array<double>")
     unit = [None if not v or not any(v) else [x / sum(y * y for y in v) ** 0.5 for x in v] for v in vecs]
     want = {(a, b) for a in range(63) for b in range(a + 1, 63) if sum(x * y for x, y in zip(unit[a], unit[b])) >= 0.8}
-    pairs = {(r["a"], r["b"]) for r in similar_pairs(df, "id", "v", 0.8, cells=6).collect()}
+    pairs = {(r["a"], r["b"]) for r in similar_pairs(df, "id", "v", 0.8, block=16).collect()}
     assert pairs <= want
     # copies come as links to their first: together they connect what the pairs connect
     first = {62: 60, 61: 60}
