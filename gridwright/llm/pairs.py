@@ -2,13 +2,14 @@
 
 Sorted by text, an answer's last sentence that was cut off stands right before a longer
 sentence that begins with it: neighbours' common prefixes find shortened versions, and the
-lengths at which suspiciously many answers stop count as limits.  Copies of the question,
-refusals and answers in another language are told by rules on the pair itself.
+lengths at which suspiciously many answers stop count as limits.  An open formula, macro or
+list shows a cut by itself.  Copies of the question, refusals (by n-gram models as in
+:mod:`gridwright.llm.residue`) and answers in another language are told by rules on the pair
+itself.
 """
 
 from __future__ import annotations
 
-import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -20,22 +21,19 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridwright.llm.reading import WORD, language
-from gridwright.llm.refusal_seeds import COMPANIONS, refusal_texts
-from gridwright.llm.residue import CLIP, FORMULA, TAG, WINDOW, ResidueModel, bare, blank_code, codes, covered, distinct_texts, example_logs, lettered, modelled, natural_logs, placeholders, plain, without_code
+from gridwright.llm.refusal_seeds import COMPANIONS, SHORT_ANSWERS, refusal_texts
+from gridwright.llm.residue import FORMULA, RATIO, STEP, TAG, WINDOW, ResidueModel, bare, blank_code, coverage, distinct_texts, example_logs, flat_codes, modelled, natural_base, placeholders, plain, prose_counts, ratios, without_code
 from gridwright.session import written
 
 DEFECTS = ("empty", "truncated", "refusal", "copies_question", "other_language")
 #: Share of an answer's n-grams in the question that makes it a copy, and its fewest words.
 COPY, COPY_WORDS = 0.8, 5
-#: Share of the letters that refusal must cover.
-REFUSED = 0.6
+#: Share of the letters that refusal must cover, and the mean log ratio of its best window.
+REFUSED, CORE = 0.6, 0.8
 #: A cut sentence's full version is at least so many times as frequent as the cut one as an end.
 OFTEN = 3
 #: Ends without a mark count a WHOLE-th as whole sentences.
 WHOLE = 4
-#: Characters of a sentence's head that keep sorted neighbours in one task; shorter ends are
-#: looked up among all heads down to LEAST_HEAD characters.
-HEAD, LEAST_HEAD = 12, 3
 #: A length is a limit if it has so many times the answers of the lengths around it.
 SPIKE, AROUND = 8.0, 10
 
@@ -139,109 +137,97 @@ def copies(answer: str, question: str) -> bool:
 
 
 class RefusalModel:
-    """Log likelihood ratios of refusal against the corpus's prose."""
+    """Log likelihood ratios of refusal against the corpus's prose and short sound answers."""
 
     def __init__(self, natural: np.ndarray):
-        base = natural_logs(natural)
-        best = np.maximum(example_logs(refusal_texts()), example_logs(COMPANIONS))
-        self.core = self._clip(example_logs(refusal_texts()), base)
-        self.ratio = self._clip(best, base)
-
-    @staticmethod
-    def _clip(best: np.ndarray, base: np.ndarray) -> np.ndarray:
-        return np.clip(np.where(np.isinf(best), -CLIP * 0.6, best - base), -CLIP, CLIP).astype(np.float32)
-
-    def cover(self, at: np.ndarray, letters: np.ndarray) -> tuple[float, float]:
-        """Share of letters in refusal windows, and the largest window mean of refusals proper."""
-        if letters.sum() < 8:
-            return 0.0, 0.0
-        share = covered(self.ratio[at], letters, 0.5)
-        if share < REFUSED:
-            return share, 0.0
-        width = min(WINDOW, len(at))
-        total = np.concatenate(([0.0], np.cumsum(self.core[at], dtype=np.float64)))
-        return share, float((total[width:] - total[:-width]).max() / width)
+        base = np.maximum(natural_base(natural), example_logs(SHORT_ANSWERS))
+        core = example_logs(refusal_texts())
+        self.core, self.ratio = ratios(core, base), ratios(np.maximum(core, example_logs(COMPANIONS)), base)
+
+    def judge(self, flat: tuple) -> np.ndarray:
+        """Which texts are refusals: covered by refusal and its companions, a refusal proper among them."""
+        out = coverage(self.ratio, flat, RATIO) >= REFUSED
+        at, _, starts, sizes = flat
+        for k in np.flatnonzero(out):
+            total = np.append(0, np.cumsum(self.core[at[starts[k] : starts[k] + sizes[k]]], dtype=np.int64))
+            width = min(WINDOW, sizes[k])
+            out[k] = (total[width:] - total[:-width]).max() > CORE * STEP * width
+        return out
 
 
 class PairJudge:
-    """Judges one pair as far as that pair alone shows it."""
+    """Judges pairs as far as each pair alone shows it."""
 
     def __init__(self, natural: np.ndarray):
         self.residue, self.refusal = ResidueModel(natural), RefusalModel(natural)
 
-    def judge(self, text: str | None, markdown: str | None, title: str | None, body: str | None) -> tuple[str, str | None, str | None]:
-        """(defect or '' or 'residue', masked last sentence without an end mark, language)."""
-        if bare(text) and not (text and placeholders(blank_code(plain(text)))):
-            if bare(markdown):
-                return "empty", None, ""
-            text = markdown
+    def judge(self, pairs: list[tuple]) -> list[tuple[str, str | None, bool]]:
+        """(defect or '' or 'residue', masked last sentence if it has no end mark, whether the
+        form alone shows a cut) of pairs (text, markdown, title, body)."""
+        said: list[str | None] = []
+        for text, markdown, _, _ in pairs:
+            if bare(text) and not (text and placeholders(blank_code(plain(text)))):
+                text = None if bare(markdown) else markdown
+            said.append(text)
+        flat = flat_codes([modelled(t) if t else "" for t in said])
+        residue, refusal = self.residue.judge(said, flat)[0], self.refusal.judge(flat)
+        return [("empty", None, False) if text is None else ("residue", None, False) if left else self._rest(text, title, body, declines) for text, left, declines, (_, _, title, body) in zip(said, residue, refusal, pairs, strict=True)]
+
+    def _rest(self, text: str, title: str | None, body: str | None, declines: bool) -> tuple[str, str | None, bool]:
         shown = plain(text).strip()
-        read = modelled(text)
-        at, letters = codes(read)[: len(read)], lettered(read)
-        if self.residue.judge(text, (at, letters))[0]:
-            return "residue", None, ""
         question = plain(f"{title or ''}\n{body or ''}")
-        if copies(TAG.sub(" ", shown) if "<" in shown else shown, question):
-            return "copies_question", None, ""
+        untagged = TAG.sub(" ", shown) if "<" in shown else shown
+        if copies(untagged, question):
+            return "copies_question", None, False
         said = prose(shown)
         words = WORD.findall(said.lower())
-        has_code = "=" in shown and FORMULA.search(shown) or MACRO_HEAD.search(shown)
-        if not has_code and words:
-            cover, core = self.refusal.cover(at, letters)
-            if cover >= REFUSED and core > 0.8:
-                return "refusal", None, ""
+        if declines and words and not ("=" in shown and FORMULA.search(shown) or MACRO_HEAD.search(shown)):
+            return "refusal", None, False
+        tail, flat = None, untagged.rstrip(" *_>")
+        if flat and flat[-1] not in ")]`}\"" and not END_MARK.search(flat, pos=max(0, len(flat) - 12)):
+            last = parts(said)
+            end = mask(last[-1]) if last else ""
+            tail = end if SPEECH.search(end) else None
         if stops_short(shown):
-            return "truncated", None, ""
+            return "", tail, True
         if len(words) >= 4:
             told = language(words)
             asked = question_language(question) if told else ""
             if asked and asked != told:
-                return "other_language", None, told
-        flat = (TAG.sub(" ", shown) if "<" in shown else shown).rstrip(" *_>")
-        tail = None
-        if flat and flat[-1] not in ")]`}\"" and not END_MARK.search(flat, pos=max(0, len(flat) - 12)):
-            last = parts(said)
-            end = mask(last[-1]) if last else ""
-            tail = end if len(end) >= LEAST_HEAD else None
-        return "", tail, ""
+                return "other_language", None, False
+        return "", tail, False
 
 
 def question_language(question: str) -> str:
     return language(WORD.findall(without_code(question).lower()))
 
 
-def sentence_counts(pairs: DataFrame) -> DataFrame:
-    """sentence, inner (times as a whole sentence), ends (times as an end without a mark).
-
-    Different answers are counted: copies of one are one.
-    """
+def read_answers(pairs: DataFrame) -> DataFrame:
+    """(prose, sentences, whole) of each different answer, written once: what the models read,
+    the masked sentences, and whether the last one ends with a mark."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        inner: Counter = Counter()
-        ends: Counter = Counter()
-
-        def drain() -> pa.RecordBatch:
-            keys = list(inner.keys() | ends.keys())
-            out = pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([inner[k] for k in keys], pa.int64()), pa.array([ends[k] for k in keys], pa.int64())], ["sentence", "inner", "ends"])
-            inner.clear()
-            ends.clear()
-            return out
-
         for batch in batches:
+            proses, every, ended = [], [], []
             for text in batch.column(0).to_pylist():
-                if text:
-                    shown = plain(text).strip()
-                    every = masked(prose(shown))
-                    if every:
-                        inner.update(every[:-1])
-                        flat = (TAG.sub(" ", shown) if "<" in shown else shown).rstrip(" *_>")
-                        whole = END_MARK.search(flat, pos=max(0, len(flat) - 12))
-                        (inner if whole else ends).update(every[-1:])
-            if len(inner) + len(ends) > 100_000:
-                yield drain()
-        yield drain()
+                shown = plain(text).strip()
+                flat = (TAG.sub(" ", shown) if "<" in shown else shown).rstrip(" *_>")
+                proses.append(modelled(text))
+                every.append(masked(prose(shown)))
+                ended.append(END_MARK.search(flat, pos=max(0, len(flat) - 12)) is not None)
+            yield pa.RecordBatch.from_arrays([pa.array(proses, pa.string()), pa.array(every, pa.list_(pa.string())), pa.array(ended)], ["prose", "sentences", "whole"])
 
-    return distinct_texts(pairs.select("said")).mapInArrow(run, "sentence string, inner bigint, ends bigint").groupBy("sentence").agg(F.sum("inner").alias("inner"), F.sum("ends").alias("ends"))
+    return written(distinct_texts(pairs.select("said")).mapInArrow(run, "prose string, sentences array<string>, whole boolean"), "answers-read")
+
+
+def sentence_counts(read: DataFrame) -> DataFrame:
+    """sentence, inner (times as a whole sentence), ends (times as an end without a mark).
+
+    Different answers are counted: copies of one are one.
+    """
+    each = read.select(F.posexplode("sentences").alias("at", "sentence"), F.size("sentences").alias("n"), "whole")
+    whole = F.col("whole") | (F.col("at") < F.col("n") - 1)
+    return each.groupBy("sentence").agg(F.count_if(whole).alias("inner"), F.count_if(~whole).alias("ends"))
 
 
 def cut_sentences(counts: DataFrame) -> DataFrame:
@@ -250,38 +236,60 @@ def cut_sentences(counts: DataFrame) -> DataFrame:
     An end without a mark is itself a whole sentence if it is frequent by far (a closing):
     a WHOLE-th of its number counts then.
 
-    In text order, the sentences that begin with an end follow it directly.  Sorting by range
-    of the first HEAD characters keeps each such run in one task, which reads it as a stream
-    and holds only the chain of prefixes of the current sentence.  Shorter ends are matched
-    with the heads of all whole sentences by an equi-join.
+    In text order, the sentences that begin with an end follow it directly.  Each task sorts
+    a range of the sentences, reads it as a stream and holds only the chain of prefixes of the
+    current sentence.  A run may go on in the next ranges: a task gives the ends still open at
+    its last sentence, and for each prefix of its first sentence the most frequent sentence of
+    its own that goes on with that prefix; the two are joined.
     """
     counts = counts.withColumn("inner", F.greatest("inner", F.floor(F.col("ends") / WHOLE)))
-    head = F.substring("sentence", 1, HEAD)
-    long = counts.filter(F.length("sentence") >= HEAD).select(head.alias("head"), "sentence", "inner", "ends").repartitionByRange("head").sortWithinPartitions("sentence")
+    order = counts.select("sentence", "inner", "ends").repartitionByRange("sentence").sortWithinPartitions("sentence")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain: list[list] = []  # [sentence, ends, largest count of a continuation]
+        first, heads, common = None, {}, 0
         for batch in batches:
             out = []
-            for sentence, inner, ends in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
+            for sentence, inner, ends in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 while chain and not sentence.startswith(chain[-1][0]):
                     done = chain.pop()
-                    if done[1] and done[2] >= OFTEN * done[1]:
-                        out.append(done[0])
+                    if done[1]:
+                        out.append(done)
+                speech = max((m.end() for m in SPEECH.finditer(sentence)), default=0) - 2
                 for one in chain:
-                    if inner > one[2] and SPEECH.search(sentence, pos=len(one[0])):
+                    if inner > one[2] and len(one[0]) <= speech:
                         one[2] = inner
+                if first is None:
+                    first, common = sentence, len(sentence)
+                if common:
+                    common = _common(first, sentence, common)
+                    at = min(common, speech)
+                    if at > 0 and inner > heads.get(at, 0):
+                        heads[at] = inner
                 chain.append([sentence, ends, 0])
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["tail"])
-        yield pa.RecordBatch.from_arrays([pa.array([c[0] for c in chain if c[1] and c[2] >= OFTEN * c[1]], pa.string())], ["tail"])
+            yield _rows([c for c in out if c[2] >= OFTEN * c[1]], False)
+        yield _rows([c for c in chain if c[1]], True)
+        most, rows = 0, []
+        for at in range(len(first or ""), 0, -1):
+            most = max(most, heads.get(at, 0))
+            if most:
+                rows.append([first[:at], 0, most])
+        yield _rows(rows, True)
+
+    found = written(order.mapInArrow(run, "tail string, ends bigint, most bigint, open boolean"), "tails")
+    joined = found.filter("open").groupBy("tail").agg(F.max("ends").alias("ends"), F.max("most").alias("most"))
+    return found.filter("not open").select("tail").unionByName(joined.filter((F.col("ends") > 0) & (F.col("most") >= OFTEN * F.col("ends"))).select("tail"))
+
 
-    found = long.mapInArrow(run, "tail string")
-    short = counts.filter((F.length("sentence") < HEAD) & (F.length("sentence") >= LEAST_HEAD) & (F.col("ends") > 0)).select(F.col("sentence").alias("tail"), "ends")
-    sizes = F.explode(F.sequence(F.lit(LEAST_HEAD), F.lit(HEAD - 1))).alias("size")
-    heads = counts.filter("inner > 0").select("sentence", "inner", sizes).filter(F.length("sentence") > F.col("size"))
-    goes_on = F.expr("substring(sentence, size + 1)").rlike(r"[\p{L}]{2,}")
-    heads = heads.filter(goes_on).groupBy(F.expr("substring(sentence, 1, size)").alias("tail")).agg(F.max("inner").alias("most"))
-    return found.unionByName(short.join(heads, "tail").filter(F.col("most") >= OFTEN * F.col("ends")).select("tail"))
+def _rows(found: list[list], unfinished: bool) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.int64()), pa.array([f[2] for f in found], pa.int64()), pa.array([unfinished] * len(found), pa.bool_())], ["tail", "ends", "most", "open"])
+
+
+def _common(a: str, b: str, most: int) -> int:
+    """Length of the common prefix, ``most`` at most."""
+    if a[:most] == b[:most]:
+        return most
+    return next(k for k in range(most) if a[k : k + 1] != b[k : k + 1])
 
 
 def length_limits(judged: DataFrame) -> DataFrame:
@@ -297,20 +305,20 @@ def length_limits(judged: DataFrame) -> DataFrame:
 
 
 def judge_pairs(pairs: DataFrame, natural: np.ndarray) -> DataFrame:
-    """pair_id, defect, tail, size of each row (``text, markdown, title, body`` judged alone)."""
-    model = PairJudge(natural)
-    shared = pairs.sparkSession.sparkContext.broadcast(model)
+    """pair_id, defect, tail, form, size of each row (``text, markdown, title, body`` judged alone)."""
+    shared = pairs.sparkSession.sparkContext.broadcast(PairJudge(natural))
     kind = pairs.schema["pair_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = shared.value.judge
         for batch in batches:
-            rows = zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4)), strict=True)
-            found = [(*judge(t, m, q, b)[:2], len(t or m or "")) for t, m, q, b in rows]
-            cols = [pa.array([f[k] for f in found], kind_) for k, kind_ in enumerate((pa.string(), pa.string(), pa.int32()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], ["pair_id", "defect", "tail", "size"])
+            rows = list(zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4)), strict=True))
+            found = judge(rows)
+            cols = [pa.array([f[k] for f in found], kind_) for k, kind_ in enumerate((pa.string(), pa.string(), pa.bool_()))]
+            sizes = pa.array([len(t or m or "") for t, m, _, _ in rows], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *cols, sizes], ["pair_id", "defect", "tail", "form", "size"])
 
-    return pairs.select("pair_id", "text", "markdown", "title", "body").mapInArrow(run, f"pair_id {kind}, defect string, tail string, size int")
+    return pairs.select("pair_id", "text", "markdown", "title", "body").mapInArrow(run, f"pair_id {kind}, defect string, tail string, form boolean, size int")
 
 
 def pair_texts(qa: DataFrame) -> DataFrame:
@@ -323,21 +331,36 @@ def said() -> Column:
     return F.when(text.rlike(r"(?U)\S"), text).otherwise(markdown)
 
 
-def broken_pairs(pairs: DataFrame, natural: np.ndarray) -> DataFrame:
+def judged_pairs(pairs: DataFrame) -> DataFrame:
+    """pair_id, defect ('' if none by the pair alone), and how a cut shows: ``form``, ``cut`` (a
+    neighbour in text order goes on where the answer ends), ``limit`` (of length)."""
+    read = read_answers(pairs)
+    judged = written(judge_pairs(pairs, prose_counts(read.select("prose"))), "pairs-judged")
+    cut = cut_sentences(sentence_counts(read)).distinct().withColumn("cut", F.lit(True))
+    limits = length_limits(judged).withColumn("limit", F.lit(True))
+    # the distinct cut sentences and limits are few; a closing that a tenth of all pairs have is
+    # a hot key on the left only, which an adaptive join splits
+    both = judged.join(cut, "tail", "left").join(limits, "size", "left")
+    told = lambda c: F.coalesce(F.col(c), F.lit(False)) & F.col("tail").isNotNull()
+    return both.select("pair_id", "defect", "form", told("cut").alias("cut"), told("limit").alias("limit"))
+
+
+def broken_pairs(pairs: DataFrame) -> DataFrame:
     """(pair_id, defect) of each defective pair, once.
 
     ``pairs`` as of :func:`pair_texts`.  A pair has the first defect that holds, in the order
-    empty, copies_question, refusal, truncated, other_language; leftover text (problem 3) is
-    none.  Null answers count as empty, null questions can't be copied and have no language.
-    Of repeated rows that differ the first defect in alphabetical order counts; rows without
-    a key are left out.  Texts are read whole; an empty table gives an empty result.
+    empty, copies_question, refusal, truncated by form, other_language, truncated; leftover text
+    (problem 3) is none.  Null answers count as empty, null questions can't be copied and have
+    no language.  Of repeated rows that differ the first defect in alphabetical order counts;
+    rows without a key are left out.  Texts are read whole; an empty table gives an empty result.
     """
-    judged = written(judge_pairs(pairs, natural), "pairs-judged")
-    cut = cut_sentences(written(sentence_counts(pairs), "pairs-sentences")).distinct().withColumn("cut", F.lit(True))
-    limits = length_limits(judged).withColumn("limit", F.lit(True))
-    # the distinct cut sentences and limits are few; a closing that a tenth of all pairs have is
-    # a hot key on the left only, which an adaptive join splits
-    tails = judged.filter("tail is not null and defect = ''")
-    short = tails.join(cut, "tail", "left").join(limits, "size", "left").filter("cut or limit").select("pair_id", F.lit("truncated").alias("defect"))
-    own = judged.filter(F.col("defect").isin(*DEFECTS)).select("pair_id", "defect")
-    return own.unionByName(short).filter("pair_id is not null").groupBy("pair_id").agg(F.min("defect").alias("defect"))
+    judged = judged_pairs(pairs)
+    short = F.when(F.col("form") | F.col("cut") | F.col("limit"), "truncated")
+    defect = F.when(F.col("defect").isin(*DEFECTS), F.col("defect")).when(F.col("defect") == "", short)
+    return judged.select("pair_id", defect.alias("defect")).filter("pair_id is not null and defect is not null").groupBy("pair_id").agg(F.min("defect").alias("defect"))
+
+
+def truncation_split(pairs: DataFrame) -> DataFrame:
+    """How the truncated pairs show: form, cut, limit and the number of such pairs."""
+    own = judged_pairs(pairs).filter("pair_id is not null and defect = '' and (form or cut or limit)")
+    return own.groupBy("form", "cut", "limit").agg(F.count_distinct("pair_id").alias("n"))

@@ -1,17 +1,18 @@
 """Template residue, filler, error pages and script notices in place of content (problem 3).
 
 Character n-gram models are fitted to filler, error notices and script notices (from example
-texts) and to natural prose (from all rows of the corpus).  Windows in which a residue model
-is more likely than natural prose localise residue; a record is excluded if residue covers
-most of its text.  Placeholders left unfilled are told by their form; a sentence that speaks
-about placeholders keeps them.
+texts of general knowledge) and to natural prose (from all distinct texts of the corpus).
+Windows in which a residue model is more likely than natural prose localise residue; a record
+is excluded if residue covers most of its text.
+Placeholders left unfilled are told by their form; a sentence that speaks about placeholders
+keeps them.
 """
 
 from __future__ import annotations
 
 import html
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridwright.llm.refusal_seeds import COMPANIONS, SHORT_ANSWERS, refusal_texts
+from gridwright.llm.refusal_seeds import COMPANIONS, PROSE, SHORT_ANSWERS, refusal_texts
 from gridwright.llm.residue_seeds import seeds
 
 N = 4
@@ -55,9 +56,9 @@ _CONJOINING = regex.compile("[ᄀ-ᄒ]")
 _JAMO = {0x1100 + k: ord(c) for k, c in enumerate("ㄱㄲㄴㄷㄸㄹㅁㅂㅃㅅㅆㅇㅈㅉㅊㅋㅌㅍㅎ")}
 
 
-#: Reference numbers and site names that servers put beside their messages.
+#: Reference numbers that servers put beside their messages, and a site's name at a title's end.
 REFERENCE = regex.compile(r"[(\[#]* ?\b(?:ref(?:erence)?|request[ -]id|incident|trace)?[: ]{0,2}(?=[0-9a-f]*\d)[0-9a-f]{2,}\b ?[)\]]|#(?=[0-9a-f]*\d)[0-9a-f]{4,}\b|\(\p{Lu}\p{Ll}+-\d+\)")
-SITE = regex.compile(r"\s*(?:\||::|[-–—])\s*(?:엑셀 게시판|질문답변|커뮤니티|엑셀|community|forum|q&a)\s*$", regex.I)
+SITE = regex.compile(r"\s*(?:\||::)\s*[^|:]{1,30}$|\s[-–—]\s[^\s\-–—]{2,12}\s*$")
 
 
 def without_code(text: str, gap: str = " ") -> str:
@@ -82,14 +83,27 @@ def modelled(text: str) -> str:
 DIGITS = regex.compile(r"\d+")
 
 
-def codes(text: str) -> np.ndarray:
-    """Bins of a text's n-grams, one for each of its characters but the padding."""
-    points = np.frombuffer(f" {text}   ".encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+def flat_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all texts in a row: bin of the n-gram at each character, whether the character is a
+    letter or digit, the place of each text's first character, and each text's length."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    points = np.frombuffer("".join([f" {t}   " for t in texts]).encode("utf-32-le"), dtype=np.uint32)
+    if not len(points):
+        return np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(len(texts), np.int64), sizes
+    wide = points.astype(np.uint64)
     h = np.zeros(len(points) - N + 1, dtype=np.uint64)
     for k in range(N):
-        h = (h ^ points[k : len(points) - N + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ wide[k : len(points) - N + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
-    return (h >> np.uint64(64 - BINS_LOG2)).astype(np.int64)
+    padded = np.cumsum(sizes + 4) - sizes - 4
+    starts = np.cumsum(sizes) - sizes
+    at = np.arange(sizes.sum()) + np.repeat(padded - starts, sizes)
+    shown = points[at + 1]
+    letters = _LETTER[np.minimum(shown, 128)] & ~((shown >= 0x2000) & (shown < 0x2070)) & ~((shown >= 0x3000) & (shown < 0x3020))
+    return (h[at] >> np.uint64(64 - BINS_LOG2)).astype(np.int64), letters, starts, sizes
+
+
+_LETTER = np.array([chr(k).isalnum() for k in range(128)] + [True])
 
 
 # -- placeholders -------------------------------------------------------------------------
@@ -143,7 +157,7 @@ def blank_code(text: str) -> str:
 
 def example_logs(texts: list[str]) -> np.ndarray:
     """Log frequency of each bin in example texts; minus infinity where they have none."""
-    hits = np.bincount(np.concatenate([codes(modelled(t)) for t in texts]), minlength=BINS).astype(float)
+    hits = np.bincount(flat_codes([modelled(t) for t in texts])[0], minlength=BINS)
     with np.errstate(divide="ignore"):
         return np.log(hits / hits.sum())
 
@@ -163,33 +177,48 @@ def bare(text: str | None) -> bool:
 # -- models -------------------------------------------------------------------------------
 #: Share of natural prose that is left to n-grams not seen in the corpus, alike at every size.
 UNSEEN = 0.02
+#: Weight of the everyday prose among the natural models.
+PROSE_SHARE = .3
 
 
 def natural_logs(counts: np.ndarray) -> np.ndarray:
-    """Log frequency of each bin in the corpus, smoothed."""
-    total = max(float(counts.sum()), 1.0)
-    return np.log(((1 - UNSEEN) * counts + UNSEEN * total / BINS) / total)
+    """Log frequency of each bin in the corpus, smoothed.  One occurrence is that of the text
+    which is judged, and a text is no evidence that it is itself natural: it is taken off."""
+    others = np.maximum(counts - 1, 0)
+    total = max(float(others.sum()), 1.0)
+    return np.log(((1 - UNSEEN) * others + UNSEEN * total / BINS) / total)
 
 
-def lettered(text: str) -> np.ndarray:
-    """Which characters are letters or digits (beyond ASCII: all but blanks and marks)."""
-    points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
-    return _LETTER[np.minimum(points, 128)] & ~((points >= 0x2000) & (points < 0x2070)) & ~((points >= 0x3000) & (points < 0x3020))
+def natural_base(counts: np.ndarray) -> np.ndarray:
+    """Log frequency of each bin in natural prose: the corpus's, and everyday prose at PROSE_SHARE."""
+    return np.maximum(natural_logs(counts), example_logs(PROSE) + np.log(PROSE_SHARE))
 
 
-_LETTER = np.array([chr(k).isalnum() for k in range(128)] + [True])
+#: Log ratios are kept in whole steps of 1 / STEP, so that sums over windows are exact.
+STEP = 1024
 
 
-def covered(score: np.ndarray, letters: np.ndarray, least: float) -> float:
-    """Share of the letters in windows whose mean score exceeds ``least``."""
-    size = len(score)
-    width = min(WINDOW, size)
-    total = np.concatenate(([0.0], np.cumsum(score, dtype=np.float64)))
-    hot = np.flatnonzero(total[width:] - total[:-width] > least * width)
-    if not len(hot):
-        return 0.0
-    inside = np.bincount(hot, minlength=size + 1)[: size + 1] - np.bincount(np.minimum(hot + width, size), minlength=size + 1)[: size + 1]
-    return float((letters & (np.cumsum(inside)[:-1] > 0)).sum() / letters.sum())
+def ratios(best: np.ndarray, base: np.ndarray) -> np.ndarray:
+    return np.rint(np.clip(np.where(np.isinf(best), -CLIP * 0.6, best - base), -CLIP, CLIP) * STEP).astype(np.int32)
+
+
+def coverage(ratio: np.ndarray, flat: tuple, least: float) -> np.ndarray:
+    """Share of each text's letters that lie in windows whose mean ratio exceeds ``least``;
+    0 where a text has fewer than LEAST letters."""
+    at, letters, starts, sizes = flat
+    if not len(at):
+        return np.zeros(len(sizes))
+    total = np.append(0, np.cumsum(ratio[at], dtype=np.int64))
+    width = np.minimum(sizes, WINDOW)
+    windows = sizes - width + (sizes > 0)
+    first = np.repeat(starts - (np.cumsum(windows) - windows), windows) + np.arange(windows.sum())
+    wide = np.repeat(width, windows)
+    hot = total[first + wide] - total[first] > least * STEP * wide
+    edge = np.bincount(first[hot], minlength=len(at) + 1) - np.bincount((first + wide)[hot], minlength=len(at) + 1)
+    inside = np.append(0, np.cumsum(letters & (np.cumsum(edge)[:-1] > 0)))
+    every = np.append(0, np.cumsum(letters))
+    held, whole = inside[starts + sizes] - inside[starts], every[starts + sizes] - every[starts]
+    return np.where(whole >= LEAST, held / np.maximum(whole, 1), 0.0)
 
 
 class ResidueModel:
@@ -200,28 +229,36 @@ class ResidueModel:
     """
 
     def __init__(self, natural: np.ndarray):
-        base = natural_logs(natural)
+        base = natural_base(natural)
         for texts in (refusal_texts(), COMPANIONS, SHORT_ANSWERS):
             base = np.maximum(base, example_logs(texts))
         best = np.full(BINS, -np.inf)
         for texts in seeds().values():
             best = np.maximum(best, example_logs(texts))
-        self.ratio = np.clip(np.where(np.isinf(best), -CLIP * 0.6, best - base), -CLIP, CLIP).astype(np.float32)
-
-    def judge(self, text: str | None, read: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[bool, float, int]:
-        """(is residue, share covered, unfilled placeholders); ``read``: n-grams and letters, if known."""
-        if not text or not text.strip():
-            return False, 0.0, 0
-        shown = plain(text)
-        spots = placeholders(blank_code(shown))
-        if not spots and len(text) < 60 and bare(text):
-            return False, 0.0, 0
-        if read is None:
-            prose = modelled(text)
-            read = codes(prose)[: len(prose)], lettered(prose)
-        cover = covered(self.ratio[read[0]], read[1], RATIO) if read[1].sum() >= LEAST else 0.0
-        cover = 1.0 if len(shown) < 200 and MASHED.fullmatch(shown) else cover
-        return bool(spots) or cover >= COVER, cover, len(spots)
+        self.ratio = ratios(best, base)
+
+    def cover(self, flat: tuple) -> np.ndarray:
+        return coverage(self.ratio, flat, RATIO)
+
+    def judge(self, texts: list[str | None], flat: tuple | None = None) -> tuple[list[bool], np.ndarray, list[int]]:
+        """(is residue, share covered, unfilled placeholders) of each text; ``flat``: the flat
+        n-grams of the modelled texts, if known."""
+        flat = flat or flat_codes([modelled(t or "") for t in texts])
+        cover, out, spots = self.cover(flat), [], []
+        for k, text in enumerate(texts):
+            if not text or not text.strip():
+                cover[k] = 0.0
+                out.append(False)
+                spots.append(0)
+                continue
+            shown = plain(text)
+            spots.append(len(placeholders(blank_code(shown))))
+            if not spots[-1] and bare(text):
+                cover[k] = 0.0
+            elif MASHED.fullmatch(shown):
+                cover[k] = 1.0
+            out.append(bool(spots[-1] or cover[k] >= COVER))
+        return out, cover, spots
 
 
 def distinct_texts(texts: DataFrame) -> DataFrame:
@@ -231,18 +268,21 @@ def distinct_texts(texts: DataFrame) -> DataFrame:
 
 
 def natural_counts(texts: DataFrame) -> np.ndarray:
-    """n-gram counts of all texts (one column), as an array of fixed size.
+    """n-gram counts of all different texts (one column), as an array of fixed size.
 
     Each task adds its texts up in one array of ``BINS`` numbers; the sum over tasks is
     BINS rows at most, whatever the corpus, and only these come to the driver.
     """
+    return prose_counts(distinct_texts(texts), modelled)
+
+
+def prose_counts(texts: DataFrame, read: Callable[[str], str] = str) -> np.ndarray:
+    """n-gram counts of what ``read`` makes of each text (one column)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BINS, dtype=np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                if text:
-                    np.add.at(total, codes(modelled(text)), 1)
+            total += np.bincount(flat_codes([read(t) for t in batch.column(0).to_pylist() if t])[0], minlength=BINS)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["bin", "n"])
 
@@ -265,8 +305,8 @@ def find_residue(records: DataFrame, model: ResidueModel) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = shared.value.judge
         for batch in batches:
-            found = [judge(t) for t in batch.column(len(rest)).to_pylist()]
-            cols = [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.bool_(), pa.float64(), pa.int32()))]
+            found = judge(batch.column(len(rest)).to_pylist())
+            cols = [pa.array(f, kind) for f, kind in zip(found, (pa.bool_(), pa.float64(), pa.int32()), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], *cols], [*rest, "residue", "cover", "placeholders"])
 
     return records.select(*rest, "text").mapInArrow(run, schema)

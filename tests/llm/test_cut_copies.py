@@ -1,7 +1,6 @@
 """Copies of one cut answer change no result."""
 
 from gridwright.llm.pairs import broken_pairs, pair_texts
-from gridwright.llm.residue import natural_counts
 from tests.llm.test_texts import SOUND, qa
 
 
@@ -11,5 +10,5 @@ def test_copies_of_a_cut_answer_are_found(spark):
     rows += [(100 + k, q, b, (f"Step {w} is to sort the list by date. {end}", None)) for k, w in enumerate(("one", "two", "three", "four"))]
     rows += [(1000 + k, q, b, ("Put the formula in J29 and fill it down to the last row. Make sure that both columns start on the sa", None)) for k in range(40)]
     pairs = pair_texts(qa(spark, rows))
-    got = {r["pair_id"]: r["defect"] for r in broken_pairs(pairs, natural_counts(pairs.select("said"))).collect()}
+    got = {r["pair_id"]: r["defect"] for r in broken_pairs(pairs).collect()}
     assert got == {1000 + k: "truncated" for k in range(40)}

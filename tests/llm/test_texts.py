@@ -1,9 +1,13 @@
 import math
+import random
+import re
+
+import numpy as np
 
 from gridwright.llm import reading
-from gridwright.llm.pairs import broken_pairs, copies, cut_sentences, pair_texts, stops_short
+from gridwright.llm.pairs import broken_pairs, copies, cut_sentences, judged_pairs, pair_texts, stops_short
 from gridwright.llm.queries_p3 import residue_records
-from gridwright.llm.residue import ResidueModel, find_residue, natural_counts
+from gridwright.llm.residue import ResidueModel, coverage, find_residue, flat_codes, natural_counts
 
 SOUND = [
     "Put the formula in J29 and fill it down to the last row. Make sure that both columns start on the same row.",
@@ -30,7 +34,7 @@ def test_residue_and_sound_texts(spark):
     assert {t for k, t in rows if k < 1000 and got[k]} == set()
     assert find_residue(df.filter("false"), model).count() == 0
     long = "Put the formula in J29 and fill it down. " * 5000
-    assert model.judge(long)[0] is False and model.judge("Lorem ipsum dolor sit amet " * 5000)[0]
+    assert model.judge([long, "Lorem ipsum dolor sit amet " * 5000])[0] == [False, True]
 
 
 def qa(spark, rows):
@@ -49,10 +53,10 @@ def test_defects(spark):
     }
     rows += [(k, q, b, a) for k, (_, a) in bad.items()] + [(1001, q, b, (None, None)), (2000, None, None, (full, None)), (2001, q, b, ("Lorem ipsum dolor sit amet nisi", None)), (2002, q, b, (f"> {b}\nPut the formula in J29 and fill it down to the last row. Make sure that both columns start on the same row.", None)), (None, q, b, (None, None))]
     pairs = pair_texts(qa(spark, rows))
-    got = {r["pair_id"]: r["defect"] for r in broken_pairs(pairs, natural_counts(pairs.select("said"))).collect()}
+    got = {r["pair_id"]: r["defect"] for r in broken_pairs(pairs).collect()}
     assert got == {k: d for k, (d, _) in bad.items()}
     none = pair_texts(qa(spark, rows).filter("false"))
-    assert broken_pairs(none, natural_counts(none.select("said"))).count() == 0
+    assert broken_pairs(none).count() == 0
 
 
 def test_cut_sentences_equal_brute_force(spark):
@@ -65,6 +69,36 @@ def test_cut_sentences_equal_brute_force(spark):
     assert {r["tail"] for r in cut_sentences(df).collect()} == want
 
 
+def test_cut_sentences_across_ranges(spark):
+    rng = random.Random(4)
+    words = ["take", "the", "sheet", "now", "of", "a", "row"]
+    counts = {" ".join(rng.choices(words, k=rng.randrange(1, 7)))[: rng.randrange(3, 40)]: (rng.choice([0, 0, 1, 4, 30]), rng.choice([0, 1, 2, 9])) for _ in range(1500)}
+    df = spark.createDataFrame([(s, a, b) for s, (a, b) in counts.items()], "sentence string, inner bigint, ends bigint").repartition(5)
+    whole = {s: max(a, b // 4) for s, (a, b) in counts.items()}
+    want = {e for e, (_, n) in counts.items() if n and any(s != e and s.startswith(e) and m >= 3 * n and re.search("[a-z]{2,}", s[len(e) :]) for s, m in whole.items())}
+    got = [r["tail"] for r in cut_sentences(df).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 30
+
+
+def test_a_planted_length_limit_is_found(spark):
+    rng = random.Random(6)
+    words = "sort group list match filter convert copy total rank column sheet table range value formula pivot chart macro cell".split()
+    said = lambda n: (" ".join(rng.choices(words, k=80)))[:n]
+    rows = [(k, "q", "b", (said(200), None)) for k in range(60)] + [(1000 + k, "q", "b", (said(100 + k), None)) for k in range(300)] + [(5000 + k, "q", "b", (said(rng.randrange(30, 90)) + ".", None)) for k in range(50)]
+    got = {r["pair_id"] for r in judged_pairs(pair_texts(qa(spark, rows))).filter("limit").collect()}
+    assert got == set(range(60)) | {1100}
+
+
+def test_flat_codes_equal_one_text_at_a_time():
+    texts = ["", "a", "use sum.", "가나다라 마바사", "x" * 40, "lorem ipsum dolor sit amet", "", "1 2"]
+    flat = flat_codes(texts)
+    model = np.random.default_rng(3).integers(-4096, 4096, 1 << 19).astype(np.int32)
+    together = coverage(model, flat, 0.0)
+    for k, t in enumerate(texts):
+        alone = flat_codes([t])
+        assert (alone[0] == flat[0][flat[2][k] : flat[2][k] + flat[3][k]]).all() and coverage(model, alone, 0.0)[0] == together[k]
+
+
 def test_endings():
     assert not stops_short("Use =SUM(A1:A9)") and not stops_short("=IF(A1>1, SUM(B2), 0)") and not stops_short("1. one\n2. two")
     assert stops_short("Formula below:") and stops_short("=SUM(A1:A") and stops_short("one. 2. two. 3.") and stops_short("text … (계속)")
