@@ -128,3 +128,24 @@ def test_reading_levels(spark):
     assert reading.rising_curve([1, 1, 2, 3], [2, 4, 3, 9]) == ([4 / 3, 3.0], [3.0, 9.0])
     assert all(reading.syllables(w) == n for w, n in {"the": 1, "table": 2, "contemporary": 5, "institutional": 5, "make": 1, "wanted": 2, "jumped": 1, "idea": 3, "people": 2, "create": 2, "heterogeneous": 6, "social": 2, "various": 3}.items())
     assert not math.isnan(got[2]["level"])
+
+
+def test_counts_do_not_depend_on_the_batch():
+    texts = ["The cat sat on the mat.\nE.g. a cat, i.e. one cat. Z. B. nothing else here to see.", None, "", "Sub Foo()\n  Dim i\nEnd Sub\n1, 2, 3\nSums of A1:B9 are shown in the last column of the table.", "- one item of the list is here\n- The SUMIFS function adds what it is told to add\n\n| a | b |\n", "한국어 문서를 읽고 있습니다. 표는 보지 않습니다.", "Die Tabelle ist nicht leer, und der Wert ist hier."] * 3
+    together = reading.WordCounter().counts(texts)
+    assert together == [reading.WordCounter().counts([t])[0] for t in texts]
+    assert together[0] == {"lang": "en", "words": 21, "sentences": 3, "letters": together[0]["letters"], "syllables": together[0]["syllables"], "long": together[0]["long"], "hard": together[0]["hard"]} and together[5]["lang"] == "ko" and together[6]["lang"] == "de" and together[1]["words"] == 0
+
+
+def test_held_out_levels_tell_university_prose(spark):
+    """Each labelled document is left out of the fit that judges it."""
+    data = "/root/testdata/sf0.1"
+    labels = [tuple(r) for r in spark.read.parquet(f"{data}/reading_labels.parquet").select("doc_id", "grade").collect()]
+    grades = {d: sorted(g for e, g in labels if e == d) for d, _ in labels}
+    docs = spark.read.parquet(f"{data}/documents.parquet").join(spark.createDataFrame([(d,) for d in grades], "doc_id bigint"), "doc_id", "left_semi")
+    raw = {r["doc_id"]: r["raw_level"] for r in reading.levels(docs).filter("raw_level is not null").collect()}
+    wrong = 0
+    for left in raw:
+        x, y = reading.rising_curve(*zip(*[(raw[d], sum(grades[d]) / len(grades[d])) for d in raw if d != left]))
+        wrong += (np.interp(raw[left], x, y) >= reading.UNIVERSITY) != (sum(grades[left]) / len(grades[left]) >= 15.5)
+    assert len(raw) > 30 and wrong <= 1
