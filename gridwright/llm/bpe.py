@@ -9,16 +9,18 @@ merges all its occurrences at once; words without a mergeable pair leave the arr
 from __future__ import annotations
 
 import json
+import os
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Vocabulary file; public, see its README.  Never copied into this repository.
+#: Vocabulary file on the driver; public, see its README.  Never copied into this repository.
 BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 #: The pattern that splits text before the merges (fixed value of the vocabulary).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -127,11 +129,18 @@ class ByteBpe:
 _LOADED: dict[str, ByteBpe] = {}
 
 
-def vocabulary(path: str) -> ByteBpe:
-    """The vocabulary of a file, loaded once per process."""
-    if path not in _LOADED:
-        _LOADED[path] = ByteBpe(path)
-    return _LOADED[path]
+def vocabulary(name: str) -> ByteBpe:
+    """The vocabulary of a shipped file, loaded once per process."""
+    if name not in _LOADED:
+        _LOADED[name] = ByteBpe(SparkFiles.get(name))
+    return _LOADED[name]
+
+
+def shipped(spark: SparkSession, path: str) -> str:
+    """Send the vocabulary's file along with the job, so that only the driver needs the folder;
+    the name by which :func:`vocabulary` finds it on any machine."""
+    spark.sparkContext.addFile(path)
+    return os.path.basename(path)
 
 
 def encode_texts(df: DataFrame, key: str = "doc_id", text: str = "text", path: str = BYTE_BPE) -> DataFrame:
@@ -141,10 +150,10 @@ def encode_texts(df: DataFrame, key: str = "doc_id", text: str = "text", path: s
     ordinary text.  Rows map one to one - repeated and null keys too - and nothing is
     exchanged.  Other columns are ignored, whatever their names.
     """
-    kind = df.schema[key].dataType.simpleString()
+    kind, name = df.schema[key].dataType.simpleString(), shipped(df.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = vocabulary(path)
+        bpe = vocabulary(name)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
@@ -158,12 +167,12 @@ def encode_texts(df: DataFrame, key: str = "doc_id", text: str = "text", path: s
 
 def count_tokens(df: DataFrame, text: str = "text", path: str = BYTE_BPE, name: str = "n_tokens") -> DataFrame:
     """All columns of ``df`` but the text, and the text's number of ids (0 if null or empty)."""
-    rest = df.drop(text)
+    rest, file = df.drop(text), shipped(df.sparkSession, path)
     names = [*rest.columns, name]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema) + f", `{name}` bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = vocabulary(path)
+        bpe = vocabulary(file)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)

@@ -1,16 +1,19 @@
 """Score cutoffs that keep a target fraction of each source (problem 1).
 
 A persistent dyadic count tree over integer-coded scores (:mod:`gridwright.llm.dyadic`) gives
-each source's cutoff: a batch adds the node counts of its scored records, the tree is walked
-to the target rank, and the leaf found there is refined to distinct scores.
+each source's cutoff: a batch adds the node counts and the leaves' distinct scores of its
+records, the tree is walked to the target rank, and the leaf found there is refined to its
+distinct scores.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridwright.llm.dyadic import BITS, TreeStore, node_weights, select_rank
+from gridwright.llm.dyadic import BITS, TreeStore, select_rank
 from gridwright.session import scratch_path, written
 
 LOWEST, HIGHEST = 0.0, 10.0
@@ -54,19 +57,18 @@ class CutoffTree:
         rows = _values(scored)
         if replaced is not None:
             rows = rows.unionByName(_values(replaced).withColumn("weight", -F.col("weight")))
-        self.store.add(batch, node_weights(rows, score_code(0)))
+        self.store.add(batch, rows, score_code(0))
 
-    def cutoffs(self, scored: DataFrame, targets: DataFrame) -> DataFrame:
-        """source, target_percent, scored, cutoff, kept, kept_percent.
+    def cutoffs(self, targets: DataFrame) -> DataFrame:
+        """source, target_percent, scored, cutoff, kept, kept_percent, from the tree alone.
 
-        ``scored`` is read only for the leaves that hold a cutoff.  A source with no scored
-        record, a null or non-positive target has no cutoff and gives no row; a target above
+        A source with no scored record, a null or non-positive target has no cutoff and gives no row; a target above
         100 keeps all.  Of repeated targets of a source the greatest counts.
         """
         wanted = targets.select(F.col("source").alias("grp"), F.col("target_percent").cast("decimal(18,6)").alias("percent")).filter("grp is not null and percent > 0").groupBy("grp").agg(F.max("percent").alias("percent"))
         total = self.store.nodes().filter("level = 0").select("grp", F.col("weight").cast("bigint").alias("n"))
         ranks = written(wanted.join(total, "grp").select("grp", "percent", "n", F.least(F.ceil(F.col("percent") * F.col("n") / 100), F.col("n")).cast("double").alias("rank")), "cutoff-ranks")
-        found = select_rank(_values(scored), ranks, score_code, self.store)
+        found = select_rank(self.store, ranks, score_code)
         kept = F.col("through").cast("bigint")
         return ranks.drop("rank").join(found, "grp").select(F.col("grp").alias("source"), F.col("percent").cast("double").alias("target_percent"), F.col("n").alias("scored"), F.col("value").alias("cutoff"), kept.alias("kept"), (kept * 100.0 / F.col("n")).alias("kept_percent"))
 
@@ -75,12 +77,15 @@ def _values(scored: DataFrame) -> DataFrame:
     return scored.select(F.col("source").alias("grp"), F.col("score").alias("value"), F.lit(1.0).alias("weight"))
 
 
-def keep_fraction(scored: DataFrame, targets: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(kept records, cutoff report) of all scored records as one batch."""
-    spark = scored.sparkSession
-    scored = written(scored, "scored")
-    tree = CutoffTree(spark, path)
-    tree.add("all", scored)
-    report = written(tree.cutoffs(scored, targets), "cutoffs")
+def keep_fraction(batches: dict[str, DataFrame], targets: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(kept records, cutoff report) of the scored records of several batches, which are added
+    to the tree in ``path`` one after the other."""
+    parts, tree = [], None
+    for name, batch in batches.items():
+        tree = tree or CutoffTree(batch.sparkSession, path)
+        parts.append(written(batch, "scored"))
+        tree.add(name, parts[-1])
+    report = written(tree.cutoffs(targets), "cutoffs")
+    scored = reduce(lambda a, b: a.unionByName(b), parts)
     kept = scored.join(report.select("source", "cutoff"), "source").filter(F.col("score") >= F.col("cutoff"))
     return kept.select("source", "record_id", "score"), report

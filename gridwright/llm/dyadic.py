@@ -4,9 +4,9 @@ Values get an integer code of ``BITS`` bits per stage.  A node of level l is a p
 bits and holds the weight of all values below it; a group's tree has at most
 2 ** (BITS + 1) nodes, whatever the table's size, so one task can walk it.  Trees are sums:
 a batch adds its node weights (negative ones take replaced rows back), and any rank of any
-group can then be found from the nodes alone.  Only the one leaf that holds the rank is
-looked at again, and split to distinct values - by a further stage of codes if it still
-holds more than ``LEAF_VALUES`` of them.
+group can then be found from the nodes alone.  A batch also adds the distinct values of its
+leaves with their weights, so of the one leaf that holds a rank only these are looked at - by
+a further stage of codes if it still holds more than ``LEAF_VALUES`` of them.
 """
 
 from __future__ import annotations
@@ -42,18 +42,34 @@ def node_weights(values: DataFrame, code: Column) -> DataFrame:
 
 
 class TreeStore:
-    """A tree kept as Parquet, one folder per batch; adding a batch again replaces it."""
+    """A tree kept as Parquet: ``nodes``, and the distinct ``values`` of the leaves, each with a
+    folder per batch; adding a batch again replaces it.  Values are any one ordered type."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def add(self, batch: str, nodes: DataFrame) -> None:
-        nodes.select("grp", "level", "node", "weight").write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+    def add(self, batch: str, values: DataFrame, code: Column) -> None:
+        """Add the rows (grp, value, weight) of a batch, coded by the first stage's ``code``."""
+        leaves = values.groupBy("grp", code.cast("int").alias("leaf"), "value").agg(F.sum("weight").cast("double").alias("weight"))
+        leaves.sortWithinPartitions("grp", "leaf").write.mode("overwrite").parquet(f"{self.path}/values/batch={batch}")
+        kept = self.spark.read.parquet(f"{self.path}/values/batch={batch}")
+        node_weights(kept, F.col("leaf")).select("grp", "level", "node", "weight").write.mode("overwrite").parquet(f"{self.path}/nodes/batch={batch}")
 
     def nodes(self) -> DataFrame:
-        stored = self.spark.read.schema(NODE_SCHEMA + ", batch string").parquet(self.path)
+        stored = self.spark.read.schema(NODE_SCHEMA + ", batch string").parquet(f"{self.path}/nodes")
         return stored.groupBy("grp", "level", "node").agg(F.sum("weight").alias("weight"))
 
+    def values(self) -> DataFrame:
+        """(grp, leaf, value, weight) of all batches; weights that were taken back leave zeros."""
+        return self.spark.read.parquet(f"{self.path}/values").drop("batch")
+
+    def compacted(self, path: str) -> TreeStore:
+        """The same tree as one batch in a new folder; this one stays as it is."""
+        self.nodes().filter("weight <> 0").write.parquet(f"{path}/nodes/batch=all")
+        sums = self.values().groupBy("grp", "leaf", "value").agg(F.sum("weight").alias("weight")).filter("weight <> 0")
+        sums.sortWithinPartitions("grp", "leaf").write.parquet(f"{path}/values/batch=all")
+        return TreeStore(self.spark, path)
+
 
 def _walk(nodes: pd.DataFrame, ranks: pd.DataFrame) -> pd.DataFrame:
     """The leaf of each rank, counted from the top, and the weight above that leaf."""
@@ -81,20 +97,24 @@ def descend(nodes: DataFrame, ranks: DataFrame) -> DataFrame:
     return left.cogroup(right).applyInPandas(_walk, "grp string, rank double, leaf int, above double")
 
 
-def select_rank(values: DataFrame, ranks: DataFrame, code: Callable[[int], Column], store: TreeStore | None = None) -> DataFrame:
+def select_rank(values: DataFrame | TreeStore, ranks: DataFrame, code: Callable[[int], Column]) -> DataFrame:
     """The value at a weighted rank from the top of each group.
 
-    ``values``: grp STRING, value, weight.  ``ranks``: grp, rank (at most one a group).
+    ``values``: rows grp STRING, value, weight, or a stored tree, of which only the nodes and the
+    leaves of the ranks are read.  ``ranks``: grp, rank (at most one a group).
     ``code(stage)``: the value's bits of that stage as an int, monotone in the value.
-    ``store``: a tree that already holds the first stage's nodes.
     Result: grp, rank, value, above (weight of greater values), through (above plus the value's).
     """
-    frame, nodes = values, store.nodes() if store else node_weights(values, code(0))
+    stored = isinstance(values, TreeStore)
+    frame, nodes = (values.values(), values.nodes()) if stored else (values, node_weights(values, code(0)))
     base = F.lit(0.0)
     for stage in range(STAGES):
         place = written(descend(nodes, ranks).withColumnRenamed("rank", "_r"), f"dyadic-place{stage}")
-        inside = frame.join(place.select("grp", "leaf"), "grp").filter(code(stage) == F.col("leaf"))
-        distinct = inside.groupBy("grp", "value").agg(F.sum("weight").cast("double").alias("weight"))
+        if stored and not stage:
+            inside = frame.join(place.select("grp", "leaf"), ["grp", "leaf"], "left_semi")
+        else:
+            inside = frame.join(place.select("grp", "leaf"), "grp").filter(code(stage) == F.col("leaf"))
+        distinct = inside.groupBy("grp", "value").agg(F.sum("weight").cast("double").alias("weight")).filter("weight <> 0")
         frame = written(distinct, f"dyadic-leaf{stage}")
         ranks_in = place.select("grp", (F.col("_r") - F.col("above")).alias("rank"), F.col("above").alias("_above"))
         if stage:

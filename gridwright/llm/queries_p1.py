@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from gridwright.llm.cutoffs import keep_fraction, latest_scores
 from gridwright.session import table
 
@@ -12,8 +10,9 @@ SOURCES = {"oppadu": ("oppadu_posts", "post_id"), "stackoverflow": ("stackoverfl
 
 
 def _run(spark, sf_dir):
-    scored = reduce(lambda a, b: a.unionByName(b), [latest_scores(table(spark, sf_dir, name), source, key) for source, (name, key) in SOURCES.items()])
-    return keep_fraction(scored, table(spark, sf_dir, "keep_targets"))
+    """Each community's records are a batch of the tree."""
+    batches = {source: latest_scores(table(spark, sf_dir, name), source, key) for source, (name, key) in SOURCES.items()}
+    return keep_fraction(batches, table(spark, sf_dir, "keep_targets"))
 
 
 def p1_found(spark, sf_dir):

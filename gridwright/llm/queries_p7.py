@@ -11,21 +11,24 @@ def _run(spark, sf_dir, total=None):
 
 
 def p7_mix(spark, sf_dir):
-    return _run(spark, sf_dir)[0]
+    """The mixture as large as all documents once: sources too small for that are clamped at
+    their caps, and the excess of their weights goes to the others."""
+    return _run(spark, sf_dir, ALL)[0]
 
 
 def p7_shares(spark, sf_dir):
-    return _run(spark, sf_dir)[1]
+    """Planned and actual shares of p7_mix."""
+    return _run(spark, sf_dir, ALL)[1]
 
 
-def p7_mix_all(spark, sf_dir):
-    """The mixture as large as all documents once: sources too small for that are at their caps."""
-    return _run(spark, sf_dir, ALL)[0]
+def p7_mix_exact(spark, sf_dir):
+    """The largest mixture in which every source with documents has its share within its cap."""
+    return _run(spark, sf_dir)[0]
 
 
-def p7_shares_all(spark, sf_dir):
-    return _run(spark, sf_dir, ALL)[1]
+def p7_shares_exact(spark, sf_dir):
+    return _run(spark, sf_dir)[1]
 
 
-QUERIES = {"p7_mix": p7_mix, "p7_shares": p7_shares, "p7_mix_all": p7_mix_all, "p7_shares_all": p7_shares_all}
+QUERIES = {"p7_mix": p7_mix, "p7_shares": p7_shares, "p7_mix_exact": p7_mix_exact, "p7_shares_exact": p7_shares_exact}
 ORACLES: dict = {}

@@ -21,7 +21,7 @@ def test_cutoffs_equal_brute_force(spark):
     data = {"a": [rng.choice([5.0, 7.5, 0.0, 10.0, round(rng.random() * 10, 2)]) for _ in range(400)], "b": [3.3] * 50, "c": [rng.random() * 1e-7 for _ in range(300)]}
     scored = spark.createDataFrame([(s, f"{s}{k}", v) for s, vs in data.items() for k, v in enumerate(vs)], "source string, record_id string, score double")
     for percent in (1, 37, 60, 100):
-        kept, report = keep_fraction(scored, spark.createDataFrame([(s, percent) for s in data], TARGETS))
+        kept, report = keep_fraction({"all": scored}, spark.createDataFrame([(s, percent) for s in data], TARGETS))
         got = {r["source"]: (r["cutoff"], r["kept"]) for r in report.collect()}
         want = {s: brute(vs, percent) for s, vs in data.items()}
         assert got == {s: (c, sum(v >= c for v in data[s])) for s, c in want.items()}
@@ -32,7 +32,7 @@ def test_leaf_with_many_distinct_scores_is_refined(spark, monkeypatch):
     monkeypatch.setattr("gridwright.llm.dyadic.LEAF_VALUES", 4)
     values = [5 + k * 1e-9 for k in range(500)]
     scored = spark.createDataFrame([("a", str(k), v) for k, v in enumerate(values)], "source string, record_id string, score double")
-    _, report = keep_fraction(scored, spark.createDataFrame([("a", 30)], TARGETS))
+    _, report = keep_fraction({"all": scored}, spark.createDataFrame([("a", 30)], TARGETS))
     assert report.first()["cutoff"] == brute(values, 30)
 
 
@@ -41,7 +41,7 @@ def test_latest_row_and_dirty_scores(spark):
     got = {(r["record_id"], r["score"]) for r in latest_scores(spark.createDataFrame(rows, COLLECTED), "s", "id").collect()}
     assert got == {("3", 6.0), ("5", 0.0), ("6", 8.0)}
     empty = latest_scores(spark.createDataFrame([], COLLECTED), "s", "id")
-    kept, report = keep_fraction(empty, spark.createDataFrame([("s", 50), (None, 3)], TARGETS))
+    kept, report = keep_fraction({"all": empty}, spark.createDataFrame([("s", 50), (None, 3)], TARGETS))
     assert kept.count() == report.count() == 0
 
 
@@ -54,9 +54,25 @@ def test_tree_of_batches_with_replaced_rows(spark, tmp_path):
     tree.add("2", second, replaced=first.filter("record_id = '0'"))
     tree.add("2", second, replaced=first.filter("record_id = '0'"))  # a batch added again counts once
     now = first.filter("record_id <> '0'").unionByName(second)
-    got = tree.cutoffs(now, spark.createDataFrame([("a", 50)], TARGETS)).first()
-    scores = [r["score"] for r in now.collect()]
+    targets, scores = spark.createDataFrame([("a", 50)], TARGETS), [r["score"] for r in now.collect()]
+    got = tree.cutoffs(targets).first()
     assert (got["cutoff"], got["scored"]) == (brute(scores, 50), 11)
+    # opened anew, and as one folder, the tree says the same; a further batch goes on from there
+    again = CutoffTree(spark, tree.store.compacted(str(tmp_path / "one")).path)
+    assert again.cutoffs(targets).collect() == CutoffTree(spark, str(tmp_path / "tree")).cutoffs(targets).collect() == [got]
+    again.add("3", spark.createDataFrame([("a", f"y{k}", 9.9) for k in range(30)], schema))
+    assert again.cutoffs(targets).first()["cutoff"] == 9.9
+
+
+def test_batches_give_what_all_rows_give(spark):
+    rng = random.Random(7)
+    rows = [("a" if k % 3 else "b", str(k), round(rng.random() * 10, 3)) for k in range(600)]
+    schema = "source string, record_id string, score double"
+    parts = {str(n): spark.createDataFrame(rows[n::4], schema) for n in range(4)}
+    kept, report = keep_fraction(parts, spark.createDataFrame([("a", 35), ("b", 80)], TARGETS))
+    whole, expected = keep_fraction({"all": spark.createDataFrame(rows, schema)}, spark.createDataFrame([("a", 35), ("b", 80)], TARGETS))
+    assert sorted(map(tuple, report.collect())) == sorted(map(tuple, expected.collect()))
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, whole.collect()))
 
 
 def test_weighted_rank(spark):
