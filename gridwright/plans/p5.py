@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridwright.operators.rolling import usage_rolling
-from gridwright.session import table
+from gridwright.session import table, written
 
 
 def p5_rolling(spark, sf_dir):
@@ -17,9 +17,9 @@ def p5_rolling(spark, sf_dir):
 
 
 def p5_found(spark, sf_dir):
-    """Days without a record inside a model's span: the calendar rows of the operator that have none."""
-    wide = usage_rolling(table(spark, sf_dir, "usage_records"))
-    return wide.filter(F.col("records") == 0).select("model", F.date_format("usage_day", "yyyy-MM-dd").alias("usage_day"))
+    """Days without a record inside a model's span.  The rolling table is written once, as for
+    any report, so all windows are computed; the days are read from it."""
+    return written(p5_rolling(spark, sf_dir), "rolling").filter("records = 0").select("model", "usage_day")
 
 
 _DAYS = r"""
