@@ -2,43 +2,28 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
+from gridwright.functions import bot_rules
 from gridwright.functions import text as T
+from gridwright.functions.dialects import DUCK, SPARK
 from gridwright.plans.common import QA, qa
 from gridwright.session import table
 
 c = F.col
 
 # fixed values: phrases and weights of the detection layers
-MODERATOR = ("i am a bot", "contact the moderators", "this action was performed automatically", "performed automatically", "submission rules", "action_reason:", "removed for rule violation", "please read the rules")
-AUTOMATIC = ("thank you for your submission", "this is an automated response", "if you need further assistance", "please refer to the documentation", "this response was generated automatically", "for more information, please visit", "this is a common question")
-ASSISTANT = ("i hope this helps", "please don't hesitate to ask", "i'd be happy to help", "here's what i would suggest", "you might want to consider", "one approach would be to", "another option is to", "feel free to reach out", "i'm here to help", "if you have any questions")
+ASSISTANT = tuple(w.lower() for w in bot_rules.ASSISTANT)
 SIGNATURES = ("as an ai", "i am an ai", "artificial intelligence", "i cannot", "i'm not able to", "thank you for your question", "let me provide you with", "based on your description", "in summary", "in conclusion", "it appears that", "it seems like", "another approach", "alternatively")
 HUMAN = ("i had the same problem", "this happened to me", "i remember when", "i think i", "from my experience", "i usually", "lol", "haha")
-NAME_PARTS = ("bot", "auto", "mod", "helper", "assist")
 WEIGHTS = {"rules": 0.35, "behaviour": 0.25, "style": 0.20}
-BOT = 0.7
-
-
-def username_risk(author):
-    low = F.lower(author)
-    hit = reduce(lambda a, b: a | b, [low.contains(p) for p in NAME_PARTS])
-    return F.when(author.isNull(), 0.0).when(hit, 0.9).when(low.rlike("^[a-z]+_[a-z]+[0-9]{3,}$"), 0.6).otherwise(0.0)
-
-
-def content_risk(text):
-    low = F.coalesce(text, F.lit(""))
-    assistant = T.count_mentions(low, ASSISTANT)
-    return F.greatest(F.when(T.count_mentions(low, MODERATOR) > 0, 0.95).otherwise(0.0), F.when(T.count_mentions(low, AUTOMATIC) > 0, 0.85).otherwise(0.0), F.when(assistant >= 3, 0.8).when(assistant >= 2, 0.6).otherwise(0.0))
+BOT = bot_rules.BOT
+_BODY = "coalesce(a_text, '')"
 
 
-def rules_layer(text, author):
-    """The greatest of the sub-checks that reach 0.7."""
-    over = lambda x: F.when(x >= BOT, x).otherwise(0.0)
-    return F.greatest(over(username_risk(author)), over(content_risk(text)))
+def rules_layer():
+    """The greatest of an answer's sub-checks that reach 0.7 (columns a_text, author)."""
+    return F.expr(bot_rules.rules_risk(SPARK, _BODY, "author"))
 
 
 def style_layer(text):
@@ -71,15 +56,15 @@ def _comments(spark, sf):
 
 
 def c41_username(spark, sf):
-    return qa(spark, sf).filter("author is not null").select("author", username_risk(c("author")).alias("risk")).distinct()
+    return qa(spark, sf).filter("author is not null").select("author", F.expr(bot_rules.username_risk(SPARK)).alias("risk")).distinct()
 
 
 def c42_content(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", content_risk(c("text")).alias("risk"))
+    return table(spark, sf, "documents").select("doc_id", F.expr(bot_rules.content_risk(SPARK, "coalesce(text, '')")).alias("risk"))
 
 
 def c40_rules(spark, sf):
-    risk = rules_layer(c("a_text"), c("author"))
+    risk = rules_layer()
     return qa(spark, sf).select("pair_id", risk.alias("confidence"), (risk >= BOT).alias("is_bot"))
 
 
@@ -94,7 +79,7 @@ def c54_style(spark, sf):
 def c59_consensus(spark, sf):
     rows = _comments(spark, sf)
     # an author's behaviour is one row; the join's hot author is split by AQE
-    layers = rows.join(behaviour_layer(rows).select("author", "behaviour"), "author", "left").select("pair_id", rules_layer(c("a_text"), c("author")).alias("rules"), "behaviour", F.when(F.length("a_text") > 50, style_layer(c("a_text"))).alias("style"))
+    layers = rows.join(behaviour_layer(rows).select("author", "behaviour"), "author", "left").select("pair_id", rules_layer().alias("rules"), "behaviour", F.when(F.length("a_text") > 50, style_layer(c("a_text"))).alias("style"))
     score = consensus(rules=c("rules"), behaviour=c("behaviour"), style=c("style"))
     return layers.select("pair_id", F.round(score, 4).alias("score"), F.when(score >= 0.85, "block").when(score >= BOT, "review").otherwise("pass").alias("decision"))
 
@@ -114,14 +99,6 @@ def a23_rates(spark, sf):
 
 
 _H = lambda t, ws: "(" + " + ".join("CAST(contains(lower({}), '{}') AS INTEGER)".format(t, w.replace("'", "''")) for w in ws) + ")"
-_NAME = "CASE WHEN author IS NULL THEN 0.0 WHEN " + " OR ".join(f"contains(lower(author), '{p}')" for p in NAME_PARTS) + " THEN 0.9 WHEN regexp_matches(lower(author), '^[a-z]+_[a-z]+[0-9]{3,}$') THEN 0.6 ELSE 0.0 END::DOUBLE"
-
-
-def _content(t: str) -> str:
-    x = f"coalesce({t}, '')"
-    return f"greatest(CASE WHEN {_H(x, MODERATOR)} > 0 THEN 0.95 ELSE 0.0 END, CASE WHEN {_H(x, AUTOMATIC)} > 0 THEN 0.85 ELSE 0.0 END, CASE WHEN {_H(x, ASSISTANT)} >= 3 THEN 0.8 WHEN {_H(x, ASSISTANT)} >= 2 THEN 0.6 ELSE 0.0 END)::DOUBLE"
-
-
 def _style(t: str) -> str:
     x = f"coalesce({t}, '')"
     b = T.BLANK
@@ -130,13 +107,14 @@ def _style(t: str) -> str:
     return f"CASE WHEN length(trim({x}, ' ')) < 10 THEN 0.0::DOUBLE ELSE greatest(0.0::DOUBLE, least(1.0::DOUBLE, {score})) END"
 
 
-_RULES = f"greatest(CASE WHEN {_NAME} >= 0.7 THEN {_NAME} ELSE 0.0 END, CASE WHEN {_content('a_text')} >= 0.7 THEN {_content('a_text')} ELSE 0.0 END)::DOUBLE"
+_RULES = bot_rules.rules_risk(DUCK, _BODY, "author")
+_CONTENT = bot_rules.content_risk(DUCK, "coalesce(text, '')")
 _W = "WITH " + QA
 _BEHAVE = "b AS (SELECT author, n, 0.5::DOUBLE * CASE WHEN m > 0 THEN CASE WHEN s / m < 0.1 THEN 0.9 WHEN s / m < 0.3 THEN 0.6 ELSE 0.1 END ELSE 0.5 END::DOUBLE + 0.3::DOUBLE * (1 - d / n::DOUBLE) + 0.2::DOUBLE * z AS behaviour FROM (SELECT author, count(*) AS n, avg(length(a_text)) AS m, stddev_samp(length(a_text)) AS s, count(DISTINCT md5(a_text)) AS d, avg(CAST(coalesce(a_score, 0) = 0 AS INTEGER)) AS z FROM qa WHERE author IS NOT NULL AND a_text IS NOT NULL GROUP BY author) WHERE n >= 3)"
 QUERIES = {f.__name__: f for f in (c40_rules, c41_username, c42_content, c46_behaviour, c50_language_complexity, c54_style, c59_consensus, f19_bot_gate, a23_rates)}
 ORACLES = {
-    "c41_username": f"{_W} SELECT DISTINCT author, {_NAME} AS risk FROM qa WHERE author IS NOT NULL",
-    "c42_content": f"SELECT doc_id, {_content('text')} AS risk FROM documents",
+    "c41_username": f"{_W} SELECT DISTINCT author, {bot_rules.username_risk(DUCK)} AS risk FROM qa WHERE author IS NOT NULL",
+    "c42_content": f"SELECT doc_id, {_CONTENT} AS risk FROM documents",
     "c40_rules": f"{_W} SELECT pair_id, {_RULES} AS confidence, {_RULES} >= 0.7 AS is_bot FROM qa",
     "c46_behaviour": f"{_W}, {_BEHAVE} SELECT author, n, round(behaviour, 4) AS behaviour FROM b",
     "c50_language_complexity": f"{_W}, w AS (SELECT author, unnest(list_filter(regexp_split_to_array(lower(a_text), '{T.BLANK}'), lambda w: w <> '')) AS w FROM qa WHERE author IS NOT NULL AND a_text IS NOT NULL) SELECT author, count(*) AS words, round(avg(length(w)), 6) AS length, round(count(DISTINCT w) / count(*)::DOUBLE, 6) AS richness FROM w GROUP BY author",

@@ -144,7 +144,7 @@ def c55_types(spark, sf):
 def c56_fusion(spark, sf):
     """Rules and behaviour: .6/.4, or .8/.2 where the rules are sure."""
     rows = qa(spark, sf).filter("author is not null and a_text is not null")
-    both = rows.join(behaviour_layer(rows).select("author", "behaviour"), "author", "left").select("pair_id", rules_layer(c("a_text"), c("author")).alias("r"), F.coalesce("behaviour", F.lit(0.0)).alias("b"))
+    both = rows.join(behaviour_layer(rows).select("author", "behaviour"), "author", "left").select("pair_id", rules_layer().alias("r"), F.coalesce("behaviour", F.lit(0.0)).alias("b"))
     score = F.when(c("r") > 0.9, 0.8 * c("r") + 0.2 * c("b")).otherwise(0.6 * c("r") + 0.4 * c("b"))
     return both.select("pair_id", F.round(score, 4).alias("score"), (score >= 0.7).alias("is_bot"))
 

@@ -180,7 +180,7 @@ def c60_decision(spark, sf):
     """Any layer of .95 decides alone; else bands of the mean."""
     from gridwright.plans.bot_plans import rules_layer, style_layer
 
-    r = qa(spark, sf).select("pair_id", rules_layer(c("a_text"), c("author")).alias("r"), style_layer(c("a_text")).alias("s"))
+    r = qa(spark, sf).select("pair_id", rules_layer().alias("r"), style_layer(c("a_text")).alias("s"))
     mean = (c("r") + c("s")) / 2
     return r.select("pair_id", F.when(F.greatest("r", "s") >= 0.95, "block").when(mean >= 0.7, "review").when(mean >= 0.4, "watch").otherwise("pass").alias("decision"))
 
