@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gridwright.functions import markup
 from gridwright.functions import text as T
 from gridwright.plans.bot_plans import _behave_sql, _rules_sql, _style, behaviour_layer, rules_layer, style_layer
 from gridwright.plans.common import QA, qa
@@ -15,28 +14,6 @@ from gridwright.streaming import flows
 c = F.col
 
 
-def _page():
-    return F.concat(F.lit('<html><h1>'), F.coalesce("title", F.lit("")), F.lit('</h1><div class="post-content"><p>views '), c("view_count").cast("string"), F.lit('</p></div><a href="?page=2">2</a><a href="?page=2">2</a><a href="?page=3">3</a></html>'))
-
-
-def s08_post_detail(spark, sf):
-    """Title and views from a page: the first heading, a labelled number."""
-    page = _page()
-    rows = table(spark, sf, "oppadu_posts").filter("title is not null and view_count is not null").select("post_id", page.alias("page")).distinct()
-    return rows.select("post_id", F.regexp_extract("page", "<h1>(.*?)</h1>", 1).alias("title"), F.regexp_extract("page", "views ([0-9-]+)", 1).cast("bigint").alias("views"))
-
-
-def s09_pagination(spark, sf):
-    """Links of the page bar, each once, in order."""
-    return table(spark, sf, "oppadu_posts").filter("view_count is not null").select("post_id", markup.html_links(_page()).alias("links")).distinct()
-
-
-def s10_question_page(spark, sf):
-    """A question's fields from its page's text and address."""
-    rows = table(spark, sf, "oppadu_posts").filter("title is not null and view_count is not null").select("post_id", "url", _page().alias("page")).distinct()
-    return rows.select("post_id", F.regexp_extract("url", "uid=([0-9]+)", 1).alias("id"), markup.html_text("page").contains("views").alias("has_views")).distinct()
-
-
 def s30_embedding_cache(spark, sf):
     """Keys of the embedding cache: the hash of a title's first 50 characters; hits by key."""
     q = qa(spark, sf).filter("title is not null").select("pair_id", F.md5(F.substring("title", 1, 50)).alias("key"))
@@ -47,11 +24,6 @@ def f04_forum_threshold(spark, sf):
     return qa(spark, sf).filter((c("source") == "reddit") & (c("overall") >= 1) & ~F.isnan("overall")).select("pair_id")
 
 
-def j13_score_zip(spark, sf):
-    """Scores next to their rows: a column of the same row, no positional zip."""
-    return qa(spark, sf).filter("overall is not null and not isnan(overall)").select("pair_id", F.struct("overall", (c("overall") >= 5).alias("passed")).alias("q")).select("pair_id", "q.overall", "q.passed")
-
-
 def a29_entries(spark, sf):
     return table(spark, sf, "documents").agg(F.count(F.lit(1)).alias("entries"), F.count_distinct("source").alias("sources"))
 
@@ -88,10 +60,6 @@ def t32_rewrite_hosts(spark, sf):
     return table(spark, sf, "oppadu_posts").select("post_id", F.replace("url", F.lit("https://oppadu.example"), F.lit("https://cdn.oppadu.example")).alias("url")).distinct()
 
 
-def t33_decode(spark, sf):
-    return table(spark, sf, "oppadu_posts").select("post_id", F.try_url_decode(F.replace("url", F.lit("?"), F.lit("%3F"))).alias("url")).distinct()
-
-
 def t44_ocr_clean(spark, sf):
     return table(spark, sf, "documents").filter("text is not null").select("doc_id", F.md5(T.collapse(F.regexp_replace("text", r"[|_~^]+", " "))).alias("h"))
 
@@ -214,14 +182,10 @@ _F = r"=[A-Z][A-Z0-9.]*\([^()]*(?:\([^()]*\)[^()]*)*\)"
 _CODE = lambda t: rf"regexp_matches({t}, '(?s)```.*```|`[^`\n]+`|<code>|<pre>|=[A-Z]+\(')"
 _A = "coalesce(a_text, '')"
 _N = lambda t: f"len(list_filter(regexp_split_to_array({t}, '{_B}'), lambda w: w <> ''))"
-QUERIES = {f.__name__: f for f in (s08_post_detail, s09_pagination, s10_question_page, s30_embedding_cache, f04_forum_threshold, j13_score_zip, a29_entries, a39_methods, o09_early_stop, t21_noise, t25_author_level, t27_blocks_by_length, t32_rewrite_hosts, t33_decode, t44_ocr_clean, c13_crawler_score, c15_recommendations, c17_difficulty_map, c45_kinds, c47_age_risk, c52_keywords, c55_types, c56_fusion, c58_layers, r01_micro_batches, r04_two_targets, r05_retries, r11_online_metrics, x08_compaction)}
+QUERIES = {f.__name__: f for f in (s30_embedding_cache, f04_forum_threshold, a29_entries, a39_methods, o09_early_stop, t21_noise, t25_author_level, t27_blocks_by_length, t32_rewrite_hosts, t44_ocr_clean, c13_crawler_score, c15_recommendations, c17_difficulty_map, c45_kinds, c47_age_risk, c52_keywords, c55_types, c56_fusion, c58_layers, r01_micro_batches, r04_two_targets, r05_retries, r11_online_metrics, x08_compaction)}
 ORACLES = {
-    "s08_post_detail": "SELECT DISTINCT post_id, title, view_count AS views FROM oppadu_posts WHERE title IS NOT NULL AND view_count IS NOT NULL",
-    "s09_pagination": "SELECT DISTINCT post_id, ['?page=2', '?page=3'] AS links FROM oppadu_posts WHERE view_count IS NOT NULL",
-    "s10_question_page": "SELECT DISTINCT post_id, regexp_extract(url, 'uid=([0-9]+)', 1) AS id, true AS has_views FROM oppadu_posts WHERE title IS NOT NULL AND view_count IS NOT NULL",
     "s30_embedding_cache": f"{_W} SELECT md5(substr(title, 1, 50)) AS key, count(*) AS n FROM qa WHERE title IS NOT NULL GROUP BY 1 HAVING count(*) > 1",
     "f04_forum_threshold": f"{_W} SELECT pair_id FROM qa WHERE source = 'reddit' AND overall >= 1 AND NOT isnan(overall)",
-    "j13_score_zip": f"{_W} SELECT pair_id, overall, overall >= 5 AS passed FROM qa WHERE overall IS NOT NULL AND NOT isnan(overall)",
     "a29_entries": "SELECT count(*) AS entries, count(DISTINCT source) AS sources FROM documents",
     "a39_methods": "SELECT event_type, count(*) AS n, round(100.0::DOUBLE * count(*) FILTER (WHERE value > 0) / count(*), 4) AS percent FROM events GROUP BY 1",
     "o09_early_stop": "SELECT source, item_id FROM incoming_items QUALIFY row_number() OVER (PARTITION BY source ORDER BY item_id) <= 20",
@@ -229,7 +193,6 @@ ORACLES = {
     "t25_author_level": f"{_W} SELECT DISTINCT author, regexp_extract(author, '^([a-z]+)_', 1) AS name, regexp_extract(author, '([0-9]+)$', 1) AS level FROM qa WHERE author IS NOT NULL",
     "t27_blocks_by_length": f"{_W}, f AS (SELECT pair_id, list_distinct(regexp_extract_all(a_text, '{_F}')) AS f FROM qa WHERE a_text IS NOT NULL) SELECT pair_id, list_transform(list_sort(list_transform(f, lambda x: struct_pack(n := -length(x), x := x))), lambda s: s.x) AS blocks FROM f WHERE len(f) > 0",
     "t32_rewrite_hosts": "SELECT DISTINCT post_id, replace(url, 'https://oppadu.example', 'https://cdn.oppadu.example') AS url FROM oppadu_posts",
-    "t33_decode": "SELECT DISTINCT post_id, url FROM oppadu_posts",
     "t44_ocr_clean": f"SELECT doc_id, md5(trim(regexp_replace(regexp_replace(text, '[|_~^]+', ' ', 'g'), '{_B}', ' ', 'g'), ' ')) AS h FROM documents WHERE text IS NOT NULL",
     "c13_crawler_score": f"{_W} SELECT pair_id, round(least(4.0::DOUBLE, {_N(_A)} / 10.0::DOUBLE) + (" + " + ".join(f"CAST(contains(lower({_A}), '{w}') AS INTEGER)" for w in ("함수", "수식", "범위", "피벗", "매크로")) + f") * 0.2::DOUBLE + CASE WHEN {_CODE(_A)} THEN 2.0 ELSE 0.0 END::DOUBLE, 4) AS score FROM qa WHERE source = 'oppadu'",
     "c15_recommendations": f"{_W} SELECT pair_id, list_filter([CASE WHEN {_CODE(_A)} THEN 'extract_code' END, CASE WHEN contains({_A}, '<') THEN 'strip_markup' END, CASE WHEN length({_A}) > 500 THEN 'summarise' END], lambda x: x IS NOT NULL) AS steps FROM qa",

@@ -149,8 +149,13 @@ def r03_sync(spark, sf):
 
 
 _P = "p AS (SELECT DISTINCT ON (post_id, collected_at) post_id, title, view_count, collected_at FROM oppadu_posts)"
+#: The entities that the test tables hold, the ampersand last; and a text's tags, code with its content.
+_ENTITIES = lambda t: "replace(replace(replace(replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', chr(39)), '&nbsp;', chr(160)), '&amp;', '&')".format(t)
+_TAGS = r"regexp_replace(regexp_replace(regexp_replace(a_text, '(?is)<pre\b.*?</pre>|<code\b.*?</code>|<script\b.*?</script>|<style\b.*?</style>', '', 'g'), '(?i)</?(?:p|br|div|li|tr|h[1-4]|ul|ol|table|blockquote)\b[^<>]*>', ' ', 'g'), '</?[A-Za-z][^<>]*>', '', 'g')"
 QUERIES = {f.__name__: f for f in (s07_links, s12_jsonl_lenient, s13_jsonl_strict, s14_documents, s18_date_partitions, s24_dead_letters, s24_rejected_lines, s25_append, s26_file_counts, t09_html_code, t11_html_text, t22_unescape_all, t28_first_formula, t34_absolute, r03_sync, r06_idempotent_ingest, r07_tumbling_stream, r07_sessions_stream)}
 ORACLES = {
+    "t11_html_text": f"WITH {QA} SELECT pair_id, trim(regexp_replace({_ENTITIES(_TAGS)}, '[\\s\\x{{a0}}\\x{{2000}}-\\x{{200a}}\\x{{202f}}\\x{{3000}}]+', ' ', 'g'), ' ') AS text FROM qa WHERE a_text IS NOT NULL",
+    "t22_unescape_all": f"WITH {QA} SELECT pair_id, {_ENTITIES(_ENTITIES('a_text'))} AS plain FROM qa WHERE a_text IS NOT NULL",
     "s07_links": "SELECT DISTINCT post_id, url AS link FROM oppadu_posts WHERE url IS NOT NULL",
     "s12_jsonl_lenient": f"WITH {_P} SELECT * FROM p",
     "s13_jsonl_strict": f"WITH {_P} SELECT * FROM p",

@@ -76,12 +76,6 @@ def u04_ordered_union(spark, sf):
     return qa(spark, sf).select("pair_id", lists.alias("tags"))
 
 
-def t07_image_urls(spark, sf):
-    page = F.concat(F.lit("![a](https://i.example/"), "post_id", F.lit('.png) <img src="https://i.example/'), "post_id", F.lit('.jpg"> https://x.example/p')) 
-    urls = F.filter(F.regexp_extract_all(page, F.lit(r"https?://[A-Za-z0-9./_-]+"), F.lit(0)), lambda u: u.rlike(r"\.(png|jpg|gif)$"))
-    return table(spark, sf, "oppadu_posts").select("post_id", urls.alias("urls")).distinct()
-
-
 def t14_keep_code(spark, sf):
     """Tags removed but for code blocks, kept as placeholders and put back."""
     code = F.regexp_extract("a_text", r"(`[^`\n]+`)", 1)
@@ -247,8 +241,9 @@ _EXPL = f"trim(regexp_replace(regexp_replace(a_text, '{_F}', ' ', 'g'), '{_B}',
 _E = "e AS (SELECT vec_id, list_transform(embedding, lambda z: z::DOUBLE / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]))) AS v FROM embeddings)"
 from gridwright.plans.bot_plans import _RULES, _style  # noqa: E402
 
-QUERIES = {f.__name__: f for f in (s19_dataset, f09_submission_gate, f10_comment_gate, f12_answered, f15_after_cleaning, f23_log_filter, f26_confirmed, a04_korean_stats, a10_forum_tracker, a35_formula_ratio, a40_text_summary, u04_ordered_union, t07_image_urls, t14_keep_code, t18_clean_response, t26_final_response, t29_prefixes, t36_versions, t45_json_in_text, m3_half_even, c06_reason, c07_forum_parts, c09_context, c12_collector_score, c14_triage, c20_solution, c44_off_topic, c48_response_pattern, c49_engagement, c60_decision, e01_semantic_dedup, e02_edges, e07_code_blocks, r02_incremental, r09_expiring_counts, r10_adaptive, r12_alerts, x03_status_log)}
+QUERIES = {f.__name__: f for f in (s19_dataset, f09_submission_gate, f10_comment_gate, f12_answered, f15_after_cleaning, f23_log_filter, f26_confirmed, a04_korean_stats, a10_forum_tracker, a35_formula_ratio, a40_text_summary, u04_ordered_union, t14_keep_code, t18_clean_response, t26_final_response, t29_prefixes, t36_versions, t45_json_in_text, m3_half_even, c06_reason, c07_forum_parts, c09_context, c12_collector_score, c14_triage, c20_solution, c44_off_topic, c48_response_pattern, c49_engagement, c60_decision, e01_semantic_dedup, e02_edges, e07_code_blocks, r02_incremental, r09_expiring_counts, r10_adaptive, r12_alerts, x03_status_log)}
 ORACLES = {
+    "r10_adaptive": "WITH RECURSIVE e AS (SELECT user_id, row_number() OVER w AS k, avg(CAST(event_type <> 'error' AS INTEGER)) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS r FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)), f(user_id, k, t) AS (SELECT DISTINCT user_id, 0::BIGINT, 0.7::DOUBLE FROM events UNION ALL SELECT f.user_id, e.k, CASE WHEN e.k >= 10 AND r < 0.5 THEN greatest(0.5::DOUBLE, t - 0.05::DOUBLE) WHEN e.k >= 10 AND r > 0.8 THEN least(0.95::DOUBLE, t + 0.02::DOUBLE) ELSE t END FROM f JOIN e ON e.user_id = f.user_id AND e.k = f.k + 1) SELECT user_id, max(k) AS events, round(arg_max(t, k), 6) AS threshold FROM f GROUP BY user_id",
     "s19_dataset": f"{_W} SELECT source AS dataset, count(*) AS n, count(a_text) AS answered FROM qa WHERE title IS NOT NULL AND a_text IS NOT NULL GROUP BY 1",
     "f09_submission_gate": f"{_W} SELECT pair_id FROM qa WHERE source = 'reddit' AND length(title) BETWEEN 10 AND 200 AND q_score >= 5 AND total_comments >= 3",
     "f10_comment_gate": f"{_W} SELECT pair_id FROM qa WHERE length(a_text) BETWEEN 50 AND 5000 AND a_score >= 0",
@@ -261,7 +256,6 @@ ORACLES = {
     "a35_formula_ratio": rf"{_W}, f AS (SELECT pair_id, regexp_extract_all(a_text, '=[A-Z]+\([^ \n]*') AS f FROM qa WHERE a_text IS NOT NULL) SELECT pair_id, len(f) AS n, round(len(list_filter(f, lambda x: len(regexp_extract_all(x, '\(')) = len(regexp_extract_all(x, '\)')))) / len(f)::DOUBLE, 6) AS share FROM f WHERE len(f) > 0",
     "a40_text_summary": rf"{_W}, f AS (SELECT CASE WHEN regexp_matches(a_text, '(?i)\b(sub|function) [a-z_0-9]+\(|\bdim [a-z]+ as\b|end sub') THEN 'vba' WHEN regexp_matches(a_text, '{_F}') THEN 'excel' WHEN regexp_matches(a_text, '(?i)\bselect\b[^;]*\bfrom\b') THEN 'sql' WHEN regexp_matches(a_text, '\bdef [a-z_]+\(|\bimport [a-z_]+\b') THEN 'python' WHEN regexp_matches(a_text, '\bconst [a-z]|\bfunction *\(|=>') THEN 'javascript' ELSE 'unknown' END AS l, len(regexp_extract_all(a_text, '{_F}')) AS f FROM qa WHERE a_text IS NOT NULL) SELECT count(*) AS n, count(*) FILTER (WHERE f > 0) AS with_formula, count(DISTINCT l) AS languages FROM f",
     "u04_ordered_union": f"{_W}, u AS (SELECT pair_id, list_concat(coalesce(tags, []), ['excel', 'qa']) AS t FROM qa) SELECT pair_id, {_OD('t')} AS tags FROM u",
-    "t07_image_urls": "SELECT DISTINCT post_id, ['https://i.example/' || post_id || '.png', 'https://i.example/' || post_id || '.jpg'] AS urls FROM oppadu_posts",
     "t14_keep_code": rf"{_W}, k AS (SELECT pair_id, regexp_extract(a_text, '(`[^`\n]+`)', 1) AS code, a_text FROM qa WHERE a_text IS NOT NULL) SELECT pair_id, CASE WHEN code <> '' THEN replace({_STRIP('replace(a_text, code, ' + chr(39) + '§0§' + chr(39) + ')')}, '§0§', code) ELSE {_STRIP('a_text')} END AS text FROM k",
     "t18_clean_response": f"{_W} SELECT pair_id, {_STRIP('a_text')} AS text, len(list_distinct(regexp_extract_all(a_text, '{_F}'))) AS formulas, {_CODE('a_text')} AS code FROM qa WHERE a_text IS NOT NULL",
     "t26_final_response": f"{_W}, b AS (SELECT pair_id, coalesce(list_max(list_transform(regexp_extract_all(a_text, '{_F}'), lambda f: length(f))), 0) AS formula_length, {_EXPL} AS t FROM qa WHERE a_text IS NOT NULL) SELECT pair_id, formula_length, CASE WHEN len(list_filter(regexp_split_to_array(t, '{_B}'), lambda w: w <> '')) >= 3 THEN t END AS explanation FROM b",

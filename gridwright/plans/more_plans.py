@@ -34,13 +34,6 @@ def pr12_question_with_context(spark, sf):
     return qa(spark, sf).select("pair_id", F.concat_ws("\n", F.concat(F.lit("Q: "), "title"), F.concat(F.lit("Tags: "), F.array_join(F.slice("tags", 1, 5), ", "))).alias("prompt"))
 
 
-def pr13_round_trip(spark, sf):
-    """A struct to JSON and back."""
-    s = F.struct("pair_id", "a_score", "author")
-    back = F.from_json(F.to_json(s), "pair_id bigint, a_score bigint, author string")
-    return qa(spark, sf).select(back["pair_id"].alias("pair_id"), back["a_score"].alias("a_score"), back["author"].alias("author"))
-
-
 def pr17_features(spark, sf):
     return qa(spark, sf).select("pair_id", F.length("title").cast("bigint").alias("title_length"), F.coalesce(F.when(c("tags").isNotNull(), F.size("tags")), F.lit(0)).cast("bigint").alias("tags"), c("q_text").contains("?").alias("asks"), T.has_code(F.coalesce("a_text", F.lit(""))).alias("code"))
 
@@ -270,17 +263,6 @@ def e06_exact_ids(spark, sf):
     return i.join(k, "external_id", "left_semi").select("item_id")
 
 
-def x02_append(spark, sf):
-    """A log after two appends."""
-    r = table(spark, sf, "keep_targets")
-    return r.withColumn("run", F.lit(1)).unionByName(r.withColumn("run", F.lit(2))).select("source", "run")
-
-
-def x06_reset(spark, sf):
-    """A table after a reset: its columns, no rows."""
-    return table(spark, sf, "reddit_collected").limit(0).agg(F.count(F.lit(1)).alias("n"))
-
-
 _W = "WITH " + QA
 _F = r"=[A-Z][A-Z0-9.]*\([^()]*(?:\([^()]*\)[^()]*)*\)"
 _CODE = r"regexp_matches(coalesce(a_text, ''), '(?s)```.*```|`[^`\n]+`|<code>|<pre>|=[A-Z]+\(')"
@@ -292,7 +274,7 @@ def _norm(x: str) -> str:
     return f"CASE WHEN count(*) OVER w <= 1 OR max({x}) OVER w = min({x}) OVER w THEN 1.0 ELSE ({x} - min({x}) OVER w)::DOUBLE / (max({x}) OVER w - min({x}) OVER w) END::DOUBLE"
 
 
-QUERIES = {f.__name__: f for f in (pr04_standard_pair, pr07_sync_payload, pr10_entry, pr12_question_with_context, pr13_round_trip, pr17_features, f03_threshold, f06_solved, f11_required_words, f13_good_after, f14_required_fields, f17_similarity_floor, f20_image_urls, f21_date_range, f24_empty_is_bot, j02_accepted_or_best, j04_top_two, j08_parent, a02_simple_stats, a05_triage_stats, a07_similarity_spread, a09_tracker, a11_posts_with_answers, a16_key_sizes, a24_fingerprints, a28_floor_allocation, a37_batch_stats, a44_valid_share, w09_first_occurrence, o06_composite_sort, o07_newest, u06_split, t15_leading_equals, t24_explanation, t39_routing_mentions, d1_iso_parse, d5_since, m5_distance, c01_question_raw, c02_answer_raw, c03_completion, c04_final_score, c11_community_score, c18_formula_complexity, c21_formula_syntax, e06_exact_ids, x02_append, x06_reset)}
+QUERIES = {f.__name__: f for f in (pr04_standard_pair, pr07_sync_payload, pr10_entry, pr12_question_with_context, pr17_features, f03_threshold, f06_solved, f11_required_words, f13_good_after, f14_required_fields, f17_similarity_floor, f20_image_urls, f21_date_range, f24_empty_is_bot, j02_accepted_or_best, j04_top_two, j08_parent, a02_simple_stats, a05_triage_stats, a07_similarity_spread, a09_tracker, a11_posts_with_answers, a16_key_sizes, a24_fingerprints, a28_floor_allocation, a37_batch_stats, a44_valid_share, w09_first_occurrence, o06_composite_sort, o07_newest, u06_split, t15_leading_equals, t24_explanation, t39_routing_mentions, d1_iso_parse, d5_since, m5_distance, c01_question_raw, c02_answer_raw, c03_completion, c04_final_score, c11_community_score, c18_formula_complexity, c21_formula_syntax, e06_exact_ids)}
 from gridwright.plans.common import USAGE  # noqa: E402
 from gridwright.plans.text_plans import ORACLES as _TEXT  # noqa: E402
 
@@ -301,7 +283,6 @@ ORACLES = {
     "pr07_sync_payload": "SELECT post_id, collected_at, 'sync_oppadu' AS source, coalesce(CASE WHEN json_valid(metadata) THEN json_extract_string(metadata, '$.lang') END, 'ko') AS lang, coalesce(CAST(CASE WHEN json_valid(metadata) THEN json_extract_string(metadata, '$.answers') END AS BIGINT), 0) AS answers FROM oppadu_collected",
     "pr10_entry": f"{_W} SELECT source || '_' || pair_id AS id, title AS user_question, length(a_text) AS answer_length FROM qa WHERE overall >= 6 AND overall <= 10",
     "pr12_question_with_context": f"{_W} SELECT pair_id, concat_ws(chr(10), 'Q: ' || title, 'Tags: ' || array_to_string(tags[1:5], ', ')) AS prompt FROM qa",
-    "pr13_round_trip": f"{_W} SELECT pair_id, a_score, author FROM qa",
     "pr17_features": f"{_W} SELECT pair_id, length(title) AS title_length, coalesce(len(tags), 0) AS tags, contains(q_text, '?') AS asks, {_CODE} AS code FROM qa",
     "f03_threshold": "SELECT DISTINCT post_id FROM oppadu_posts WHERE quality_score >= 5.5 AND quality_score <= 10",
     "f06_solved": "SELECT item_id FROM incoming_items WHERE lower(source) = 'reddit' AND contains(lower(title), 'solved') AND external_id NOT IN (SELECT submission_id FROM reddit_collected WHERE submission_id IS NOT NULL)",
@@ -343,6 +324,4 @@ ORACLES = {
     "c18_formula_complexity": f"{_W}, f AS (SELECT pair_id, list_distinct(regexp_extract_all(coalesce(a_text, ''), '{_F}')) AS f FROM qa) SELECT pair_id, coalesce(list_max(list_transform(f, lambda x: len(regexp_extract_all(x, '\\(')))), 0) AS calls, len(list_distinct(flatten(list_transform(f, lambda x: regexp_extract_all(x, '([A-Z]+)\\(', 1))))) AS functions FROM f",
     "c21_formula_syntax": r"WITH " + QA + r" SELECT pair_id, len(regexp_extract_all(a_text, '\(')) = len(regexp_extract_all(a_text, '\)')) AS balanced FROM qa WHERE starts_with(trim(a_text, ' '), '=')",
     "e06_exact_ids": "SELECT item_id FROM incoming_items WHERE source = 'reddit' AND external_id IN (SELECT submission_id FROM reddit_collected)",
-    "x02_append": "SELECT source, 1 AS run FROM keep_targets UNION ALL SELECT source, 2 FROM keep_targets",
-    "x06_reset": "SELECT 0 AS n",
 }

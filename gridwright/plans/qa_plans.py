@@ -92,13 +92,6 @@ def pr11_context(spark, sf):
     return top.groupBy("source").agg(F.concat_ws("\n", F.transform(F.array_sort(F.collect_list(F.struct("rank", line.alias("line")))), lambda x: x["line"])).alias("context"))
 
 
-def pr14_merge(spark, sf):
-    """Maps merged, the right one winning."""
-    left = F.create_map(F.lit("lang"), F.lit("en"), F.lit("kind"), F.lit("qa"))
-    merged = F.map_concat(F.map_filter(left, lambda k, v: k != "lang"), F.create_map(F.lit("lang"), c("source")))
-    return qa(spark, sf).select("pair_id", merged["lang"].alias("lang"), merged["kind"].alias("kind"))
-
-
 # -- filters ------------------------------------------------------------------------------
 def f01_by_quality(spark, sf):
     return qa(spark, sf).filter((c("overall") >= 5) & ~F.isnan("overall")).select("pair_id", "overall")
@@ -341,7 +334,7 @@ _HITS = lambda t, ws: "(" + " + ".join(f"CAST(contains(lower({t}), '{w}') AS INT
 _CODE = r"regexp_matches({}, '(?s)```.*```|`[^`\n]+`|<code>|<pre>|=[A-Z]+\(')"
 _GRAMS = "CASE WHEN length(lower({t})) >= 3 THEN list_distinct(list_transform(generate_series(1, length(lower({t})) - 2), lambda i: substr(lower({t}), i, 3))) ELSE [] END"
 
-QUERIES = {f.__name__: f for f in (s15_scan, s16_prefix_scan, s20_batch_export, s27_insert_new, s28_delete, s29_image_sources, pr01_canonical, pr02_body_if_any, pr03_answer_id, pr05_tags, pr06_vector_document, pr08_clean_row, pr09_defaults, pr11_context, pr14_merge, f01_by_quality, f02_text_gate, f05_two_of_three, f07_question_gate, f08_answer_gate, f16_validators, f18_predicate_tree, f22_contains, f25_two_of_four, j01_question_to_post, j03_left_newest, j05_not_in, j06_not_collected, j07_semi, j09_similar_pairs, j10_title_jaccard, j10_user_similarity, j11_nearest, j12_dimension, e03_components, e04_keep_best, e05_group_size, e08_first_wins, a03_forum_stats, a06_dedup_stats, a12_pivot, a17_funnel, a25_tag_frequency, a26_keyword_shares, a27_score_range, a42_by_source, w01_min_max, w02_best_of_group, w10_best_answer, o01_top, o02_keyset, o03_offset, o04_top_authors, o08_longest_formula, u01_union, u02_difference, u03_jaccard, u05_top_up)}
+QUERIES = {f.__name__: f for f in (s15_scan, s16_prefix_scan, s20_batch_export, s27_insert_new, s28_delete, s29_image_sources, pr01_canonical, pr02_body_if_any, pr03_answer_id, pr05_tags, pr06_vector_document, pr08_clean_row, pr09_defaults, pr11_context, f01_by_quality, f02_text_gate, f05_two_of_three, f07_question_gate, f08_answer_gate, f16_validators, f18_predicate_tree, f22_contains, f25_two_of_four, j01_question_to_post, j03_left_newest, j05_not_in, j06_not_collected, j07_semi, j09_similar_pairs, j10_title_jaccard, j10_user_similarity, j11_nearest, j12_dimension, e03_components, e04_keep_best, e05_group_size, e08_first_wins, a03_forum_stats, a06_dedup_stats, a12_pivot, a17_funnel, a25_tag_frequency, a26_keyword_shares, a27_score_range, a42_by_source, w01_min_max, w02_best_of_group, w10_best_answer, o01_top, o02_keyset, o03_offset, o04_top_authors, o08_longest_formula, u01_union, u02_difference, u03_jaccard, u05_top_up)}
 ORACLES = {
     "s15_scan": "SELECT DISTINCT question_id, quality_score FROM stackoverflow_collected WHERE quality_score >= 8 AND NOT isnan(quality_score)",
     "s16_prefix_scan": "SELECT submission_id, collected_at, CASE WHEN json_valid(metadata) THEN json_extract_string(metadata, '$.author') END AS author, CAST(CASE WHEN json_valid(metadata) THEN json_extract_string(metadata, '$.answers') END AS BIGINT) AS answers FROM reddit_collected WHERE starts_with(submission_id, '1a')",
@@ -357,7 +350,6 @@ ORACLES = {
     "pr08_clean_row": f"{_W}, r AS (SELECT pair_id, trim(regexp_replace(coalesce(q_text, ''), '{_B}', ' ', 'g'), ' ') AS q, trim(regexp_replace(coalesce(a_text, ''), '{_B}', ' ', 'g'), ' ') AS a, coalesce(tags[1:2], []) AS tags FROM qa) SELECT * FROM r WHERE length(q) >= 10 AND length(a) >= 20",
     "pr09_defaults": f"{_W} SELECT pair_id, coalesce(author, '[deleted]') AS author, coalesce(a_score, 0) AS score FROM qa",
     "pr11_context": f"{_W}, t AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY overall DESC, pair_id) AS rank FROM qa WHERE {_GOOD} AND title IS NOT NULL) SELECT source, string_agg(rank || '. ' || substr(title, 1, 60), chr(10) ORDER BY rank) AS context FROM t WHERE rank <= 5 GROUP BY source",
-    "pr14_merge": f"{_W} SELECT pair_id, source AS lang, 'qa' AS kind FROM qa",
     "f01_by_quality": f"{_W} SELECT pair_id, overall FROM qa WHERE overall >= 5 AND NOT isnan(overall)",
     "f02_text_gate": f"{_W} SELECT pair_id FROM qa WHERE length(trim(coalesce(q_text, ''), ' ')) >= 10 AND length(trim(coalesce(a_text, ''), ' ')) >= 10 AND overall >= 3 AND NOT isnan(overall)",
     "f05_two_of_three": f"{_W} SELECT pair_id FROM qa WHERE CAST(coalesce(list_contains(tags, 'xlookup'), false) AS INTEGER) + CAST({_HITS(chr(99) + 'oalesce(title, ' + chr(39) * 2 + ')', ('formula', 'pivot'))} > 0 AS INTEGER) + CAST(coalesce(q_score, 0) >= 10 AS INTEGER) >= 2",
