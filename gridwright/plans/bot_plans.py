@@ -1,22 +1,16 @@
-"""Bot detection: rule, behaviour and style layers, and their weighted consensus."""
+"""Bot detection: the rule layer over answers and documents."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from gridwright.functions import bot_rules
-from gridwright.functions import text as T
 from gridwright.functions.dialects import DUCK, SPARK
 from gridwright.plans.common import QA, qa
 from gridwright.session import table
 
 c = F.col
 
-# fixed values: phrases and weights of the detection layers
-ASSISTANT = tuple(w.lower() for w in bot_rules.ASSISTANT)
-SIGNATURES = ("as an ai", "i am an ai", "artificial intelligence", "i cannot", "i'm not able to", "thank you for your question", "let me provide you with", "based on your description", "in summary", "in conclusion", "it appears that", "it seems like", "another approach", "alternatively")
-HUMAN = ("i had the same problem", "this happened to me", "i remember when", "i think i", "from my experience", "i usually", "lol", "haha")
-WEIGHTS = {"rules": 0.35, "behaviour": 0.25, "style": 0.20}
 BOT = bot_rules.BOT
 _BODY = "coalesce(a_text, '')"
 
@@ -26,35 +20,6 @@ def rules_layer():
     return F.expr(bot_rules.rules_risk(SPARK, _BODY, "author"))
 
 
-def style_layer(text):
-    """Signatures, structure and repetition of a text; texts under 10 characters are human."""
-    t = F.coalesce(text, F.lit(""))
-    words = F.filter(F.split(F.lower(t), T.BLANK), lambda w: w != "")
-    sentences = F.filter(F.split(t, r"[.!?]+"), lambda x: F.trim(x) != "")
-    per = F.size(words) / F.greatest(F.size(sentences), F.lit(1))
-    score = 0.4 * F.least(F.lit(1.0), T.count_mentions(t, SIGNATURES) * 0.3) + 0.2 * F.when(per > 20, 1.0).otherwise(0.0) + 0.2 * F.when(T.count_mentions(t, ASSISTANT) > 0, 1.0).otherwise(0.0) - 0.1 * F.least(F.lit(2), T.count_mentions(t, HUMAN))
-    return F.when(F.length(F.trim(t)) < 10, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)))
-
-
-def behaviour_layer(comments):
-    """Per author: regular lengths, repeated texts and one-sided scores, 0 to 1."""
-    stats = comments.groupBy("author").agg(F.count(F.lit(1)).alias("n"), F.avg(F.length("a_text")).alias("m"), F.stddev_samp(F.length("a_text")).alias("s"), F.count_distinct(F.md5("a_text")).alias("d"), F.avg((F.coalesce("a_score", F.lit(0)) == 0).cast("int")).alias("z"))
-    regular = F.when(F.col("m") > 0, F.when(F.col("s") / F.col("m") < 0.1, 0.9).when(F.col("s") / F.col("m") < 0.3, 0.6).otherwise(0.1)).otherwise(0.5)
-    repeats = 1 - F.col("d") / F.col("n")
-    return stats.filter("n >= 3").select("author", "n", (0.5 * regular + 0.3 * repeats + 0.2 * F.col("z")).alias("behaviour"))
-
-
-def consensus(**layers):
-    """Weighted mean over the layers that are there."""
-    weight = sum((F.when(x.isNotNull(), F.lit(WEIGHTS[k])).otherwise(0.0) for k, x in layers.items()), F.lit(0.0))
-    total = sum((F.coalesce(x, F.lit(0.0)) * WEIGHTS[k] for k, x in layers.items()), F.lit(0.0))
-    return F.try_divide(total, weight)
-
-
-def _comments(spark, sf):
-    return qa(spark, sf).filter("author is not null and a_text is not null")
-
-
 def c41_username(spark, sf):
     return qa(spark, sf).filter("author is not null").select("author", F.expr(bot_rules.username_risk(SPARK)).alias("risk")).distinct()
 
@@ -68,28 +33,6 @@ def c40_rules(spark, sf):
     return qa(spark, sf).select("pair_id", risk.alias("confidence"), (risk >= BOT).alias("is_bot"))
 
 
-def c46_behaviour(spark, sf):
-    return behaviour_layer(_comments(spark, sf)).select("author", "n", F.round("behaviour", 4).alias("behaviour"))
-
-
-def c54_style(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.round(style_layer(c("text")), 6).alias("probability"))
-
-
-def c59_consensus(spark, sf):
-    rows = _comments(spark, sf)
-    # an author's behaviour is one row; the join's hot author is split by AQE
-    layers = rows.join(behaviour_layer(rows).select("author", "behaviour"), "author", "left").select("pair_id", rules_layer().alias("rules"), "behaviour", F.when(F.length("a_text") > 50, style_layer(c("a_text"))).alias("style"))
-    score = consensus(rules=c("rules"), behaviour=c("behaviour"), style=c("style"))
-    return layers.select("pair_id", F.round(score, 4).alias("score"), F.when(score >= 0.85, "block").when(score >= BOT, "review").otherwise("pass").alias("decision"))
-
-
-def c50_language_complexity(spark, sf):
-    """Word length, richness and sentence deviation of each author's answers."""
-    words = _comments(spark, sf).select("author", F.explode(F.filter(F.split(F.lower("a_text"), T.BLANK), lambda w: w != "")).alias("w"))
-    return words.groupBy("author").agg(F.count(F.lit(1)).alias("words"), F.round(F.avg(F.length("w")), 6).alias("length"), F.round(F.count_distinct("w") / F.count(F.lit(1)), 6).alias("richness"))
-
-
 def f19_bot_gate(spark, sf):
     return c40_rules(spark, sf).filter("is_bot and confidence >= 0.7").select("pair_id")
 
@@ -99,30 +42,15 @@ def a23_rates(spark, sf):
 
 
 _H = lambda t, ws: "(" + " + ".join("CAST(contains(lower({}), '{}') AS INTEGER)".format(t, w.replace("'", "''")) for w in ws) + ")"
-def _style(t: str) -> str:
-    x = f"coalesce({t}, '')"
-    b = T.BLANK
-    per = f"len(list_filter(regexp_split_to_array(lower({x}), '{b}'), lambda w: w <> ''))::DOUBLE / greatest(len(list_filter(regexp_split_to_array({x}, '[.!?]+'), lambda s: trim(s, ' ') <> '')), 1)"
-    score = f"0.4::DOUBLE * least(1.0::DOUBLE, {_H(x, SIGNATURES)} * 0.3::DOUBLE) + 0.2::DOUBLE * CASE WHEN {per} > 20 THEN 1.0 ELSE 0.0 END::DOUBLE + 0.2::DOUBLE * CASE WHEN {_H(x, ASSISTANT)} > 0 THEN 1.0 ELSE 0.0 END::DOUBLE - 0.1::DOUBLE * least(2, {_H(x, HUMAN)})"
-    return f"CASE WHEN length(trim({x}, ' ')) < 10 THEN 0.0::DOUBLE ELSE greatest(0.0::DOUBLE, least(1.0::DOUBLE, {score})) END"
-
-
 _RULES = bot_rules.rules_risk(DUCK, _BODY, "author")
 _CONTENT = bot_rules.content_risk(DUCK, "coalesce(text, '')")
 _W = "WITH " + QA
-_BEHAVE = "b AS (SELECT author, n, 0.5::DOUBLE * CASE WHEN m > 0 THEN CASE WHEN s / m < 0.1 THEN 0.9 WHEN s / m < 0.3 THEN 0.6 ELSE 0.1 END ELSE 0.5 END::DOUBLE + 0.3::DOUBLE * (1 - d / n::DOUBLE) + 0.2::DOUBLE * z AS behaviour FROM (SELECT author, count(*) AS n, avg(length(a_text)) AS m, stddev_samp(length(a_text)) AS s, count(DISTINCT md5(a_text)) AS d, avg(CAST(coalesce(a_score, 0) = 0 AS INTEGER)) AS z FROM qa WHERE author IS NOT NULL AND a_text IS NOT NULL GROUP BY author) WHERE n >= 3)"
-QUERIES = {f.__name__: f for f in (c40_rules, c41_username, c42_content, c46_behaviour, c50_language_complexity, c54_style, c59_consensus, f19_bot_gate, a23_rates)}
+QUERIES = {f.__name__: f for f in (c40_rules, c41_username, c42_content, f19_bot_gate, a23_rates)}
 ORACLES = {
     "c41_username": f"{_W} SELECT DISTINCT author, {bot_rules.username_risk(DUCK)} AS risk FROM qa WHERE author IS NOT NULL",
     "c42_content": f"SELECT doc_id, {_CONTENT} AS risk FROM documents",
     "c40_rules": f"{_W} SELECT pair_id, {_RULES} AS confidence, {_RULES} >= 0.7 AS is_bot FROM qa",
-    "c46_behaviour": f"{_W}, {_BEHAVE} SELECT author, n, round(behaviour, 4) AS behaviour FROM b",
-    "c50_language_complexity": f"{_W}, w AS (SELECT author, unnest(list_filter(regexp_split_to_array(lower(a_text), '{T.BLANK}'), lambda w: w <> '')) AS w FROM qa WHERE author IS NOT NULL AND a_text IS NOT NULL) SELECT author, count(*) AS words, round(avg(length(w)), 6) AS length, round(count(DISTINCT w) / count(*)::DOUBLE, 6) AS richness FROM w GROUP BY author",
-    "c54_style": f"SELECT doc_id, round({_style('text')}, 6) AS probability FROM documents",
-    "c59_consensus": f"{_W}, {_BEHAVE}, l AS (SELECT pair_id, {_RULES} AS r, behaviour AS h, CASE WHEN length(a_text) > 50 THEN {_style('a_text')} END AS y FROM (SELECT * FROM qa WHERE author IS NOT NULL AND a_text IS NOT NULL) q LEFT JOIN b USING (author)), s AS (SELECT pair_id, (coalesce(r, 0) * 0.35::DOUBLE + coalesce(h, 0) * 0.25::DOUBLE + coalesce(y, 0) * 0.20::DOUBLE) / (0.35::DOUBLE + CASE WHEN h IS NOT NULL THEN 0.25 ELSE 0 END::DOUBLE + CASE WHEN y IS NOT NULL THEN 0.20 ELSE 0 END::DOUBLE) AS score FROM l) SELECT pair_id, round(score, 4) AS score, CASE WHEN score >= 0.85 THEN 'block' WHEN score >= 0.7 THEN 'review' ELSE 'pass' END AS decision FROM s",
     "f19_bot_gate": f"{_W} SELECT pair_id FROM qa WHERE {_RULES} >= 0.7",
     "a23_rates": f"{_W} SELECT count(*) AS n, count(*) FILTER (WHERE {_RULES} >= 0.7) AS bots, round(avg(CAST({_RULES} >= 0.7 AS INTEGER)), 6) AS rate FROM qa",
 }
 
-#: SQL of the layers, for plans that combine them.
-_rules_sql, _behave_sql = _RULES, _BEHAVE

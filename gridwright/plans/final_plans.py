@@ -6,7 +6,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridwright.functions import text as T
-from gridwright.plans.bot_plans import _behave_sql, _rules_sql, _style, behaviour_layer, rules_layer, style_layer
 from gridwright.plans.common import QA, qa
 from gridwright.session import scratch_path, table, written
 from gridwright.streaming import flows
@@ -85,44 +84,6 @@ def c17_difficulty_map(spark, sf):
     return qa(spark, sf).filter("q_text is not null").select("pair_id", F.coalesce(names[level], F.lit("medium")).alias("difficulty"))
 
 
-def c45_kinds(spark, sf):
-    """Class of an answer by the first words that show."""
-    low = F.lower(F.coalesce("a_text", F.lit("")))
-    kind = F.when(low.contains("moderator"), "moderator").when(low.contains("automat"), "automatic").when(low.contains("language model"), "assistant").when(F.lower("author").contains("bot"), "named_bot").otherwise("human")
-    return qa(spark, sf).groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
-
-
-def c47_age_risk(spark, sf):
-    """Risk by the days between a user's first and last event."""
-    r = table(spark, sf, "events").groupBy("user_id").agg(F.datediff(F.max("ts"), F.min("ts")).alias("days"))
-    return r.withColumn("risk", F.when(c("days") < 7, 0.9).when(c("days") < 25, 0.5).otherwise(0.1))
-
-
-def c52_keywords(spark, sf):
-    """Shares of stylistic marks in each document."""
-    words = F.greatest(T.word_count(c("text")), F.lit(1))
-    return table(spark, sf, "documents").filter("text is not null").select("doc_id", F.round(F.regexp_count("text", F.lit(",")) / words, 6).alias("commas"), F.round(F.regexp_count("text", F.lit("(?i)however|therefore|accordingly|whereas")) / words, 6).alias("connectives"))
-
-
-def c55_types(spark, sf):
-    p = style_layer(c("text"))
-    return table(spark, sf, "documents").groupBy(F.when(F.length(F.trim(F.coalesce("text", F.lit("")))) < 10, "too_short").when(p >= 0.5, "generated").when(p >= 0.2, "unsure").otherwise("human").alias("type")).agg(F.count(F.lit(1)).alias("n"))
-
-
-def c56_fusion(spark, sf):
-    """Rules and behaviour: .6/.4, or .8/.2 where the rules are sure."""
-    rows = qa(spark, sf).filter("author is not null and a_text is not null")
-    both = rows.join(behaviour_layer(rows).select("author", "behaviour"), "author", "left").select("pair_id", rules_layer().alias("r"), F.coalesce("behaviour", F.lit(0.0)).alias("b"))
-    score = F.when(c("r") > 0.9, 0.8 * c("r") + 0.2 * c("b")).otherwise(0.6 * c("r") + 0.4 * c("b"))
-    return both.select("pair_id", F.round(score, 4).alias("score"), (score >= 0.7).alias("is_bot"))
-
-
-def c58_layers(spark, sf):
-    """Layers that a text's data allow."""
-    t = F.coalesce("a_text", F.lit(""))
-    return qa(spark, sf).select("pair_id", F.array_compact(F.array(F.lit("rules"), F.when(c("author").isNotNull(), "behaviour"), F.when(F.length(t) > 50, "style"))).alias("layers"))
-
-
 def r01_micro_batches(spark, sf):
     """A continuous run, a few files a micro-batch: items and batches that were processed."""
     d = table(spark, sf, "documents").select("doc_id", "source")
@@ -182,7 +143,7 @@ _F = r"=[A-Z][A-Z0-9.]*\([^()]*(?:\([^()]*\)[^()]*)*\)"
 _CODE = lambda t: rf"regexp_matches({t}, '(?s)```.*```|`[^`\n]+`|<code>|<pre>|=[A-Z]+\(')"
 _A = "coalesce(a_text, '')"
 _N = lambda t: f"len(list_filter(regexp_split_to_array({t}, '{_B}'), lambda w: w <> ''))"
-QUERIES = {f.__name__: f for f in (s30_embedding_cache, f04_forum_threshold, a29_entries, a39_methods, o09_early_stop, t21_noise, t25_author_level, t27_blocks_by_length, t32_rewrite_hosts, t44_ocr_clean, c13_crawler_score, c15_recommendations, c17_difficulty_map, c45_kinds, c47_age_risk, c52_keywords, c55_types, c56_fusion, c58_layers, r01_micro_batches, r04_two_targets, r05_retries, r11_online_metrics, x08_compaction)}
+QUERIES = {f.__name__: f for f in (s30_embedding_cache, f04_forum_threshold, a29_entries, a39_methods, o09_early_stop, t21_noise, t25_author_level, t27_blocks_by_length, t32_rewrite_hosts, t44_ocr_clean, c13_crawler_score, c15_recommendations, c17_difficulty_map, r01_micro_batches, r04_two_targets, r05_retries, r11_online_metrics, x08_compaction)}
 ORACLES = {
     "s30_embedding_cache": f"{_W} SELECT md5(substr(title, 1, 50)) AS key, count(*) AS n FROM qa WHERE title IS NOT NULL GROUP BY 1 HAVING count(*) > 1",
     "f04_forum_threshold": f"{_W} SELECT pair_id FROM qa WHERE source = 'reddit' AND overall >= 1 AND NOT isnan(overall)",
@@ -197,12 +158,6 @@ ORACLES = {
     "c13_crawler_score": f"{_W} SELECT pair_id, round(least(4.0::DOUBLE, {_N(_A)} / 10.0::DOUBLE) + (" + " + ".join(f"CAST(contains(lower({_A}), '{w}') AS INTEGER)" for w in ("함수", "수식", "범위", "피벗", "매크로")) + f") * 0.2::DOUBLE + CASE WHEN {_CODE(_A)} THEN 2.0 ELSE 0.0 END::DOUBLE, 4) AS score FROM qa WHERE source = 'oppadu'",
     "c15_recommendations": f"{_W} SELECT pair_id, list_filter([CASE WHEN {_CODE(_A)} THEN 'extract_code' END, CASE WHEN contains({_A}, '<') THEN 'strip_markup' END, CASE WHEN length({_A}) > 500 THEN 'summarise' END], lambda x: x IS NOT NULL) AS steps FROM qa",
     "c17_difficulty_map": f"{_W} SELECT pair_id, CASE WHEN length(q_text) > 400 THEN 'advanced' WHEN length(q_text) < 150 THEN 'beginner' ELSE 'medium' END AS difficulty FROM qa WHERE q_text IS NOT NULL",
-    "c45_kinds": f"{_W} SELECT CASE WHEN contains(lower({_A}), 'moderator') THEN 'moderator' WHEN contains(lower({_A}), 'automat') THEN 'automatic' WHEN contains(lower({_A}), 'language model') THEN 'assistant' WHEN contains(lower(author), 'bot') THEN 'named_bot' ELSE 'human' END AS kind, count(*) AS n FROM qa GROUP BY 1",
-    "c47_age_risk": "WITH g AS (SELECT user_id, CAST(date_diff('day', min(ts), max(ts)) AS INTEGER) AS days FROM events GROUP BY 1) SELECT *, CAST(CASE WHEN days < 7 THEN 0.9 WHEN days < 25 THEN 0.5 ELSE 0.1 END AS DOUBLE) AS risk FROM g",
-    "c52_keywords": f"SELECT doc_id, round(len(regexp_extract_all(text, ','))::DOUBLE / greatest({_N('text')}, 1), 6) AS commas, round(len(regexp_extract_all(text, '(?i)however|therefore|accordingly|whereas'))::DOUBLE / greatest({_N('text')}, 1), 6) AS connectives FROM documents WHERE text IS NOT NULL",
-    "c55_types": f"SELECT CASE WHEN length(trim(coalesce(text, ''), ' ')) < 10 THEN 'too_short' WHEN p >= 0.5 THEN 'generated' WHEN p >= 0.2 THEN 'unsure' ELSE 'human' END AS type, count(*) AS n FROM (SELECT text, {_style('text')} AS p FROM documents) GROUP BY 1",
-    "c56_fusion": f"{_W}, {_behave_sql}, l AS (SELECT pair_id, {_rules_sql} AS r, coalesce(behaviour, 0.0::DOUBLE) AS h FROM (SELECT * FROM qa WHERE author IS NOT NULL AND a_text IS NOT NULL) q LEFT JOIN b USING (author)), s AS (SELECT pair_id, CASE WHEN r > 0.9 THEN 0.8::DOUBLE * r + 0.2::DOUBLE * h ELSE 0.6::DOUBLE * r + 0.4::DOUBLE * h END AS score FROM l) SELECT pair_id, round(score, 4) AS score, score >= 0.7 AS is_bot FROM s",
-    "c58_layers": f"{_W} SELECT pair_id, list_filter(['rules', CASE WHEN author IS NOT NULL THEN 'behaviour' END, CASE WHEN length({_A}) > 50 THEN 'style' END], lambda x: x IS NOT NULL) AS layers FROM qa",
     "r01_micro_batches": "SELECT count(*) AS items, count(DISTINCT doc_id) AS ids FROM documents",
     "r04_two_targets": "SELECT unnest(['first', 'second']) AS target, count(DISTINCT doc_id) AS ids, count(*) AS rows FROM documents",
     "r05_retries": "SELECT source FROM mix_targets",

@@ -165,20 +165,6 @@ def c48_response_pattern(spark, sf):
     return g.filter("n >= 3").select("author", "n", F.round(F.try_divide("s", "m"), 4).alias("variation"))
 
 
-def c49_engagement(spark, sf):
-    r = table(spark, sf, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg((c("value") == 0).cast("int")), 6).alias("zero_share"), F.count_distinct("event_type").alias("kinds"))
-    return r.withColumn("risk", F.when((c("kinds") == 1) & (c("n") > 10), 0.8).when(c("zero_share") > 0.5, 0.6).otherwise(0.1))
-
-
-def c60_decision(spark, sf):
-    """Any layer of .95 decides alone; else bands of the mean."""
-    from gridwright.plans.bot_plans import rules_layer, style_layer
-
-    r = qa(spark, sf).select("pair_id", rules_layer().alias("r"), style_layer(c("a_text")).alias("s"))
-    mean = (c("r") + c("s")) / 2
-    return r.select("pair_id", F.when(F.greatest("r", "s") >= 0.95, "block").when(mean >= 0.7, "review").when(mean >= 0.4, "watch").otherwise("pass").alias("decision"))
-
-
 def e01_semantic_dedup(spark, sf):
     """Vectors kept after groups of similar ones are reduced to their first."""
     e = table(spark, sf, "embeddings")
@@ -239,9 +225,8 @@ _CODE = lambda t: rf"regexp_matches({t}, '(?s)```.*```|`[^`\n]+`|<code>|<pre>|=[
 _OD = lambda x: f"list_filter({x}, lambda v, i: list_position({x}, v) = i)"
 _EXPL = f"trim(regexp_replace(regexp_replace(a_text, '{_F}', ' ', 'g'), '{_B}', ' ', 'g'), ' ')"
 _E = "e AS (SELECT vec_id, list_transform(embedding, lambda z: z::DOUBLE / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]))) AS v FROM embeddings)"
-from gridwright.plans.bot_plans import _RULES, _style  # noqa: E402
 
-QUERIES = {f.__name__: f for f in (s19_dataset, f09_submission_gate, f10_comment_gate, f12_answered, f15_after_cleaning, f23_log_filter, f26_confirmed, a04_korean_stats, a10_forum_tracker, a35_formula_ratio, a40_text_summary, u04_ordered_union, t14_keep_code, t18_clean_response, t26_final_response, t29_prefixes, t36_versions, t45_json_in_text, m3_half_even, c06_reason, c07_forum_parts, c09_context, c12_collector_score, c14_triage, c20_solution, c44_off_topic, c48_response_pattern, c49_engagement, c60_decision, e01_semantic_dedup, e02_edges, e07_code_blocks, r02_incremental, r09_expiring_counts, r10_adaptive, r12_alerts, x03_status_log)}
+QUERIES = {f.__name__: f for f in (s19_dataset, f09_submission_gate, f10_comment_gate, f12_answered, f15_after_cleaning, f23_log_filter, f26_confirmed, a04_korean_stats, a10_forum_tracker, a35_formula_ratio, a40_text_summary, u04_ordered_union, t14_keep_code, t18_clean_response, t26_final_response, t29_prefixes, t36_versions, t45_json_in_text, m3_half_even, c06_reason, c07_forum_parts, c09_context, c12_collector_score, c14_triage, c20_solution, c44_off_topic, c48_response_pattern, e01_semantic_dedup, e02_edges, e07_code_blocks, r02_incremental, r09_expiring_counts, r10_adaptive, r12_alerts, x03_status_log)}
 ORACLES = {
     "r10_adaptive": "WITH RECURSIVE e AS (SELECT user_id, row_number() OVER w AS k, avg(CAST(event_type <> 'error' AS INTEGER)) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS r FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)), f(user_id, k, t) AS (SELECT DISTINCT user_id, 0::BIGINT, 0.7::DOUBLE FROM events UNION ALL SELECT f.user_id, e.k, CASE WHEN e.k >= 10 AND r < 0.5 THEN greatest(0.5::DOUBLE, t - 0.05::DOUBLE) WHEN e.k >= 10 AND r > 0.8 THEN least(0.95::DOUBLE, t + 0.02::DOUBLE) ELSE t END FROM f JOIN e ON e.user_id = f.user_id AND e.k = f.k + 1) SELECT user_id, max(k) AS events, round(arg_max(t, k), 6) AS threshold FROM f GROUP BY user_id",
     "s19_dataset": f"{_W} SELECT source AS dataset, count(*) AS n, count(a_text) AS answered FROM qa WHERE title IS NOT NULL AND a_text IS NOT NULL GROUP BY 1",
@@ -271,8 +256,6 @@ ORACLES = {
     "c20_solution": f"{_W} SELECT q_id, pair_id FROM qa WHERE source = 'reddit' AND q_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY q_id ORDER BY CASE solution_type WHEN 'verified' THEN 3 WHEN 'op_confirmed' THEN 2 ELSE 1 END * 100000 + coalesce(a_score, 0) DESC, pair_id) = 1",
     "c44_off_topic": "SELECT doc_id, NOT (" + " OR ".join(f"contains(lower(text), '{w}')" for w in ("formula", "cell", "column", "row", "sheet", "workbook", "table", "range", "macro", "pivot")) + ") AS off_topic FROM documents WHERE text IS NOT NULL",
     "c48_response_pattern": f"{_W} SELECT author, count(*) AS n, round(stddev_samp(length(a_text)) / avg(length(a_text)), 4) AS variation FROM qa WHERE a_text <> '' AND author IS NOT NULL GROUP BY 1 HAVING count(*) >= 3",
-    "c49_engagement": "WITH g AS (SELECT user_id, count(*) AS n, round(avg(CAST(value = 0 AS INTEGER)), 6) AS zero_share, count(DISTINCT event_type) AS kinds FROM events GROUP BY 1) SELECT *, CAST(CASE WHEN kinds = 1 AND n > 10 THEN 0.8 WHEN zero_share > 0.5 THEN 0.6 ELSE 0.1 END AS DOUBLE) AS risk FROM g",
-    "c60_decision": f"{_W}, r AS (SELECT pair_id, {_RULES} AS r, {_style('a_text')} AS s FROM qa) SELECT pair_id, CASE WHEN greatest(r, s) >= 0.95 THEN 'block' WHEN (r + s) / 2 >= 0.7 THEN 'review' WHEN (r + s) / 2 >= 0.4 THEN 'watch' ELSE 'pass' END AS decision FROM r",
     "e01_semantic_dedup": f"WITH RECURSIVE {_E}, p AS (SELECT x.vec_id AS a, y.vec_id AS b FROM e x JOIN e y ON x.vec_id < y.vec_id WHERE list_dot_product(x.v, y.v) >= 0.42), l AS (SELECT a, b FROM p UNION SELECT b, a FROM p), r(id, seen) AS (SELECT a, a FROM l UNION SELECT r.id, l.b FROM r JOIN l ON r.seen = l.a), k AS (SELECT id, min(seen) AS component FROM r GROUP BY id) SELECT vec_id FROM embeddings LEFT JOIN k ON k.id = vec_id WHERE component IS NULL OR component = vec_id",
     "e02_edges": "WITH o AS (SELECT CAST(vec_id AS BIGINT) AS vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings), u AS (SELECT * FROM o UNION ALL SELECT vec_id + 1000000000, list_concat([v[1] * 1.25], v[2:]) FROM o), e AS (SELECT vec_id, list_transform(v, lambda z: z / sqrt(list_dot_product(v, v))) AS v FROM u) SELECT x.vec_id AS a, y.vec_id AS b FROM e x JOIN e y ON x.vec_id < y.vec_id WHERE list_dot_product(x.v, y.v) >= 0.95",
     "e07_code_blocks": rf"{_W} SELECT pair_id, len(list_distinct(list_transform(regexp_extract_all(a_text, '{_F}'), lambda x: lower(regexp_replace(x, '[ \t\n]+', '', 'g'))))) AS n FROM qa WHERE a_text IS NOT NULL",

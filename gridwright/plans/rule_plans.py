@@ -210,20 +210,6 @@ def c45_cases(spark, sf):
     return spark.sql(rule_layer(SPARK, _values(SPARK))).select("id", "is_bot", "kind")
 
 
-def _layers(spark, sf):
-    from gridwright.plans.bot_plans import behaviour_layer, style_layer
-
-    rows = qa(spark, sf)
-    rules = _on(spark, rows, lambda d, r: f"SELECT id, confidence FROM ({rule_layer(d, _ANSWERS.format(rows=r))}) x")
-    style = rows.select(c("pair_id").alias("id"), "author", F.when(F.length("a_text") > 50, style_layer(c("a_text"))).alias("l3"))
-    behaviour = behaviour_layer(rows.filter("author is not null and a_text is not null")).select("author", c("behaviour").alias("l2"))
-    return rules.withColumnRenamed("confidence", "l1").join(style, "id").join(behaviour, "author", "left").select("id", "l1", "l2", "l3")
-
-
-def c61_decision(spark, sf):
-    return _on(spark, _layers(spark, sf), lambda d, rows: decision(d, f"SELECT * FROM {rows}"))
-
-
 def _priority(d: Dialect, rows: str) -> str:
     """Which layers a pair's text and history call for, and how urgent it is."""
     low = "lower(coalesce(a_text, ''))"
@@ -235,30 +221,12 @@ def c57_priority(spark, sf):
     return _on(spark, qa(spark, sf), _priority)
 
 
-def _behaviour_kind(rows: str) -> str:
-    """The first metric that is high names the kind of an author's behaviour."""
-    kind = when((f"regular > {num(0.8)}", "'scheduled_bot'"), (f"alike > {num(0.8)}", "'content_scraper_bot'"), (f"hurried > {num(0.8)}", "'spam_farm_bot'"), (f"unloved > {num(0.7)}", "'engagement_bot'"), other="'human'")
-    gaps = f"SELECT author, a_text, a_score, collected_at - lag(collected_at) OVER (PARTITION BY author, floor(collected_at / 2592000) ORDER BY collected_at, pair_id) AS gap FROM {rows} WHERE author IS NOT NULL AND a_text IS NOT NULL AND collected_at IS NOT NULL"
-    stats = f"SELECT author, count(*) AS n, CAST(stddev_samp(gap) AS DOUBLE) / nullif(avg(gap), 0) AS variation, count(DISTINCT md5(a_text)) AS texts, avg(CASE WHEN gap < 5 THEN {num(1.0)} ELSE {num(0.0)} END) AS hurried, avg(CASE WHEN coalesce(a_score, 0) <= 0 THEN {num(1.0)} ELSE {num(0.0)} END) AS unloved FROM ({gaps}) g GROUP BY author HAVING count(*) >= 3"
-    regular = when((f"variation < {num(0.1)}", num(0.9)), (f"variation < {num(0.3)}", num(0.7)), (f"variation < {num(0.5)}", num(0.5)), other=num(0.1))
-    parts = f"SELECT author, n, {regular} AS regular, {num(1.0)} - CAST(texts AS DOUBLE) / n AS alike, hurried, unloved FROM ({stats}) s"
-    return f"SELECT author, n, {kind} AS kind FROM ({parts}) p"
-
-
-def c51_behaviour_kind(spark, sf):
-    """Gaps are taken within months, so a busy author's answers are sorted in many tasks."""
-    return _on(spark, qa(spark, sf), lambda d, rows: _behaviour_kind(rows))
-
-
 _W = "WITH " + QA
-QUERIES = {f.__name__: f for f in (c05_forum_simple, c07_forum_score, c08_korean_score, c09_korean_context, c40_rule_layer, c45_cases, c51_behaviour_kind, c57_priority, c61_decision)}
+QUERIES = {f.__name__: f for f in (c05_forum_simple, c07_forum_score, c08_korean_score, c09_korean_context, c40_rule_layer, c45_cases, c57_priority)}
 
 
 def _oracles() -> dict[str, str]:
-    from gridwright.plans.bot_plans import _BEHAVE, _style
-
     norm = lambda x: f"CASE WHEN count(*) OVER () <= 1 OR max({x}) OVER () = min({x}) OVER () THEN 1.0e0 ELSE ({x} - min({x}) OVER ()) / (max({x}) OVER () - min({x}) OVER ()) END"
-    layers = f"SELECT r.id, r.confidence AS l1, b.behaviour AS l2, CASE WHEN length(q.a_text) > 50 THEN {_style('q.a_text')} END AS l3 FROM ({rule_layer(DUCK, _ANSWERS.format(rows='qa'))}) r JOIN qa q ON q.pair_id = r.id LEFT JOIN b ON b.author = q.author"
     cases = " UNION ALL ".join(f"SELECT '{n}' AS id, {str(v).lower()} AS is_bot, '{k}' AS kind" for n, _, _, v, k in CASES)
     return {
         "c05_forum_simple": f"{_W} {simple_forum(DUCK, 'qa')}",
@@ -267,9 +235,7 @@ def _oracles() -> dict[str, str]:
         "c09_korean_context": f"{_W} {korean_contexts(DUCK, 'qa')}",
         "c40_rule_layer": f"{_W} {rule_layer(DUCK, _ANSWERS.format(rows='qa'))}",
         "c45_cases": cases,
-        "c51_behaviour_kind": f"{_W} {_behaviour_kind('qa')}",
         "c57_priority": f"{_W} {_priority(DUCK, 'qa')}",
-        "c61_decision": f"{_W}, {_BEHAVE} {decision(DUCK, layers)}",
     }
 
 

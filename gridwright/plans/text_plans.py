@@ -236,13 +236,6 @@ def c43_structure(spark, sf):
     return qa(spark, sf).select("pair_id", F.regexp_count(t, F.lit(r"\*\*")).cast("bigint").alias("bold"), F.regexp_count(t, F.lit("https?://")).cast("bigint").alias("links"), (F.size(sentences) - F.size(F.array_distinct(sentences))).cast("bigint").alias("repeated"))
 
 
-def c53_consistency(spark, sf):
-    """Vocabulary richness of texts of ten words or more."""
-    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0))
-    n = F.size(words)
-    return docs(spark, sf).select("doc_id", F.when(n < 10, 0.5).otherwise(F.round(ratio(F.size(F.array_distinct(words)), n), 6)).alias("richness"))
-
-
 _DOC = "FROM documents WHERE text IS NOT NULL"
 _B = r"[ \t\n\r\f\x0B]+"
 _COLL = rf"trim(regexp_replace(text, '{_B}', ' ', 'g'), ' ')"
@@ -271,7 +264,7 @@ _JSON = "CASE WHEN json_valid(metadata) THEN json_extract_string(metadata, '$.{}
 _STEP = "CASE WHEN length({t}) >= 200 THEN 2.0 WHEN length({t}) >= 100 THEN 1.0 WHEN {s} THEN -2.0 ELSE 0.0 END"
 _SHEET = "CASE WHEN contains({t}, '=') OR contains(upper({t}), 'VLOOKUP') OR contains(upper({t}), 'SUMIF') THEN 1.0 ELSE 0.0 END"
 
-QUERIES = {f.__name__: f for f in (t01_collapse, t02_shorten, t03_truncate, t04_code_blocks, t05_strip_markup, t06_triage_text, t08_has_code, t10_code_language, t12_function_mentions, t13_vba, t16_formulas, t17_is_formula, t22_unescape, t23_formulas_min3, t31_urls, t35_post_id, t37_called, t38_called_set, t40_formula_spaces, t41_title_key, t42_title_fallback, t43_table_markdown, t46_word_count, ar1_char_trigrams, ar2_first_n, ar3_ordered_distinct, ar4_keywords, ar5_sentences, js1_metadata, js2_serialise, h1_text_md5, h2_short_id, d2_hour_bucket, d3_calendar, d4_age_days, m1_log_score, m2_clamp, m4_cosine_to_label_mean, m7_variance, c05_simple_score, c10_generic_score, c16_difficulty, c43_structure, c53_consistency)}
+QUERIES = {f.__name__: f for f in (t01_collapse, t02_shorten, t03_truncate, t04_code_blocks, t05_strip_markup, t06_triage_text, t08_has_code, t10_code_language, t12_function_mentions, t13_vba, t16_formulas, t17_is_formula, t22_unescape, t23_formulas_min3, t31_urls, t35_post_id, t37_called, t38_called_set, t40_formula_spaces, t41_title_key, t42_title_fallback, t43_table_markdown, t46_word_count, ar1_char_trigrams, ar2_first_n, ar3_ordered_distinct, ar4_keywords, ar5_sentences, js1_metadata, js2_serialise, h1_text_md5, h2_short_id, d2_hour_bucket, d3_calendar, d4_age_days, m1_log_score, m2_clamp, m4_cosine_to_label_mean, m7_variance, c05_simple_score, c10_generic_score, c16_difficulty, c43_structure)}
 ORACLES = {
     "t01_collapse": f"SELECT doc_id, md5({_COLL}) AS h, length({_COLL}) AS n {_DOC}",
     "t02_shorten": f"SELECT doc_id, CASE WHEN length({_COLL}) > 200 THEN concat(substr({_COLL}, 1, 200), '...') ELSE {_COLL} END AS short {_DOC}",
@@ -316,5 +309,4 @@ ORACLES = {
     "c10_generic_score": rf"{_W}, s AS (SELECT pair_id, len(list_filter(regexp_split_to_array(coalesce(a_text, ''), '{_B}'), lambda w: w <> '')) AS w, regexp_matches(coalesce(a_text, ''), '(?s)```.*```|`[^`\n]+`|<code>|<pre>|=[A-Z]+\(') AS code, op_confirmed, coalesce(a_score, 0) AS a FROM qa) SELECT pair_id, round(least(10.0::DOUBLE, CASE WHEN w > 50 THEN 2.0 WHEN w > 20 THEN 1.0 ELSE 0.0 END::DOUBLE + CASE WHEN code THEN 3.0 ELSE 0.0 END::DOUBLE + CASE WHEN op_confirmed THEN 3.0 ELSE 0.0 END::DOUBLE + least(2.0::DOUBLE, greatest(0.0::DOUBLE, a / 10.0::DOUBLE))), 6) AS score FROM s",
     "c16_difficulty": f"{_W} SELECT pair_id, CASE WHEN {_hits('q_text', ('array', 'macro', 'vba', 'indirect', 'sumproduct', 'lambda', 'dynamic'))} >= 2 THEN 'hard' WHEN {_hits('q_text', ('array', 'macro', 'vba', 'indirect', 'sumproduct', 'lambda', 'dynamic'))} = 1 THEN 'medium' WHEN {_hits('q_text', ('sum', 'average', 'basic', 'simple', 'beginner'))} > 0 THEN 'easy' ELSE 'medium' END AS difficulty FROM qa WHERE q_text IS NOT NULL",
     "c43_structure": rf"{_W}, s AS (SELECT pair_id, coalesce(a_md, '') AS t, list_filter(list_transform(regexp_split_to_array(coalesce(a_md, ''), '[.!?]+'), lambda x: trim(x, ' ')), lambda x: x <> '') AS ss FROM qa) SELECT pair_id, len(regexp_extract_all(t, '\*\*')) AS bold, len(regexp_extract_all(t, 'https?://')) AS links, len(ss) - len(list_distinct(ss)) AS repeated FROM s",
-    "c53_consistency": f"SELECT doc_id, CASE WHEN len(w) < 10 THEN 0.5::DOUBLE ELSE round(len(list_distinct(w)) / len(w)::DOUBLE, 6) END AS richness FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w {_DOC})",
 }
