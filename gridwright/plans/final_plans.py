@@ -78,12 +78,6 @@ def c15_recommendations(spark, sf):
     return qa(spark, sf).select("pair_id", steps.alias("steps"))
 
 
-def c17_difficulty_map(spark, sf):
-    names = F.create_map(F.lit("easy"), F.lit("beginner"), F.lit("hard"), F.lit("advanced"))
-    level = F.when(F.length("q_text") > 400, "hard").when(F.length("q_text") < 150, "easy").otherwise("medium")
-    return qa(spark, sf).filter("q_text is not null").select("pair_id", F.coalesce(names[level], F.lit("medium")).alias("difficulty"))
-
-
 def r01_micro_batches(spark, sf):
     """A continuous run, a few files a micro-batch: items and batches that were processed."""
     d = table(spark, sf, "documents").select("doc_id", "source")
@@ -143,7 +137,7 @@ _F = r"=[A-Z][A-Z0-9.]*\([^()]*(?:\([^()]*\)[^()]*)*\)"
 _CODE = lambda t: rf"regexp_matches({t}, '(?s)```.*```|`[^`\n]+`|<code>|<pre>|=[A-Z]+\(')"
 _A = "coalesce(a_text, '')"
 _N = lambda t: f"len(list_filter(regexp_split_to_array({t}, '{_B}'), lambda w: w <> ''))"
-QUERIES = {f.__name__: f for f in (s30_embedding_cache, f04_forum_threshold, a29_entries, a39_methods, o09_early_stop, t21_noise, t25_author_level, t27_blocks_by_length, t32_rewrite_hosts, t44_ocr_clean, c13_crawler_score, c15_recommendations, c17_difficulty_map, r01_micro_batches, r04_two_targets, r05_retries, r11_online_metrics, x08_compaction)}
+QUERIES = {f.__name__: f for f in (s30_embedding_cache, f04_forum_threshold, a29_entries, a39_methods, o09_early_stop, t21_noise, t25_author_level, t27_blocks_by_length, t32_rewrite_hosts, t44_ocr_clean, c13_crawler_score, c15_recommendations, r01_micro_batches, r04_two_targets, r05_retries, r11_online_metrics, x08_compaction)}
 ORACLES = {
     "s30_embedding_cache": f"{_W} SELECT md5(substr(title, 1, 50)) AS key, count(*) AS n FROM qa WHERE title IS NOT NULL GROUP BY 1 HAVING count(*) > 1",
     "f04_forum_threshold": f"{_W} SELECT pair_id FROM qa WHERE source = 'reddit' AND overall >= 1 AND NOT isnan(overall)",
@@ -157,7 +151,6 @@ ORACLES = {
     "t44_ocr_clean": f"SELECT doc_id, md5(trim(regexp_replace(regexp_replace(text, '[|_~^]+', ' ', 'g'), '{_B}', ' ', 'g'), ' ')) AS h FROM documents WHERE text IS NOT NULL",
     "c13_crawler_score": f"{_W} SELECT pair_id, round(least(4.0::DOUBLE, {_N(_A)} / 10.0::DOUBLE) + (" + " + ".join(f"CAST(contains(lower({_A}), '{w}') AS INTEGER)" for w in ("함수", "수식", "범위", "피벗", "매크로")) + f") * 0.2::DOUBLE + CASE WHEN {_CODE(_A)} THEN 2.0 ELSE 0.0 END::DOUBLE, 4) AS score FROM qa WHERE source = 'oppadu'",
     "c15_recommendations": f"{_W} SELECT pair_id, list_filter([CASE WHEN {_CODE(_A)} THEN 'extract_code' END, CASE WHEN contains({_A}, '<') THEN 'strip_markup' END, CASE WHEN length({_A}) > 500 THEN 'summarise' END], lambda x: x IS NOT NULL) AS steps FROM qa",
-    "c17_difficulty_map": f"{_W} SELECT pair_id, CASE WHEN length(q_text) > 400 THEN 'advanced' WHEN length(q_text) < 150 THEN 'beginner' ELSE 'medium' END AS difficulty FROM qa WHERE q_text IS NOT NULL",
     "r01_micro_batches": "SELECT count(*) AS items, count(DISTINCT doc_id) AS ids FROM documents",
     "r04_two_targets": "SELECT unnest(['first', 'second']) AS target, count(DISTINCT doc_id) AS ids, count(*) AS rows FROM documents",
     "r05_retries": "SELECT source FROM mix_targets",

@@ -117,10 +117,6 @@ def m3_half_even(spark, sf):
     return table(spark, sf, "keep_targets").select("source", F.bround(c("target_percent") / 8, 2).alias("eighth"))
 
 
-def c06_reason(spark, sf):
-    return qa(spark, sf).select("pair_id", F.when(F.length("a_text") >= 200, "detailed").when(F.length("a_text") >= 50, "adequate").when(c("a_text").isNull(), "missing").otherwise("short").alias("reason"))
-
-
 def c07_forum_parts(spark, sf):
     bonus = F.when(c("solution_type") == "verified", 10).when(c("solution_type") == "op_confirmed", 5).when(c("solution_type") == "inferred", 2).otherwise(0)
     return qa(spark, sf).filter("source = 'reddit'").select("pair_id", F.coalesce("q_score", F.lit(0)).alias("q"), F.coalesce("a_score", F.lit(0)).alias("a"), bonus.alias("bonus"))
@@ -133,12 +129,6 @@ def c09_context(spark, sf):
     return table(spark, sf, "oppadu_posts").filter("title is not null").select("post_id", domain.alias("domain")).distinct()
 
 
-def c12_collector_score(spark, sf):
-    n = F.length(F.coalesce("a_text", F.lit("")))
-    score = (F.when(n > 300, 3.0).when(n > 100, 2.0).when(n > 30, 1.0).otherwise(0.0) + F.when(F.length("title") > 10, 1.0).otherwise(0.0)) * 1.5 + F.when(T.has_code(F.coalesce("a_text", F.lit(""))), 1.0).otherwise(0.0)
-    return qa(spark, sf).select("pair_id", F.least(F.lit(10.0), score).alias("score"))
-
-
 def c14_triage(spark, sf):
     weight = lambda t: F.when(t.isin("xlookup", "sortby", "filter"), 3).when(t == "excel", 1).otherwise(2)
     tags = F.aggregate(F.coalesce("tags", F.array().cast("array<string>")), F.lit(0), lambda s, t: s + weight(t))
@@ -226,7 +216,7 @@ _OD = lambda x: f"list_filter({x}, lambda v, i: list_position({x}, v) = i)"  # n
 _EXPL = f"trim(regexp_replace(regexp_replace(a_text, '{_F}', ' ', 'g'), '{_B}', ' ', 'g'), ' ')"
 _E = "e AS (SELECT vec_id, list_transform(embedding, lambda z: z::DOUBLE / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]))) AS v FROM embeddings)"
 
-QUERIES = {f.__name__: f for f in (s19_dataset, f09_submission_gate, f10_comment_gate, f12_answered, f15_after_cleaning, f23_log_filter, f26_confirmed, a04_korean_stats, a10_forum_tracker, a35_formula_ratio, a40_text_summary, u04_ordered_union, t14_keep_code, t18_clean_response, t26_final_response, t29_prefixes, t36_versions, t45_json_in_text, m3_half_even, c06_reason, c07_forum_parts, c09_context, c12_collector_score, c14_triage, c20_solution, c44_off_topic, c48_response_pattern, e01_semantic_dedup, e02_edges, e07_code_blocks, r02_incremental, r09_expiring_counts, r10_adaptive, r12_alerts, x03_status_log)}
+QUERIES = {f.__name__: f for f in (s19_dataset, f09_submission_gate, f10_comment_gate, f12_answered, f15_after_cleaning, f23_log_filter, f26_confirmed, a04_korean_stats, a10_forum_tracker, a35_formula_ratio, a40_text_summary, u04_ordered_union, t14_keep_code, t18_clean_response, t26_final_response, t29_prefixes, t36_versions, t45_json_in_text, m3_half_even, c07_forum_parts, c09_context, c14_triage, c20_solution, c44_off_topic, c48_response_pattern, e01_semantic_dedup, e02_edges, e07_code_blocks, r02_incremental, r09_expiring_counts, r10_adaptive, r12_alerts, x03_status_log)}
 ORACLES = {
     "r10_adaptive": "WITH RECURSIVE e AS (SELECT user_id, row_number() OVER w AS k, avg(CAST(event_type <> 'error' AS INTEGER)) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS r FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)), f(user_id, k, t) AS (SELECT DISTINCT user_id, 0::BIGINT, 0.7::DOUBLE FROM events UNION ALL SELECT f.user_id, e.k, CASE WHEN e.k >= 10 AND r < 0.5 THEN greatest(0.5::DOUBLE, t - 0.05::DOUBLE) WHEN e.k >= 10 AND r > 0.8 THEN least(0.95::DOUBLE, t + 0.02::DOUBLE) ELSE t END FROM f JOIN e ON e.user_id = f.user_id AND e.k = f.k + 1) SELECT user_id, max(k) AS events, round(arg_max(t, k), 6) AS threshold FROM f GROUP BY user_id",
     "s19_dataset": f"{_W} SELECT source AS dataset, count(*) AS n, count(a_text) AS answered FROM qa WHERE title IS NOT NULL AND a_text IS NOT NULL GROUP BY 1",
@@ -248,10 +238,8 @@ ORACLES = {
     "t36_versions": r"SELECT DISTINCT post_id, nullif(regexp_extract(title, '_(20[0-9]{2})\.xlsx', 1), '') AS version FROM oppadu_posts WHERE title IS NOT NULL",
     "t45_json_in_text": "SELECT submission_id, collected_at, coalesce(CASE WHEN json_valid(metadata) THEN json_extract_string(metadata, '$.author') END, 'unknown') AS author FROM reddit_collected",
     "m3_half_even": "SELECT source, round_even(target_percent / 8.0, 2)::DOUBLE AS eighth FROM keep_targets",
-    "c06_reason": f"{_W} SELECT pair_id, CASE WHEN length(a_text) >= 200 THEN 'detailed' WHEN length(a_text) >= 50 THEN 'adequate' WHEN a_text IS NULL THEN 'missing' ELSE 'short' END AS reason FROM qa",
     "c07_forum_parts": f"{_W} SELECT pair_id, coalesce(q_score, 0) AS q, coalesce(a_score, 0) AS a, CASE solution_type WHEN 'verified' THEN 10 WHEN 'op_confirmed' THEN 5 WHEN 'inferred' THEN 2 ELSE 0 END AS bonus FROM qa WHERE source = 'reddit'",
     "c09_context": "SELECT DISTINCT post_id, CASE WHEN regexp_matches(title, '매출|예산|원가|견적') THEN 'finance' WHEN regexp_matches(title, '급여|수당|근무표|휴가') THEN 'staff' WHEN regexp_matches(title, '재고|창고|물량|부품') THEN 'stock' ELSE 'general' END AS domain FROM oppadu_posts WHERE title IS NOT NULL",
-    "c12_collector_score": f"{_W}, s AS (SELECT pair_id, length(coalesce(a_text, '')) AS n, title, {_CODE('coalesce(a_text, ' + chr(39) * 2 + ')')} AS code FROM qa) SELECT pair_id, least(10.0::DOUBLE, (CASE WHEN n > 300 THEN 3.0 WHEN n > 100 THEN 2.0 WHEN n > 30 THEN 1.0 ELSE 0.0 END + CASE WHEN length(title) > 10 THEN 1.0 ELSE 0.0 END)::DOUBLE * 1.5 + CASE WHEN code THEN 1.0 ELSE 0.0 END)::DOUBLE AS score FROM s",
     "c14_triage": f"{_W}, w AS (SELECT pair_id, CAST(coalesce(list_sum(list_transform(tags, lambda t: CASE WHEN t IN ('xlookup', 'sortby', 'filter') THEN 3 WHEN t = 'excel' THEN 1 ELSE 2 END)), 0) AS INTEGER) + CASE WHEN length(coalesce(q_text, '')) > 500 THEN 2 WHEN length(coalesce(q_text, '')) > 200 THEN 1 ELSE 0 END AS weight FROM qa) SELECT pair_id, weight, CASE WHEN weight >= 6 THEN 'complex' WHEN weight >= 3 THEN 'moderate' ELSE 'simple' END AS complexity FROM w",
     "c20_solution": f"{_W} SELECT q_id, pair_id FROM qa WHERE source = 'reddit' AND q_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY q_id ORDER BY CASE solution_type WHEN 'verified' THEN 3 WHEN 'op_confirmed' THEN 2 ELSE 1 END * 100000 + coalesce(a_score, 0) DESC, pair_id) = 1",
     "c44_off_topic": "SELECT doc_id, NOT (" + " OR ".join(f"contains(lower(text), '{w}')" for w in ("formula", "cell", "column", "row", "sheet", "workbook", "table", "range", "macro", "pivot")) + ") AS off_topic FROM documents WHERE text IS NOT NULL",

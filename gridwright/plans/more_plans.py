@@ -236,11 +236,6 @@ def c04_final_score(spark, sf):
     return n.select("pair_id", score.alias("score"), F.when(score >= 9, "excellent").when(score >= 7, "good").when(score >= 5, "fair").otherwise("poor").alias("tier"))
 
 
-def c11_community_score(spark, sf):
-    score = 5 + F.least(F.lit(2.0), F.coalesce("q_score", F.lit(0)) / 10) + F.least(F.lit(3.0), F.coalesce("a_score", F.lit(0)) / 5) + F.when(c("op_confirmed"), 2.0).otherwise(0.0) + F.when(F.length("a_text") > 200, 0.5).otherwise(0.0)
-    return qa(spark, sf).select("pair_id", F.round(F.greatest(F.lit(0.0), F.least(F.lit(10.0), score)), 6).alias("score"))
-
-
 def c18_formula_complexity(spark, sf):
     """Deepest nesting and distinct functions of each answer's formulas."""
     f = T.formulas(F.coalesce("a_text", F.lit("")))
@@ -274,7 +269,7 @@ def _norm(x: str) -> str:
     return f"CASE WHEN count(*) OVER w <= 1 OR max({x}) OVER w = min({x}) OVER w THEN 1.0 ELSE ({x} - min({x}) OVER w)::DOUBLE / (max({x}) OVER w - min({x}) OVER w) END::DOUBLE"
 
 
-QUERIES = {f.__name__: f for f in (pr04_standard_pair, pr07_sync_payload, pr10_entry, pr12_question_with_context, pr17_features, f03_threshold, f06_solved, f11_required_words, f13_good_after, f14_required_fields, f17_similarity_floor, f20_image_urls, f21_date_range, f24_empty_is_bot, j02_accepted_or_best, j04_top_two, j08_parent, a02_simple_stats, a05_triage_stats, a07_similarity_spread, a09_tracker, a11_posts_with_answers, a16_key_sizes, a24_fingerprints, a28_floor_allocation, a37_batch_stats, a44_valid_share, w09_first_occurrence, o06_composite_sort, o07_newest, u06_split, t15_leading_equals, t24_explanation, t39_routing_mentions, d1_iso_parse, d5_since, m5_distance, c01_question_raw, c02_answer_raw, c03_completion, c04_final_score, c11_community_score, c18_formula_complexity, c21_formula_syntax, e06_exact_ids)}
+QUERIES = {f.__name__: f for f in (pr04_standard_pair, pr07_sync_payload, pr10_entry, pr12_question_with_context, pr17_features, f03_threshold, f06_solved, f11_required_words, f13_good_after, f14_required_fields, f17_similarity_floor, f20_image_urls, f21_date_range, f24_empty_is_bot, j02_accepted_or_best, j04_top_two, j08_parent, a02_simple_stats, a05_triage_stats, a07_similarity_spread, a09_tracker, a11_posts_with_answers, a16_key_sizes, a24_fingerprints, a28_floor_allocation, a37_batch_stats, a44_valid_share, w09_first_occurrence, o06_composite_sort, o07_newest, u06_split, t15_leading_equals, t24_explanation, t39_routing_mentions, d1_iso_parse, d5_since, m5_distance, c01_question_raw, c02_answer_raw, c03_completion, c04_final_score, c18_formula_complexity, c21_formula_syntax, e06_exact_ids)}
 from gridwright.plans.common import USAGE  # noqa: E402
 from gridwright.plans.text_plans import ORACLES as _TEXT  # noqa: E402
 
@@ -320,7 +315,6 @@ ORACLES = {
     "c02_answer_raw": f"{_W}, {_RAWS} SELECT pair_id, a AS raw FROM r",
     "c03_completion": f"{_W}, {_RAWS} SELECT pair_id, b AS bonus FROM r",
     "c04_final_score": f"{_W}, {_RAWS}, n AS (SELECT pair_id, round(10 * (0.4::DOUBLE * {_norm('q')} + 0.5::DOUBLE * {_norm('a')} + 0.1::DOUBLE * {_norm('b')}), 4) AS score FROM r WINDOW w AS (PARTITION BY source)) SELECT pair_id, score, CASE WHEN score >= 9 THEN 'excellent' WHEN score >= 7 THEN 'good' WHEN score >= 5 THEN 'fair' ELSE 'poor' END AS tier FROM n",
-    "c11_community_score": f"{_W} SELECT pair_id, round(greatest(0.0::DOUBLE, least(10.0::DOUBLE, 5 + least(2.0::DOUBLE, coalesce(q_score, 0) / 10.0::DOUBLE) + least(3.0::DOUBLE, coalesce(a_score, 0) / 5.0::DOUBLE) + CASE WHEN op_confirmed THEN 2.0 ELSE 0.0 END::DOUBLE + CASE WHEN length(a_text) > 200 THEN 0.5 ELSE 0.0 END::DOUBLE)), 6) AS score FROM qa",
     "c18_formula_complexity": f"{_W}, f AS (SELECT pair_id, list_distinct(regexp_extract_all(coalesce(a_text, ''), '{_F}')) AS f FROM qa) SELECT pair_id, coalesce(list_max(list_transform(f, lambda x: len(regexp_extract_all(x, '\\(')))), 0) AS calls, len(list_distinct(flatten(list_transform(f, lambda x: regexp_extract_all(x, '([A-Z]+)\\(', 1))))) AS functions FROM f",
     "c21_formula_syntax": r"WITH " + QA + r" SELECT pair_id, len(regexp_extract_all(a_text, '\(')) = len(regexp_extract_all(a_text, '\)')) AS balanced FROM qa WHERE starts_with(trim(a_text, ' '), '=')",
     "e06_exact_ids": "SELECT item_id FROM incoming_items WHERE source = 'reddit' AND external_id IN (SELECT submission_id FROM reddit_collected)",

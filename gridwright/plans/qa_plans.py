@@ -108,10 +108,6 @@ def f05_two_of_three(spark, sf):
     return qa(spark, sf).filter(votes >= 2).select("pair_id")
 
 
-def f07_question_gate(spark, sf):
-    return qa(spark, sf).filter((F.length("title").between(10, 200)) & (F.length("body") >= 20) & (c("q_score") >= 0) & F.arrays_overlap("tags", F.array(F.lit("excel"), F.lit("formula")))).select("pair_id")
-
-
 def f08_answer_gate(spark, sf):
     return qa(spark, sf).filter(F.length("a_text").between(100, 10000) & (c("a_score") >= 0)).select("pair_id")
 
@@ -130,12 +126,6 @@ def f22_contains(spark, sf):
     return qa(spark, sf).filter(F.lower("title").contains("macro") | F.lower("body").contains("macro")).select("pair_id")
 
 
-def f25_two_of_four(spark, sf):
-    t = F.coalesce("a_text", F.lit(""))
-    votes = T.has_code(t).cast("int") + (F.length(t) > 100).cast("int") + (F.size(F.split(t, "\n")) > 2).cast("int") + (T.count_mentions(t, ("column", "formula", "range", "cell")) > 0).cast("int")
-    return qa(spark, sf).filter(votes >= 2).select("pair_id", votes.alias("votes"))
-
-
 # -- joins --------------------------------------------------------------------------------
 def j01_question_to_post(spark, sf):
     """Pairs with the collected row of their question: a hash join on the key."""
@@ -334,7 +324,7 @@ _HITS = lambda t, ws: "(" + " + ".join(f"CAST(contains(lower({t}), '{w}') AS INT
 _CODE = r"regexp_matches({}, '(?s)```.*```|`[^`\n]+`|<code>|<pre>|=[A-Z]+\(')"
 _GRAMS = "CASE WHEN length(lower({t})) >= 3 THEN list_distinct(list_transform(generate_series(1, length(lower({t})) - 2), lambda i: substr(lower({t}), i, 3))) ELSE [] END"
 
-QUERIES = {f.__name__: f for f in (s15_scan, s16_prefix_scan, s20_batch_export, s27_insert_new, s28_delete, s29_image_sources, pr01_canonical, pr02_body_if_any, pr03_answer_id, pr05_tags, pr06_vector_document, pr08_clean_row, pr09_defaults, pr11_context, f01_by_quality, f02_text_gate, f05_two_of_three, f07_question_gate, f08_answer_gate, f16_validators, f18_predicate_tree, f22_contains, f25_two_of_four, j01_question_to_post, j03_left_newest, j05_not_in, j06_not_collected, j07_semi, j09_similar_pairs, j10_title_jaccard, j10_user_similarity, j11_nearest, j12_dimension, e03_components, e04_keep_best, e05_group_size, e08_first_wins, a03_forum_stats, a06_dedup_stats, a12_pivot, a17_funnel, a25_tag_frequency, a26_keyword_shares, a27_score_range, a42_by_source, w01_min_max, w02_best_of_group, w10_best_answer, o01_top, o02_keyset, o03_offset, o04_top_authors, o08_longest_formula, u01_union, u02_difference, u03_jaccard, u05_top_up)}
+QUERIES = {f.__name__: f for f in (s15_scan, s16_prefix_scan, s20_batch_export, s27_insert_new, s28_delete, s29_image_sources, pr01_canonical, pr02_body_if_any, pr03_answer_id, pr05_tags, pr06_vector_document, pr08_clean_row, pr09_defaults, pr11_context, f01_by_quality, f02_text_gate, f05_two_of_three, f08_answer_gate, f16_validators, f18_predicate_tree, f22_contains, j01_question_to_post, j03_left_newest, j05_not_in, j06_not_collected, j07_semi, j09_similar_pairs, j10_title_jaccard, j10_user_similarity, j11_nearest, j12_dimension, e03_components, e04_keep_best, e05_group_size, e08_first_wins, a03_forum_stats, a06_dedup_stats, a12_pivot, a17_funnel, a25_tag_frequency, a26_keyword_shares, a27_score_range, a42_by_source, w01_min_max, w02_best_of_group, w10_best_answer, o01_top, o02_keyset, o03_offset, o04_top_authors, o08_longest_formula, u01_union, u02_difference, u03_jaccard, u05_top_up)}
 ORACLES = {
     "s15_scan": "SELECT DISTINCT question_id, quality_score FROM stackoverflow_collected WHERE quality_score >= 8 AND NOT isnan(quality_score)",
     "s16_prefix_scan": "SELECT submission_id, collected_at, CASE WHEN json_valid(metadata) THEN json_extract_string(metadata, '$.author') END AS author, CAST(CASE WHEN json_valid(metadata) THEN json_extract_string(metadata, '$.answers') END AS BIGINT) AS answers FROM reddit_collected WHERE starts_with(submission_id, '1a')",
@@ -353,12 +343,10 @@ ORACLES = {
     "f01_by_quality": f"{_W} SELECT pair_id, overall FROM qa WHERE overall >= 5 AND NOT isnan(overall)",
     "f02_text_gate": f"{_W} SELECT pair_id FROM qa WHERE length(trim(coalesce(q_text, ''), ' ')) >= 10 AND length(trim(coalesce(a_text, ''), ' ')) >= 10 AND overall >= 3 AND NOT isnan(overall)",
     "f05_two_of_three": f"{_W} SELECT pair_id FROM qa WHERE CAST(coalesce(list_contains(tags, 'xlookup'), false) AS INTEGER) + CAST({_HITS(chr(99) + 'oalesce(title, ' + chr(39) * 2 + ')', ('formula', 'pivot'))} > 0 AS INTEGER) + CAST(coalesce(q_score, 0) >= 10 AS INTEGER) >= 2",
-    "f07_question_gate": f"{_W} SELECT pair_id FROM qa WHERE length(title) BETWEEN 10 AND 200 AND length(body) >= 20 AND q_score >= 0 AND list_has_any(tags, ['excel', 'formula'])",
     "f08_answer_gate": f"{_W} SELECT pair_id FROM qa WHERE length(a_text) BETWEEN 100 AND 10000 AND a_score >= 0",
     "f16_validators": r"SELECT DISTINCT post_id, regexp_matches(url, '^https?://[A-Za-z0-9.-]+(/[^ ]*)?$') AS url_ok, regexp_matches(post_id || '@mail.example', '^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$') AS mail_ok FROM oppadu_posts",
     "f18_predicate_tree": f"{_W} SELECT pair_id, source FROM qa WHERE (list_has_any(tags, ['xlookup', 'sortby']) OR source IN ('oppadu')) AND q_score >= 5",
     "f22_contains": f"{_W} SELECT pair_id FROM qa WHERE contains(lower(title), 'macro') OR contains(lower(body), 'macro')",
-    "f25_two_of_four": f"{_W}, v AS (SELECT pair_id, CAST({_CODE.format('t')} AS INTEGER) + CAST(length(t) > 100 AS INTEGER) + CAST(len(string_split(t, chr(10))) > 2 AS INTEGER) + CAST({_HITS('t', ('column', 'formula', 'range', 'cell'))} > 0 AS INTEGER) AS votes FROM (SELECT pair_id, coalesce(a_text, '') AS t FROM qa)) SELECT * FROM v WHERE votes >= 2",
     "j01_question_to_post": f"{_W} SELECT pair_id, q_id, copies FROM qa JOIN (SELECT CAST(question_id AS VARCHAR) AS k, count(*) AS copies FROM stackoverflow_collected GROUP BY 1) ON q_id = k WHERE source = 'stackoverflow'",
     "j03_left_newest": "SELECT * FROM (SELECT p.post_id, p.\"at\" AS \"at\", k.score FROM (SELECT post_id, max(collected_at) AS \"at\" FROM oppadu_posts GROUP BY 1) p LEFT JOIN (SELECT post_id, max(quality_score) AS score FROM oppadu_collected GROUP BY 1) k ON p.post_id = k.post_id) ORDER BY \"at\" DESC, post_id LIMIT 100",
     "j05_not_in": "SELECT doc_id FROM documents WHERE thread_id IS NOT NULL AND thread_id NOT IN (SELECT thread_id FROM documents WHERE author IS NULL AND thread_id IS NOT NULL)",

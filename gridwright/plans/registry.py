@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("p5", "usage_plans", "text_plans", "qa_plans", "io_plans", "bot_plans", "more_plans", "last_plans", "final_plans", "rule_plans", "page_plans", "layer_plans")
+MODULES = ("p5", "usage_plans", "text_plans", "qa_plans", "io_plans", "bot_plans", "more_plans", "last_plans", "final_plans", "rule_plans", "page_plans", "layer_plans", "gate_plans")
 
 
 def collect() -> tuple[dict, dict]:

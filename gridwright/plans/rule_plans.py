@@ -194,6 +194,11 @@ def c05_forum_simple(spark, sf):
     return _on(spark, qa(spark, sf), simple_forum)
 
 
+def c06_reason(spark, sf):
+    """Why a pair passes the simple forum threshold or doesn't."""
+    return c05_forum_simple(spark, sf).select("pair_id", "reason")
+
+
 def c07_forum_score(spark, sf):
     """Weights .3, .4 and .3 on parts normalised over the batch."""
     n = min_max(_on(spark, qa(spark, sf), forum_raw), ["s", "a", "b"], ["source"])
@@ -222,7 +227,7 @@ def c57_priority(spark, sf):
 
 
 _W = "WITH " + QA
-QUERIES = {f.__name__: f for f in (c05_forum_simple, c07_forum_score, c08_korean_score, c09_korean_context, c40_rule_layer, c45_cases, c57_priority)}
+QUERIES = {f.__name__: f for f in (c05_forum_simple, c06_reason, c07_forum_score, c08_korean_score, c09_korean_context, c40_rule_layer, c45_cases, c57_priority)}
 
 
 def _oracles() -> dict[str, str]:
@@ -230,6 +235,7 @@ def _oracles() -> dict[str, str]:
     cases = " UNION ALL ".join(f"SELECT '{n}' AS id, {str(v).lower()} AS is_bot, '{k}' AS kind" for n, _, _, v, k in CASES)
     return {
         "c05_forum_simple": f"{_W} {simple_forum(DUCK, 'qa')}",
+        "c06_reason": f"{_W} SELECT pair_id, reason FROM ({simple_forum(DUCK, 'qa')})",
         "c07_forum_score": f"{_W}, n AS (SELECT pair_id, round(10 * (0.3e0 * {norm('s')} + 0.4e0 * {norm('a')} + 0.3e0 * {norm('b')}), 6) AS score FROM ({forum_raw(DUCK, 'qa')}) f) SELECT pair_id, score, score >= 1.0 AS meets, {_FORUM_TIER} AS tier FROM n",
         "c08_korean_score": f"{_W} {korean_score(DUCK, 'qa')}",
         "c09_korean_context": f"{_W} {korean_contexts(DUCK, 'qa')}",

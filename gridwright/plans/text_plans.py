@@ -199,13 +199,6 @@ def m7_variance(spark, sf):
     return lengths.groupBy("lang").agg(F.round(F.var_pop("n"), 3).alias("variance"), F.round(F.stddev_samp("n"), 4).alias("deviation"), F.percentile("n", F.lit(0.5)).alias("median"))
 
 
-def c10_generic_score(spark, sf):
-    """Words, code, a solved mark and upvotes, from 0 to 10."""
-    words = T.word_count(F.coalesce("a_text", F.lit("")))
-    score = F.when(words > 50, 2.0).when(words > 20, 1.0).otherwise(0.0) + F.when(T.has_code(F.coalesce("a_text", F.lit(""))), 3.0).otherwise(0.0) + F.when(c("op_confirmed"), 3.0).otherwise(0.0) + F.least(F.lit(2.0), F.greatest(F.lit(0.0), F.coalesce(c("a_score"), F.lit(0)) / 10.0))
-    return qa(spark, sf).select("pair_id", F.round(F.least(F.lit(10.0), score), 6).alias("score"))
-
-
 def c05_simple_score(spark, sf):
     """Simple forum scores: base 5, length steps, question and answer marks, 0 to 10; 40:60.
 
@@ -222,13 +215,6 @@ def c05_simple_score(spark, sf):
     return qa(spark, sf).select("pair_id", F.round(clamp(qs, q), 4).alias("question"), F.round(clamp(as_, a), 4).alias("answer"), F.round(clamp(qs, q) * 0.4 + clamp(as_, a) * 0.6, 4).alias("overall"))
 
 
-def c16_difficulty(spark, sf):
-    """Difficulty by how many words of two vocabularies a question uses."""
-    hard = T.count_mentions(c("q_text"), ("array", "macro", "vba", "indirect", "sumproduct", "lambda", "dynamic"))
-    easy = T.count_mentions(c("q_text"), ("sum", "average", "basic", "simple", "beginner"))
-    return qa(spark, sf).filter("q_text is not null").select("pair_id", F.when(hard >= 2, "hard").when(hard == 1, "medium").when(easy > 0, "easy").otherwise("medium").alias("difficulty"))
-
-
 def c43_structure(spark, sf):
     """Bold marks, links, bullets and repeated sentences of an answer."""
     t = F.coalesce("a_md", F.lit(""))
@@ -264,7 +250,7 @@ _JSON = "CASE WHEN json_valid(metadata) THEN json_extract_string(metadata, '$.{}
 _STEP = "CASE WHEN length({t}) >= 200 THEN 2.0 WHEN length({t}) >= 100 THEN 1.0 WHEN {s} THEN -2.0 ELSE 0.0 END"
 _SHEET = "CASE WHEN contains({t}, '=') OR contains(upper({t}), 'VLOOKUP') OR contains(upper({t}), 'SUMIF') THEN 1.0 ELSE 0.0 END"
 
-QUERIES = {f.__name__: f for f in (t01_collapse, t02_shorten, t03_truncate, t04_code_blocks, t05_strip_markup, t06_triage_text, t08_has_code, t10_code_language, t12_function_mentions, t13_vba, t16_formulas, t17_is_formula, t22_unescape, t23_formulas_min3, t31_urls, t35_post_id, t37_called, t38_called_set, t40_formula_spaces, t41_title_key, t42_title_fallback, t43_table_markdown, t46_word_count, ar1_char_trigrams, ar2_first_n, ar3_ordered_distinct, ar4_keywords, ar5_sentences, js1_metadata, js2_serialise, h1_text_md5, h2_short_id, d2_hour_bucket, d3_calendar, d4_age_days, m1_log_score, m2_clamp, m4_cosine_to_label_mean, m7_variance, c05_simple_score, c10_generic_score, c16_difficulty, c43_structure)}
+QUERIES = {f.__name__: f for f in (t01_collapse, t02_shorten, t03_truncate, t04_code_blocks, t05_strip_markup, t06_triage_text, t08_has_code, t10_code_language, t12_function_mentions, t13_vba, t16_formulas, t17_is_formula, t22_unescape, t23_formulas_min3, t31_urls, t35_post_id, t37_called, t38_called_set, t40_formula_spaces, t41_title_key, t42_title_fallback, t43_table_markdown, t46_word_count, ar1_char_trigrams, ar2_first_n, ar3_ordered_distinct, ar4_keywords, ar5_sentences, js1_metadata, js2_serialise, h1_text_md5, h2_short_id, d2_hour_bucket, d3_calendar, d4_age_days, m1_log_score, m2_clamp, m4_cosine_to_label_mean, m7_variance, c05_simple_score, c43_structure)}
 ORACLES = {
     "t01_collapse": f"SELECT doc_id, md5({_COLL}) AS h, length({_COLL}) AS n {_DOC}",
     "t02_shorten": f"SELECT doc_id, CASE WHEN length({_COLL}) > 200 THEN concat(substr({_COLL}, 1, 200), '...') ELSE {_COLL} END AS short {_DOC}",
@@ -306,7 +292,5 @@ ORACLES = {
     "m4_cosine_to_label_mean": "WITH f AS (SELECT label, min(vec_id) AS first FROM embeddings GROUP BY label), h AS (SELECT f.label, e.embedding::DOUBLE[] AS head FROM f JOIN embeddings e ON e.vec_id = f.first) SELECT vec_id, round(list_dot_product(embedding::DOUBLE[], head) / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) * list_dot_product(head, head)), 5) AS similarity FROM embeddings JOIN h USING (label)",
     "m7_variance": f"SELECT lang, round(var_pop(length(text)), 3) AS variance, round(stddev_samp(length(text)), 4) AS deviation, quantile_cont(length(text), 0.5) AS median {_DOC} GROUP BY lang",
     "c05_simple_score": f"{_W}, s AS (SELECT pair_id, trim(coalesce(q_text, ''), ' ') AS q, trim(coalesce(a_text, ''), ' ') AS a FROM qa), r AS (SELECT pair_id, CASE WHEN q = '' THEN 0.0 ELSE greatest(0.0, least(10.0, 5.0 + {_STEP.format(t='q', s='length(q) < 10')} + CASE WHEN contains(q, '?') THEN 1.0 ELSE 0.0 END + CASE WHEN {_hits('q', ('how', 'what', 'why', 'help', 'error', 'issue'))} > 0 THEN 0.5 ELSE 0.0 END + {_SHEET.format(t='q')})) END::DOUBLE AS q, CASE WHEN a = '' THEN 0.0 ELSE greatest(0.0, least(10.0, 5.0 + {_STEP.format(t='a', s='true')} + CASE WHEN {_hits('a', ('=', 'formula', 'try', 'use', 'solution'))} > 0 THEN 1.0 ELSE 0.0 END + CASE WHEN length(a) > 50 THEN 0.5 ELSE 0.0 END + {_SHEET.format(t='a')})) END::DOUBLE AS a FROM s) SELECT pair_id, round(q, 4) AS question, round(a, 4) AS answer, round(q * 0.4::DOUBLE + a * 0.6::DOUBLE, 4) AS overall FROM r",
-    "c10_generic_score": rf"{_W}, s AS (SELECT pair_id, len(list_filter(regexp_split_to_array(coalesce(a_text, ''), '{_B}'), lambda w: w <> '')) AS w, regexp_matches(coalesce(a_text, ''), '(?s)```.*```|`[^`\n]+`|<code>|<pre>|=[A-Z]+\(') AS code, op_confirmed, coalesce(a_score, 0) AS a FROM qa) SELECT pair_id, round(least(10.0::DOUBLE, CASE WHEN w > 50 THEN 2.0 WHEN w > 20 THEN 1.0 ELSE 0.0 END::DOUBLE + CASE WHEN code THEN 3.0 ELSE 0.0 END::DOUBLE + CASE WHEN op_confirmed THEN 3.0 ELSE 0.0 END::DOUBLE + least(2.0::DOUBLE, greatest(0.0::DOUBLE, a / 10.0::DOUBLE))), 6) AS score FROM s",
-    "c16_difficulty": f"{_W} SELECT pair_id, CASE WHEN {_hits('q_text', ('array', 'macro', 'vba', 'indirect', 'sumproduct', 'lambda', 'dynamic'))} >= 2 THEN 'hard' WHEN {_hits('q_text', ('array', 'macro', 'vba', 'indirect', 'sumproduct', 'lambda', 'dynamic'))} = 1 THEN 'medium' WHEN {_hits('q_text', ('sum', 'average', 'basic', 'simple', 'beginner'))} > 0 THEN 'easy' ELSE 'medium' END AS difficulty FROM qa WHERE q_text IS NOT NULL",
     "c43_structure": rf"{_W}, s AS (SELECT pair_id, coalesce(a_md, '') AS t, list_filter(list_transform(regexp_split_to_array(coalesce(a_md, ''), '[.!?]+'), lambda x: trim(x, ' ')), lambda x: x <> '') AS ss FROM qa) SELECT pair_id, len(regexp_extract_all(t, '\*\*')) AS bold, len(regexp_extract_all(t, 'https?://')) AS links, len(ss) - len(list_distinct(ss)) AS repeated FROM s",
 }

@@ -150,7 +150,7 @@ def w07_previous_gap(spark, sf):
 def w11_posts_per_hour(spark, sf):
     hours = table(spark, sf, "events").groupBy("user_id", F.date_trunc("hour", "ts").alias("hour")).agg(F.count(F.lit(1)).alias("n"))
     most, mean = F.max("n"), F.avg("n")
-    risk = F.when(most > 20, 0.9).when(most > 10, 0.7).when(mean > 3, 0.6).otherwise(0.1)
+    risk = F.when(most > 20, 0.9).when(most > 10, 0.7).when(mean > 5, 0.6).otherwise(0.1)
     return hours.groupBy("user_id").agg(most.alias("most"), F.round(mean, 6).alias("mean"), risk.alias("risk"))
 
 
@@ -250,7 +250,7 @@ ORACLES = {
     "w06_last10_success": f"SELECT event_id, event_type, CASE WHEN count(*) {_TYPE_LAST} >= 3 THEN round(avg(CASE WHEN value > 50 THEN 1 ELSE 0 END) {_TYPE_LAST}, 6) END AS success_rate FROM events",
     "w07_previous_gap": f"WITH {USAGE}, g AS (SELECT model, CAST(floor(epoch(happened)) AS BIGINT) AS second, CAST(floor(epoch(happened)) AS BIGINT) - lag(CAST(floor(epoch(happened)) AS BIGINT)) OVER (PARTITION BY model ORDER BY happened) AS gap_s FROM u WHERE model IS NOT NULL AND happened IS NOT NULL) SELECT * FROM g WHERE gap_s < 5",
     "w08_running_mean": "SELECT event_id, user_id, CAST(sum(CAST(value AS DECIMAL(18,4))) OVER w AS DOUBLE) / count(value) OVER w AS mean FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
-    "w11_posts_per_hour": "WITH h AS (SELECT user_id, date_trunc('hour', ts) AS hour, count(*) AS n FROM events GROUP BY 1, 2) SELECT user_id, max(n) AS most, round(avg(n), 6) AS mean, CAST(CASE WHEN max(n) > 20 THEN 0.9 WHEN max(n) > 10 THEN 0.7 WHEN avg(n) > 3 THEN 0.6 ELSE 0.1 END AS DOUBLE) AS risk FROM h GROUP BY user_id",
+    "w11_posts_per_hour": "WITH h AS (SELECT user_id, date_trunc('hour', ts) AS hour, count(*) AS n FROM events GROUP BY 1, 2) SELECT user_id, max(n) AS most, round(avg(n), 6) AS mean, CAST(CASE WHEN max(n) > 20 THEN 0.9 WHEN max(n) > 10 THEN 0.7 WHEN avg(n) > 5 THEN 0.6 ELSE 0.1 END AS DOUBLE) AS risk FROM h GROUP BY user_id",
     "r07_minute_counts": "SELECT strftime(ts, '%Y-%m-%d %H:%M') AS minute, count(*) AS n FROM events GROUP BY 1",
     "r08_rate_limit": "SELECT user_id, strftime(ts, '%Y-%m-%d %H:%M') AS minute, count(*) AS n, count(*) - 1 AS over FROM events GROUP BY 1, 2 HAVING count(*) > 1",
     "a22_detector_metrics": "WITH g AS (SELECT event_type, count(*) AS n, count(*) FILTER (WHERE value > 100) AS h, list(value ORDER BY value) FILTER (WHERE value IS NOT NULL) AS v FROM events GROUP BY 1) SELECT event_type, n, round(h / n::DOUBLE, 6) AS hit_rate, v[least(CAST(floor(len(v) * 0.95) AS BIGINT), len(v) - 1) + 1] AS p95, v[least(CAST(floor(len(v) * 0.99) AS BIGINT), len(v) - 1) + 1] AS p99 FROM g",
