@@ -92,19 +92,33 @@ def stops_short(shown: str) -> bool:
         return True
     if end.count("```") % 2:
         return True
-    half = HALF_FORMULA.search(end.rstrip("`")) if "=" in end else None
-    if half:
-        rest = STRING.sub("", half.group("rest"))
-        level = 0
-        for k, ch in enumerate(rest):
-            level += (ch == "(") - (ch == ")")
-            if ch == ")" and level == 0 and k + 1 < len(rest) and AFTER.match(rest, pos=k + 1):
-                return False  # prose after the formula
-        if level > 0 or not rest.strip() or OPEN_END.search(rest):
-            return True
+    if open_formula(end):
+        return True
     return bool(GOES_ON.search(end))
 
 
+def open_formula(end: str) -> str | None:
+    """The formula that a text breaks off in, if it does."""
+    end = end.rstrip().rstrip("`")
+    half = HALF_FORMULA.search(end) if "=" in end else None
+    if not half:
+        return None
+    rest, level = STRING.sub("", half.group("rest")), 0
+    for k, ch in enumerate(rest):
+        level += (ch == "(") - (ch == ")")
+        if ch == ")" and level == 0 and k + 1 < len(rest) and AFTER.match(rest, pos=k + 1):
+            return None  # prose after the formula
+    return end[end.index("=", half.start()) :] if level > 0 or not rest.strip() or OPEN_END.search(rest) else None
+
+
+def formulas(text: str) -> list[str]:
+    """Whole formulas of a text, masked: sentences of their own."""
+    if "=" not in text:
+        return []
+    found = (m.group() for m in FORMULA.finditer(text))
+    return [" ".join(mask(f).split()) for f in found if "(" in f and f.count("(") == f.count(")")]
+
+
 STRING, AFTER = regex.compile(r'"[^"]*"'), regex.compile(r"\}?\s+[^\s\-+*/&^<>=]")
 OPEN_END = regex.compile(r"[-+*/&^(,]\s*(?:[A-Za-z]+)?$")
 GOES_ON = regex.compile(r"[:,]$|(?:^|\n|[.!?:]\s)\d{1,2}[.)]$|\s[-*•]$")
@@ -184,7 +198,10 @@ class PairJudge:
         if declines and words and not ("=" in shown and FORMULA.search(shown) or MACRO_HEAD.search(shown)):
             return "refusal", None, False
         tail, flat = None, untagged.rstrip(" *_>")
-        if flat and flat[-1] not in ")]`}\"" and not END_MARK.search(flat, pos=max(0, len(flat) - 12)):
+        half = open_formula(shown)
+        if half:
+            tail = " ".join(mask(half).split())
+        elif flat and flat[-1] not in ")]`}\"" and not END_MARK.search(flat, pos=max(0, len(flat) - 12)):
             last = parts(said)
             end = mask(last[-1]) if last else ""
             tail = end if SPEECH.search(end) else None
@@ -204,7 +221,7 @@ def question_language(question: str) -> str:
 
 def read_answers(pairs: DataFrame) -> DataFrame:
     """(prose, sentences, whole) of each different answer, written once: what the models read,
-    the masked sentences, and whether the last one ends with a mark."""
+    the masked formulas and sentences, and whether the last one ends with a mark."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,8 +230,10 @@ def read_answers(pairs: DataFrame) -> DataFrame:
                 shown = plain(text).strip()
                 flat = (TAG.sub(" ", shown) if "<" in shown else shown).rstrip(" *_>")
                 proses.append(modelled(text))
-                every.append(masked(prose(shown)))
-                ended.append(END_MARK.search(flat, pos=max(0, len(flat) - 12)) is not None)
+                half, said = open_formula(shown), masked(prose(shown))
+                last = [" ".join(mask(half).split())] if half else []
+                every.append([*formulas(shown), *said, *last])
+                ended.append(not half and (not said or END_MARK.search(flat, pos=max(0, len(flat) - 12)) is not None))
             yield pa.RecordBatch.from_arrays([pa.array(proses, pa.string()), pa.array(every, pa.list_(pa.string())), pa.array(ended)], ["prose", "sentences", "whole"])
 
     return written(distinct_texts(pairs.select("said")).mapInArrow(run, "prose string, sentences array<string>, whole boolean"), "answers-read")
@@ -255,7 +274,8 @@ def cut_sentences(counts: DataFrame) -> DataFrame:
                     done = chain.pop()
                     if done[1]:
                         out.append(done)
-                speech = max((m.end() for m in SPEECH.finditer(sentence)), default=0) - 2
+                # what goes on must hold a word; of a formula, any two characters
+                speech = (len(sentence) if sentence[0] == "=" else max((m.end() for m in SPEECH.finditer(sentence)), default=0)) - 2
                 for one in chain:
                     if inner > one[2] and len(one[0]) <= speech:
                         one[2] = inner

@@ -10,7 +10,7 @@ import itertools
 
 _EN_OPEN = ("", "I'm sorry, but ", "Sorry, ", "I am sorry, ", "Unfortunately, ", "I apologize, but ", "Apologies, but ", "I regret that ", "As an AI language model, ", "As a language model, ", "As an AI, ", "As an assistant, ", "I understand your question, but ")
 _EN_CANNOT = ("I can't", "I cannot", "I can not", "I am unable to", "I'm unable to", "I'm not able to", "I am not able to", "I won't be able to", "I won't", "I will not", "I am not allowed to", "I'm not permitted to", "I must decline to", "I have to decline to", "I must refuse to", "I must refrain from", "I would rather not", "I'd rather not", "I prefer not to", "I don't feel comfortable", "I do not have the ability to", "I'm not in a position to", "I am not authorized to", "it is not possible for me to", "it would not be appropriate for me to", "it wouldn't be right for me to")
-_EN_DO = ("help with that", "help you with this", "assist with that", "assist with this request", "answer that", "answer this question", "answer your question", "answering this question", "provide an answer", "provide an answer to this", "provide that information", "provide advice on this", "give you an answer", "giving advice on that", "fulfil this request", "fulfill that request", "comply with this request", "do that", "do this for you", "discuss this topic", "share that", "explain how to do that", "telling you how to do that", "open or view files", "access your file", "work on your workbook", "look at your data", "complete this task")
+_EN_DO = ("help with that", "help you with this", "assist with that", "assist with this request", "answer that", "answer this question", "answer your question", "answering this question", "provide an answer", "provide an answer to this", "provide that information", "provide advice on this", "give you an answer", "giving advice on that", "fulfil this request", "fulfill that request", "comply with this request", "do that", "do this for you", "discuss this topic", "share that", "explain how to do that", "telling you how to do that", "open or view files", "open or read spreadsheets", "access your file", "work on your workbook", "look at your data", "complete this task")
 _EN_WHOLE = (
     "I have to decline this request.", "I must decline this request.", "I have to turn this down.", "Helping with that is something I have to decline.", "This is something I cannot help with.", "That is not something I can help with.", "This request is against my policy.", "This request goes against my guidelines.", "Requests about this topic are against my policy.", "My guidelines do not allow me to answer this.", "Your question cannot be answered under the rules I follow.", "No answer can be given to this question.", "I can offer no solution to this.", "This is beyond what I can help with.", "This is outside what I am able to do.", "That falls outside what I am allowed to do.", "That is beyond my capabilities.", "I have no access to your data.", "I do not have access to your files.", "I'm just an AI and cannot do that.", "I was not built to answer this.", "so I will leave it at that.", "so I will leave it here.",
 )
