@@ -76,11 +76,17 @@ def u04_ordered_union(spark, sf):
     return qa(spark, sf).select("pair_id", lists.alias("tags"))
 
 
+#: Fenced blocks and inline spans.
+_SPANS = r"```[\s\S]*?```|`[^`\n]+`"
+
+
 def t14_keep_code(spark, sf):
-    """Tags removed but for code blocks, kept as placeholders and put back."""
-    code = F.regexp_extract("a_text", r"(`[^`\n]+`)", 1)
-    kept = T.strip_markup(F.when(code != "", F.replace("a_text", code, F.lit("§0§"))).otherwise(c("a_text")))
-    return qa(spark, sf).filter("a_text is not null").select("pair_id", F.when(F.regexp_extract("a_text", r"(`[^`\n]+`)", 1) != "", F.replace(kept, F.lit("§0§"), code)).otherwise(kept).alias("text"))
+    """Markup removed from a whole answer but for its code: text is split at every span, cleaned,
+    and the spans are put back between."""
+    t = F.coalesce("a_md", "a_text")
+    rows = qa(spark, sf).select("pair_id", t.alias("t")).filter("t is not null").select("pair_id", F.split("t", _SPANS, -1).alias("parts"), F.regexp_extract_all("t", F.lit(_SPANS), F.lit(0)).alias("spans"))
+    kept = F.transform("parts", lambda p, i: F.concat(T.strip_markup(p), F.lit(" "), F.coalesce(F.get(F.col("spans"), i), F.lit(""))))
+    return rows.select("pair_id", F.trim(F.array_join(kept, " ")).alias("text"), F.size("spans").cast("bigint").alias("spans"))
 
 
 def t18_clean_response(spark, sf):
@@ -231,7 +237,7 @@ ORACLES = {
     "a35_formula_ratio": rf"{_W}, f AS (SELECT pair_id, regexp_extract_all(a_text, '=[A-Z]+\([^ \n]*') AS f FROM qa WHERE a_text IS NOT NULL) SELECT pair_id, len(f) AS n, round(len(list_filter(f, lambda x: len(regexp_extract_all(x, '\(')) = len(regexp_extract_all(x, '\)')))) / len(f)::DOUBLE, 6) AS share FROM f WHERE len(f) > 0",
     "a40_text_summary": rf"{_W}, f AS (SELECT CASE WHEN regexp_matches(a_text, '(?i)\b(sub|function) [a-z_0-9]+\(|\bdim [a-z]+ as\b|end sub') THEN 'vba' WHEN regexp_matches(a_text, '{_F}') THEN 'excel' WHEN regexp_matches(a_text, '(?i)\bselect\b[^;]*\bfrom\b') THEN 'sql' WHEN regexp_matches(a_text, '\bdef [a-z_]+\(|\bimport [a-z_]+\b') THEN 'python' WHEN regexp_matches(a_text, '\bconst [a-z]|\bfunction *\(|=>') THEN 'javascript' ELSE 'unknown' END AS l, len(regexp_extract_all(a_text, '{_F}')) AS f FROM qa WHERE a_text IS NOT NULL) SELECT count(*) AS n, count(*) FILTER (WHERE f > 0) AS with_formula, count(DISTINCT l) AS languages FROM f",
     "u04_ordered_union": f"{_W}, u AS (SELECT pair_id, list_concat(coalesce(tags, []), ['excel', 'qa']) AS t FROM qa) SELECT pair_id, {_OD('t')} AS tags FROM u",
-    "t14_keep_code": rf"{_W}, k AS (SELECT pair_id, regexp_extract(a_text, '(`[^`\n]+`)', 1) AS code, a_text FROM qa WHERE a_text IS NOT NULL) SELECT pair_id, CASE WHEN code <> '' THEN replace({_STRIP('replace(a_text, code, ' + chr(39) + '§0§' + chr(39) + ')')}, '§0§', code) ELSE {_STRIP('a_text')} END AS text FROM k",
+    "t14_keep_code": f"{_W}, k AS (SELECT pair_id, regexp_split_to_array(t, '{_SPANS}') AS parts, regexp_extract_all(t, '{_SPANS}') AS spans FROM (SELECT pair_id, coalesce(a_md, a_text) AS t FROM qa) x WHERE t IS NOT NULL) SELECT pair_id, trim(array_to_string(list_transform(parts, lambda p, i: concat({_STRIP('p')}, ' ', coalesce(spans[i], ''))), ' '), ' ') AS text, len(spans) AS spans FROM k",
     "t18_clean_response": f"{_W} SELECT pair_id, {_STRIP('a_text')} AS text, len(list_distinct(regexp_extract_all(a_text, '{_F}'))) AS formulas, {_CODE('a_text')} AS code FROM qa WHERE a_text IS NOT NULL",
     "t26_final_response": f"{_W}, b AS (SELECT pair_id, coalesce(list_max(list_transform(regexp_extract_all(a_text, '{_F}'), lambda f: length(f))), 0) AS formula_length, {_EXPL} AS t FROM qa WHERE a_text IS NOT NULL) SELECT pair_id, formula_length, CASE WHEN len(list_filter(regexp_split_to_array(t, '{_B}'), lambda w: w <> '')) >= 3 THEN t END AS explanation FROM b",
     "t29_prefixes": rf"{_W} SELECT pair_id, regexp_replace(a_text, '^(?:안녕하세요[^\n]{{0,20}}[.!]? |답변이 늦어서 죄송합니다[.] |Sorry for the late reply, I only saw this today[.][ \n])', '') AS text FROM qa WHERE a_text IS NOT NULL",
