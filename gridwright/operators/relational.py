@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -40,6 +40,27 @@ def previous_in_group(df: DataFrame, group: str, key: str, name: str, block: int
     return rows.withColumn(name, inside).join(last, [group, "_block"]).select(*df.columns, F.coalesce(name, "_before").alias(name))
 
 
+def over_last_rows(df: DataFrame, group: str, order: str, n: int, named: dict[str, Callable[[WindowSpec], Column]], block: int = 65536) -> DataFrame:
+    """``df`` with columns over each row and its ``n`` - 1 predecessors in the group, by ``order``
+    (integers, unique in the group).
+
+    Rows get their place in the group from counts of blocks of ``order``, a row a block; windows
+    are then over ``block`` consecutive places, each block's last n - 1 rows going along to
+    the next one.  So a group of any size is spread over many tasks.
+    """
+    size = max(block, n)
+    rows = df.withColumn("_block", F.floor(F.col(order) / block))
+    counts = rows.groupBy(group, "_block").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.select(group, "_block", (F.sum("_n").over(W.partitionBy(group).orderBy("_block")) - F.col("_n")).alias("_before"))
+    place = F.row_number().over(W.partitionBy(group, "_block").orderBy(order)) - 1
+    same = F.col(f"r.{group}").eqNullSafe(F.col(f"c.{group}")) & (F.col("r._block") == F.col("c._block"))
+    placed = rows.withColumn("_place", place).alias("r").join(counts.alias("c"), same).select("r.*", (F.col("c._before") + F.col("r._place")).alias("_at"))
+    home = F.floor(F.col("_at") / size)
+    dealt = placed.withColumn("_home", home).withColumn("_part", F.explode(F.when(F.col("_at") % size > size - n, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))))
+    last = W.partitionBy(group, "_part").orderBy("_at").rowsBetween(-(n - 1), 0)
+    return dealt.withColumns({name: make(last) for name, make in named.items()}).filter("_part = _home").select(*df.columns, *named)
+
+
 def not_known(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Rows whose key was not collected yet; rows without a key are skipped, as by lookup."""
     return df.filter(F.col(key).isNotNull()).join(known.select(key).filter(F.col(key).isNotNull()).distinct(), key, "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gridwright.operators.relational import bounded_history, describe, exact_quantile, latest_by_key, nearest_rank, previous_in_group, ratio
+from gridwright.operators.relational import bounded_history, describe, exact_quantile, latest_by_key, nearest_rank, over_last_rows, previous_in_group, ratio
 from gridwright.plans.common import USAGE, usage
 from gridwright.session import table
 
@@ -115,14 +115,15 @@ def w04_error_rate(spark, sf):
 
 def w05_bounded_history(spark, sf):
     """Mean of the last 1000 values of each event type."""
-    last = bounded_history(["event_type"], ["event_id"], 1000)
-    return table(spark, sf, "events").select("event_id", "event_type", (F.sum(F.col("value").cast("decimal(18,4)")).over(last).cast("double") / F.count("value").over(last)).alias("mean_1000"))
+    e = table(spark, sf, "events").select("event_id", "event_type", F.col("value").cast("decimal(18,4)").alias("v"))
+    return over_last_rows(e, "event_type", "event_id", 1000, {"mean_1000": lambda w: F.sum("v").over(w).cast("double") / F.count("v").over(w)}).drop("v")
 
 
 def w06_last10_success(spark, sf):
-    last = bounded_history(["event_type"], ["event_id"], 10)
-    rate = F.avg((F.col("value") > 50).cast("int")).over(last)
-    return table(spark, sf, "events").select("event_id", "event_type", F.when(F.count(F.lit(1)).over(last) >= 3, F.round(rate, 6)).alias("success_rate"))
+    """Share of successes over the last ten events of each type, from three events on."""
+    e = table(spark, sf, "events").select("event_id", "event_type", (F.col("value") > 50).cast("int").alias("ok"))
+    rate = lambda w: F.when(F.count(F.lit(1)).over(w) >= 3, F.round(F.avg("ok").over(w), 6))
+    return over_last_rows(e, "event_type", "event_id", 10, {"success_rate": rate}).drop("ok")
 
 
 def w08_running_mean(spark, sf):

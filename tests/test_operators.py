@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from gridwright.functions import markup, text
 from gridwright.operators.graph import components, nearest, similar_pairs
-from gridwright.operators.relational import best_of_group, exact_quantile, latest_by_key, min_max, nearest_rank, not_known
+from gridwright.operators.relational import best_of_group, exact_quantile, latest_by_key, min_max, nearest_rank, not_known, over_last_rows
 
 
 def test_components_equal_union_find(spark):
@@ -65,6 +65,21 @@ def test_similar_pairs_lose_nothing(spark):
     assert [r["id"] for r in sorted(top, key=lambda r: r["rank"])] == [k for _, k in best]
 
 
+def test_over_last_rows_equals_one_window(spark):
+    rng = random.Random(11)
+    rows = [("hot", k, rng.choice([None, *range(9)])) for k in rng.sample(range(-500, 3000), 700)] + [(None, k, k) for k in range(5)] + [("one", 7, 1)]
+    df = spark.createDataFrame(rows, "g string, k bigint, v bigint")
+    for n, block in ((1, 8), (10, 16), (10, 4), (400, 64)):
+        got = {(r["g"], r["k"]): (r["s"], r["c"]) for r in over_last_rows(df, "g", "k", n, {"s": lambda w: F.sum("v").over(w), "c": lambda w: F.count(F.lit(1)).over(w)}, block=block).collect()}
+        want = {}
+        for g in {r[0] for r in rows}:
+            mine = sorted(((k, v) for h, k, v in rows if h == g), key=lambda x: x[0])
+            for at, (k, _) in enumerate(mine):
+                last = [v for _, v in mine[max(0, at - n + 1) : at + 1]]
+                want[g, k] = (sum(v for v in last if v is not None) if any(v is not None for v in last) else None, len(last))
+        assert got == want
+
+
 def test_latest_best_known(spark):
     df = spark.createDataFrame([(1, 5.0, "a"), (1, 6.0, "b"), (2, None, "c"), (None, 1.0, "d")], "k bigint, t double, v string")
     assert {(r["k"], r["v"]) for r in latest_by_key(df, ["k"], ["t"]).collect()} == {(1, "b"), (2, "c"), (None, "d")}
