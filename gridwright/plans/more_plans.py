@@ -213,25 +213,31 @@ def m5_distance(spark, sf):
     return j09_similar_pairs(spark, sf).select("a", "b", F.round(1 - c("similarity"), 4).alias("distance"))
 
 
+def _raw_scores():
+    """Question and answer scores and the completion bonus of a pair; comments stand for views and
+    everyone's reputation is 1."""
+    question = F.log10(F.coalesce("total_comments", F.lit(0)) + 1) + 2 * F.coalesce("q_score", F.lit(0)) + F.log10(F.lit(2.0))
+    answer = 2 * F.coalesce("a_score", F.lit(0)) + F.when(c("op_confirmed"), 5).otherwise(0) + F.log10(F.lit(2.0))
+    bonus = F.lit(1) + F.when(F.size(T.formulas(F.coalesce("a_text", F.lit("")))) > 0, 2).otherwise(0)
+    return F.round(question, 6), F.when(F.trim(F.coalesce("a_text", F.lit(""))) == "", 0.0).otherwise(F.round(answer, 6)), bonus
+
+
 def c01_question_raw(spark, sf):
-    raw = F.log10(F.coalesce("total_comments", F.lit(0)) + 1) + 2 * F.coalesce("q_score", F.lit(0)) + F.log10(F.lit(2.0))
-    return qa(spark, sf).select("pair_id", F.round(raw, 6).alias("raw"))
+    return qa(spark, sf).select("pair_id", _raw_scores()[0].alias("raw"))
 
 
 def c02_answer_raw(spark, sf):
-    raw = 2 * F.coalesce("a_score", F.lit(0)) + F.when(c("op_confirmed"), 5).otherwise(0) + F.log10(F.lit(2.0))
-    return qa(spark, sf).select("pair_id", F.when(F.trim(F.coalesce("a_text", F.lit(""))) == "", 0.0).otherwise(F.round(raw, 6)).alias("raw"))
+    return qa(spark, sf).select("pair_id", _raw_scores()[1].alias("raw"))
 
 
 def c03_completion(spark, sf):
-    return qa(spark, sf).select("pair_id", (F.lit(1) + F.when(F.size(T.formulas(F.coalesce("a_text", F.lit("")))) > 0, 2).otherwise(0)).alias("bonus"))
+    return qa(spark, sf).select("pair_id", _raw_scores()[2].alias("bonus"))
 
 
 def c04_final_score(spark, sf):
-    """10 * (0.4 q + 0.5 a + 0.1 c) on batch-normalised parts, with tiers."""
-    r = c01_question_raw(spark, sf).withColumnRenamed("raw", "q").join(c02_answer_raw(spark, sf).withColumnRenamed("raw", "a"), "pair_id").join(c03_completion(spark, sf).select("pair_id", c("bonus").cast("double").alias("b")), "pair_id")
-    r = r.join(qa(spark, sf).select("pair_id", "source"), "pair_id")
-    n = min_max(r, ["q", "a", "b"], ["source"])
+    """10 * (0.4 q + 0.5 a + 0.1 c) on batch-normalised parts of one projection, with tiers."""
+    q, a, b = _raw_scores()
+    n = min_max(qa(spark, sf).select("pair_id", "source", q.alias("q"), a.alias("a"), b.cast("double").alias("b")), ["q", "a", "b"], ["source"])
     score = F.round(10 * (0.4 * c("q_norm") + 0.5 * c("a_norm") + 0.1 * c("b_norm")), 4)
     return n.select("pair_id", score.alias("score"), F.when(score >= 9, "excellent").when(score >= 7, "good").when(score >= 5, "fair").otherwise("poor").alias("tier"))
 
