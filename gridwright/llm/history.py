@@ -28,10 +28,11 @@ BOUND = 0.3
 #: Most that coordinates outside the probed ones add to a cosine: each side's rest is shorter
 #: than BOUND, so their product is below BOUND squared.
 REST = BOUND * BOUND
-#: The token weights are fitted on about so many titles; every title is indexed.
-FIT_TITLES = 40_000
-#: A token is frequent, with a weight of its own, from so many of these titles on.
+#: A token is frequent, with a weight of its own, if it is in so many titles of its source and
+#: in so many of Weights.RARE; so the frequent ones of a source are some 100,000 at most.
 FREQUENT = 5
+#: Different tokens that a task counts before it writes the counts out.
+COUNTED = 200_000
 #: Titles of a cell that are compared first, where a cell holds more than so many.
 FIRSTS = 24
 #: About so many rows of the start share a folder of the index, of which there are at most
@@ -39,6 +40,8 @@ FIRSTS = 24
 BUCKET_ROWS, MOST_BUCKETS = 100_000, 1 << 15
 #: Rows of ids that are sent to every task rather than exchanged; each has 16 bytes or less.
 SENT_ROWS = 500_000
+#: What a source's titles are counted under, among its tokens.
+TITLES = "\0"
 #: Place of history in the order of records: before every item.
 BEFORE = -(1 << 62)
 
@@ -62,39 +65,99 @@ def record_key(source: Column, raw: Column) -> Column:
     return F.when(plainly, raw.cast("string")).when(key != "", key)
 
 
-def with_vectors(rows: DataFrame, weights: Weights, once: bool = False) -> DataFrame:
+def with_vectors(rows: DataFrame, weights: Weights) -> DataFrame:
     """source, ord, key of rows (source, ord, key, title), and of a title that names a workbook,
     range or number ``norm``, the normal title, ``vid``, its id, and ``cells``, its cells.
 
     Other titles, and missing ones, have nulls: they can't be a question about the same
-    workbook and range.  With ``once`` a task gives a key and a title that it has met before as
-    nulls, so what many rows share is not sent on many times.
+    workbook and range.
     """
     shared = rows.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        probes, seen = shared.value.probes, set()
+        probes = shared.value.probes
         for batch in batches:
-            if len(seen) > 1_000_000:  # bounds memory; what comes again is only sent again
-                seen.clear()
-            keys, norms, cells, parts = [], [], [], []
-            for source, key, title in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3)), strict=True):
+            norms, cells, parts = [], [], []
+            for source, title in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 text = normal(title)
-                if once:
-                    mine, theirs = hash((source, 0, key)), hash((source, 1, text))
-                    key, text = None if mine in seen else key, "" if theirs in seen else text
-                    seen.update((mine, theirs))
                 found, names = tokens(text) if text else ((), False)
-                keys.append(key)
                 norms.append(text if names else None)
                 names_, lengths = probes(source, found, BOUND) if names else (None, None)
                 cells.append(names_)
                 parts.append(lengths)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(keys, pa.string()), pa.array(norms, pa.string()), pa.array(cells, pa.list_(pa.string())), pa.array(parts, pa.list_(pa.float32()))], ["source", "ord", "key", "norm", "cells", "parts"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(norms, pa.string()), pa.array(cells, pa.list_(pa.string())), pa.array(parts, pa.list_(pa.float32()))], ["source", "ord", "key", "norm", "cells", "parts"])
 
     out = rows.select("source", "ord", "key", "title").mapInArrow(run, "source string, ord bigint, key string, norm string, cells array<string>, parts array<float>")
-    cells = F.transform("cells", lambda c: F.xxhash64("source", c))
-    return out.select("source", "ord", "key", "norm", F.when(F.col("norm").isNotNull(), F.xxhash64("source", "norm")).alias("vid"), cells.alias("cells"), "parts")
+    return out.select("source", "ord", "key", "norm", F.when(F.col("norm").isNotNull(), title_id()).alias("vid"), hashed_cells().alias("cells"), "parts")
+
+
+def title_id() -> Column:
+    return F.xxhash64("source", "norm")
+
+
+def hashed_cells() -> Column:
+    return F.transform("cells", lambda c: F.xxhash64("source", c))
+
+
+def with_tokens(rows: DataFrame) -> DataFrame:
+    """source, key of rows (source, key, title), and of a title that names a workbook, range or
+    number ``norm``, the normal title, and ``found``, its tokens between blanks; besides rows
+    (source, token, n): in how many of its titles a task met a token.
+
+    A task gives a key and a title that it has met before as nulls, so what many rows share is
+    not sent on many times.  It counts the tokens of every title.
+    """
+    names = ["source", "key", "norm", "found", "token", "n"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, counts = set(), {}
+
+        def counted() -> pa.RecordBatch:
+            flat = [(s, t, n) for s, known in counts.items() for t, n in known.items()]
+            counts.clear()
+            source, token, n = zip(*flat, strict=True) if flat else ((), (), ())
+            none = pa.nulls(len(flat), pa.string())
+            return pa.RecordBatch.from_arrays([pa.array(source, pa.string()), none, none, none, pa.array(token, pa.string()), pa.array(n, pa.int64())], names)
+
+        for batch in batches:
+            if len(seen) > 1_000_000:  # bounds memory; what comes again is only sent again
+                seen.clear()
+            keys, norms, words = [], [], []
+            for source, key, title in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                text = normal(title)
+                found, named = tokens(text) if text else ((), False)
+                if title is not None:
+                    known = counts.get(source)
+                    if known is None:
+                        known = counts[source] = Counter()
+                    known.update(found)
+                    known[TITLES] += 1
+                mine, theirs = hash((source, 0, key)), hash((source, 1, text))
+                keys.append(None if mine in seen else key)
+                named = named and theirs not in seen
+                seen.update((mine, theirs))
+                norms.append(text if named else None)
+                words.append(" ".join(found) if named else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.string()), pa.array(norms, pa.string()), pa.array(words, pa.string()), pa.nulls(len(keys), pa.string()), pa.nulls(len(keys), pa.int64())], names)
+            if sum(map(len, counts.values())) > COUNTED:
+                yield counted()
+        yield counted()
+
+    return rows.select("source", "key", "title").mapInArrow(run, "source string, key string, norm string, found string, token string, n bigint")
+
+
+def with_cells(rows: DataFrame, weights: Weights) -> DataFrame:
+    """vid, cells, parts of titles (source, norm, found)."""
+    shared = rows.sparkSession.sparkContext.broadcast(weights)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        probes = shared.value.probes
+        for batch in batches:
+            both = [probes(source, found.split(" "), BOUND) for source, found in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([c for c, _ in both], pa.list_(pa.string())), pa.array([p for _, p in both], pa.list_(pa.float32()))], ["source", "vid", "cells", "parts"])
+
+    out = rows.select("source", title_id().alias("vid"), "found").mapInArrow(run, "source string, vid bigint, cells array<string>, parts array<float>")
+    return out.select("vid", hashed_cells().alias("cells"), "parts")
 
 
 def in_cells(titles: DataFrame, *rest: str) -> DataFrame:
@@ -103,25 +166,31 @@ def in_cells(titles: DataFrame, *rest: str) -> DataFrame:
     return both.select(F.col("_c.cells").alias("cell"), F.col("_c.parts").alias("part"), "vid", *rest)
 
 
-def fit_weights(rows: DataFrame) -> tuple[Weights, int]:
-    """Weights from a bounded sample of the rows (source, title), drawn by their titles' hashes,
-    and the number of rows with a title."""
-    named = rows.filter("title is not null")
-    many = named.count()
-    step = max(1, -(-many // FIT_TITLES))
-    sample = named.filter(F.pmod(F.xxhash64("title"), F.lit(step)) == 0).select("source", "title").distinct()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        for batch in batches:
-            for source, title in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts.update((source, t) for t in tokens(normal(title))[0])
-                counts[source, "\0"] += 1
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], ["source", "token", "n"])
+def fit_weights(counts: DataFrame) -> tuple[Weights, int]:
+    """Weights from the tasks' counts (source, token, n) of all titles, and the number of titles.
 
-    found = sample.mapInArrow(run, "source string, token string, n bigint").groupBy("source", "token").agg(F.sum("n").alias("n")).filter(F.col("n") >= FREQUENT).toPandas()
-    counts = {(s, t): n for s, t, n in zip(found["source"], found["token"], found["n"], strict=True)}
-    return Weights({s: n for (s, t), n in counts.items() if t == "\0"}, {k: n for k, n in counts.items() if k[1] != "\0"}), many
+    A token that is in ``least`` of a source's titles is in ``least / parts`` of those of one of
+    its ``parts`` counts at least.  Only tokens for which that holds somewhere are added up, from
+    all counts: the sums are exact, and the many rare tokens are not exchanged.
+    """
+    sizes = counts.filter(F.col("token") == TITLES).groupBy("source").agg(F.sum("n").alias("titles"), F.count(F.lit(1)).alias("parts")).collect()
+    titles = {r["source"]: r["titles"] for r in sizes}
+    least = {s: max(FREQUENT, -(-FREQUENT * n // Weights.RARE)) for s, n in titles.items()}
+    if not titles:
+        return Weights({}, {}), 0
+
+    def by_source(values: dict[str, int]) -> Column:
+        return F.coalesce(*[F.when(F.col("source").eqNullSafe(F.lit(s)), F.lit(v)) for s, v in values.items()])
+
+    tokens_ = counts.filter(F.col("token") != TITLES)
+    maybe = tokens_.filter(F.col("n") >= by_source({r["source"]: -(-least[r["source"]] // r["parts"]) for r in sizes}))
+    counted = Observation()
+    maybe = maybe.select(F.col("source").alias("s"), F.col("token").alias("t")).distinct()
+    maybe = written(maybe.observe(counted, F.count(F.lit(1)).alias("n")), "maybe-frequent")
+    # a token is longer than an id: a tenth of the rows is sent at most
+    sums = tokens_.join(_sent(maybe, 10 * counted.get.get("n", 0)), F.expr("source <=> s and token = t"), "left_semi").groupBy("source", "token").agg(F.sum("n").alias("n"))
+    found = sums.filter(F.col("n") >= by_source(least)).collect()
+    return Weights(titles, {(r["source"], r["token"]): r["n"] for r in found}), sum(titles.values())
 
 
 SCHEMAS = {"keys": "source string, key string", "titles": "vid bigint, norm string", "cells": "cell bigint, part float, vid bigint"}
@@ -173,7 +242,7 @@ class HistoryIndex:
 
     @classmethod
     def open(cls, spark: SparkSession, path: str) -> HistoryIndex:
-        """An index that was built earlier; its weights are as many as a sample has frequent tokens."""
+        """An index that was built earlier; its weights are as many as its sources have frequent tokens."""
         index = cls(spark, path)
         index.weights = Weights({}, {})
         for source, token, square in spark.read.parquet(f"{path}/settings").collect():
@@ -187,19 +256,18 @@ class HistoryIndex:
 
     def build(self, history: DataFrame) -> HistoryIndex:
         """Start from the rows (source, key, title) of what was accepted so far."""
-        self.weights, rows = fit_weights(history)
-        self.buckets = min(MOST_BUCKETS, max(16, -(-rows // BUCKET_ROWS)))
+        path, rows = scratch_path(self.spark, "history"), with_tokens(history)
+        rows.write.option("compression", "zstd").parquet(path)  # titles and their tokens are most of what is written
+        rows = self.spark.read.schema(rows.schema).parquet(path)
+        self.weights, many = fit_weights(rows.filter("n is not null").select("source", "token", "n"))
+        self.buckets = min(MOST_BUCKETS, max(16, -(-many // BUCKET_ROWS)))
         self._write_settings()
-        rows = written(with_vectors(history.select("source", F.lit(BEFORE).alias("ord"), "key", "title"), self.weights, once=True), "history")
-        self._store("start", rows)
+        titled = rows.filter("norm is not null")
+        self._append("keys", "start", rows.filter("key is not null").select("source", "key"))
+        self._append("titles", "start", titled.select(title_id().alias("vid"), "norm"))
+        self._append("cells", "start", in_cells(with_cells(titled, self.weights)))
         return self
 
-    def _store(self, batch: str, rows: DataFrame) -> None:
-        titled = rows.filter("vid is not null")
-        self._append("keys", batch, rows.filter("key is not null").select("source", "key"))
-        self._append("titles", batch, titled.select("vid", "norm"))
-        self._append("cells", batch, in_cells(titled))
-
     def check(self, items: DataFrame, batch: str = "batch", append: bool = True) -> DataFrame:
         """Ids of the items (source, ord, key, title) that repeat history or an item of smaller ord.
 

@@ -78,17 +78,17 @@ def tokens(text: str) -> tuple[set[str], bool]:
 
 
 class Weights:
-    """Token weights, by source, from document frequencies of a sample of titles.
+    """Token weights, by source, from document frequencies of all titles.
 
-    The weight is the inverse document frequency to the power POWER; a token that the sample
-    doesn't show often has the greatest weight.
+    The weight is the inverse document frequency to the power POWER; a token that isn't frequent
+    has the greatest weight, that of one in RARE titles (or in all, if they are fewer).
     """
 
-    POWER = 3
+    POWER, RARE = 3, 40_000
 
     def __init__(self, titles: dict[str, int], frequent: dict[tuple[str, str], int]):
         size = {s: max(n, 2) for s, n in titles.items()}
-        self.most = math.log(max(size.values(), default=2)) ** (2 * self.POWER)
+        self.most = math.log(min(self.RARE, max(size.values(), default=2))) ** (2 * self.POWER)
         #: squared weights by source
         self.square: dict[str, dict[str, float]] = {}
         for (s, t), n in frequent.items():

@@ -1,5 +1,7 @@
+import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from gridwright.llm.history import HistoryIndex, record_key
@@ -123,3 +125,18 @@ def test_a_batch_reads_its_own_folders_only(spark):
     found = index.check(spark.createDataFrame([("stackoverflow", 1, "77", "count rows of Kelgus55 in B55:F955 by group 55")], "source string, ord bigint, key string, title string"))
     assert [r["ord"] for r in found.collect()] == [1]
     assert index.read["keys"] == (1, 1) and index.read["cells"][0] <= 8 < index.buckets and index.read["cells"][1] < 60
+
+
+def test_weights_are_counted_over_every_title(spark):
+    # one task that writes its counts out more than once, and three small ones
+    ids = spark.range(0, 110_000, 1, 1).unionByName(spark.range(110_000, 120_000, 1, 3))
+    # in 15 of 120,000 titles, or 5 of 40,000, a word is frequent; "rarely" is in 24, "seldom" in 15, "never" in 14
+    word = "CASE WHEN id % 5000 = 7 THEN ' rarely' WHEN id % 8000 = 8 THEN ' seldom' WHEN id % 8000 = 9 AND id > 9 THEN ' never' ELSE '' END"
+    titles = ids.selectExpr("'so' AS source", "CAST(id AS STRING) AS key", f"concat('sum of rows from A', id + 1, ':C', id + 1, {word}) AS title")
+    few = spark.createDataFrame([("re", str(k), "sum of names" if k else None) for k in range(8)], "source string, key string, title string")
+    index = HistoryIndex(spark).build(titles.unionByName(few))
+    so = {"sum": 0.0, "of": 0.0, "rows": 0.0, "from": 0.0, "rarely": math.log(120_000 / 24) ** 6, "seldom": math.log(120_000 / 15) ** 6}
+    assert index.weights.square == {"so": pytest.approx(so), "re": {"sum": 0.0, "of": 0.0, "names": 0.0}}
+    assert index.weights.most == pytest.approx(math.log(40_000) ** 6)
+    found = index.check(spark.createDataFrame([("so", 1, None, "sum of rows from A8:C8 rarely"), ("so", 2, None, "count of names in Norlis40")], "source string, ord bigint, key string, title string"))
+    assert [r["ord"] for r in found.collect()] == [1]
