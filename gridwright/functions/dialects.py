@@ -70,6 +70,14 @@ class Dialect:
     def size(self, items: str) -> str:
         return f"size({items})" if self.spark else f"len({items})"
 
+    def round(self, x: str) -> str:
+        """A double to six places: the nearest whole number of millionths, as DuckDB rounds.
+
+        Spark's ``round(x, 6)`` rounds the shortest decimal that reads as ``x`` instead, so the
+        two part where that ends in a five.
+        """
+        return f"round(({x}) * {num(1e6)}) / {num(1e6)}" if self.spark else f"round({x}, 6)"
+
     def distinct(self, items: str) -> str:
         """Different items, blanks at their ends and case aside, empty ones left out."""
         ends = f"^[{BLANKS}]+|[{BLANKS}]+$"

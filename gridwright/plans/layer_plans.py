@@ -68,7 +68,7 @@ def style(d: Dialect, rows: str) -> str:
     probability = f"CASE WHEN {short} THEN {num(0.0)} ELSE greatest({num(0.0)}, least({num(1.0)}, {score})) END"
     kind = when((f"probability < {num(0.5)}", "'human_authored'"), ("model > 0", "'gpt_generated'"), ("template > 0", "'template_ai'"), ("structured > 0 AND items > 2", "'sophisticated_ai'"), other="'hybrid_ai'")
     inner = f"SELECT *, {probability} AS probability FROM (SELECT id, body, {named} FROM ({rows}) r) p"
-    return f"SELECT id, round(keywords, 6) AS keywords, round(structure, 6) AS structure, round(consistency, 6) AS consistency, round(probability, 6) AS probability, {kind} AS kind FROM ({inner}) s"
+    return f"SELECT id, {d.round('keywords')} AS keywords, {d.round('structure')} AS structure, {d.round('consistency')} AS consistency, {d.round('probability')} AS probability, {kind} AS kind FROM ({inner}) s"
 
 
 # -- behaviour ----------------------------------------------------------------------------
@@ -119,8 +119,8 @@ def behaviour(d: Dialect, rows: str, gaps: str, alike: str) -> str:
     total = " + ".join(f"{n} * {num(w)}" for n, w in WEIGHTS.items())
     kind = when((f"timing > {num(0.8)}", "'scheduled_bot'"), (f"similarity > {num(0.8)}", "'content_scraper_bot'"), (f"frequency > {num(0.8)}", "'spam_farm_bot'"), (f"engagement > {num(0.7)}", "'engagement_bot'"), (f"complexity > {num(0.7)}", "'sophisticated_ai_bot'"), other="'human'")
     ctes = ", ".join(f"{n} AS ({q})" for n, q in tables.items())
-    inner = f"WITH {ctes} SELECT author, n, {', '.join(f'round({x}, 6) AS {m}' for m, x in metrics.items())} FROM {joined}"
-    return f"SELECT author, n, {', '.join(metrics)}, round({total}, 6) AS confidence, {total} >= {num(BOT)} AS is_bot, {kind} AS kind FROM ({inner}) m"
+    inner = f"WITH {ctes} SELECT author, n, {', '.join(f'{d.round(x)} AS {m}' for m, x in metrics.items())} FROM {joined}"
+    return f"SELECT author, n, {', '.join(metrics)}, {d.round(total)} AS confidence, {total} >= {num(BOT)} AS is_bot, {kind} AS kind FROM ({inner}) m"
 
 
 def _behaviour(spark, sf):

@@ -6,6 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridwright.functions import text as T
+from gridwright.functions.dialects import SPARK
 from gridwright.operators.graph import components, nearest, similar_pairs
 from gridwright.operators.relational import best_of_group, keyset_page, min_max, not_known, ratio
 from gridwright.operators.user_texts import user_similarity
@@ -185,7 +186,7 @@ def j10_user_similarity(spark, sf):
     said = F.lower(F.regexp_replace(F.when(c("a_text").rlike(r"(?U)\S"), c("a_text")).otherwise(c("a_md")), r"(?U)^\s+|\s+$", ""))
     rows = qa(spark, sf).select(c("author").alias("user"), said.alias("text")).filter(F.length("text") > 10)
     s = user_similarity(rows)
-    return s.select(c("user").alias("author"), "n", F.round("mean", 6).alias("mean"), F.round("most", 6).alias("most"), F.round(0.6 * c("mean") + 0.4 * c("most"), 6).alias("score"))
+    return s.select(c("user").alias("author"), "n", F.round("mean", 6).alias("mean"), F.round("most", 6).alias("most"), F.expr(SPARK.round("0.6e0 * mean + 0.4e0 * most")).alias("score"))
 
 
 # -- groups, windows, sorts ---------------------------------------------------------------

@@ -166,7 +166,7 @@ def decision(d: Dialect, layers: str) -> str:
     total = " + ".join(f"coalesce({n}, {num(0.0)}) * {num(w)}" for n, (w, _) in names.items())
     votes = " + ".join(f"CASE WHEN {n} >= {num(t)} THEN {num(w)} ELSE {num(0.0)} END" for n, (w, t) in names.items())
     first = when(*[(f"coalesce({n}, {num(0.0)}) >= {num(0.95)}", f"'{n}'") for n in names], other="'consensus'")
-    inner = f"SELECT id, l1, l2, l3, round(({total}) / ({weight}), 6) AS consensus, {votes} AS bots, {weight} AS whole, {first} AS primary_layer FROM ({layers}) l"
+    inner = f"SELECT id, l1, l2, l3, {d.round(f'({total}) / ({weight})')} AS consensus, {votes} AS bots, {weight} AS whole, {first} AS primary_layer FROM ({layers}) l"
     confidence = when(("primary_layer = 'l1'", "l1"), ("primary_layer = 'l2'", "l2"), ("primary_layer = 'l3'", "l3"), other="consensus")
     middle = f"SELECT *, {confidence} AS confidence, primary_layer <> 'consensus' OR bots > whole - bots AS is_bot FROM ({inner}) i"
     kind = when(("primary_layer <> 'consensus'", "'instant_block'"), ("consensus >= 0.85 AND is_bot", "'consensus_block'"), ("consensus >= 0.85", "'human_verified'"), ("consensus >= 0.7 AND is_bot", "'behavioral_block'"), ("consensus >= 0.7", "'human_likely'"), other="'uncertain'")

@@ -6,10 +6,12 @@ from itertools import combinations
 
 import pytest
 
+from gridwright.functions.dialects import DUCK, SPARK
 from gridwright.operators.relational import previous_in_group
 from gridwright.operators.user_texts import trigrams, user_similarity
 from gridwright.plans.common import QA
 from gridwright.plans.registry import collect
+from gridwright.plans.rule_plans import decision
 from tests.oracle import compare, connect
 
 DATA = os.environ.get("GRIDWRIGHT_TEST_DATA", "/root/testdata/sf0.001")
@@ -66,3 +68,19 @@ def test_j10_has_the_hot_author(spark, con):
 
 def test_c48_is_of_authors(spark, con):
     compare(QUERIES["c48_response_pattern"](spark, DATA), con, f"WITH {QA} SELECT author, count(*) AS n, round(stddev_samp(length(a_text)) / avg(length(a_text)), 4) AS variation FROM qa WHERE a_text <> '' AND author IS NOT NULL GROUP BY 1 HAVING count(*) >= 3")
+
+
+def test_consensus_is_rounded_as_its_sql_does(spark, tmp_path):
+    # confidences of six places, whose weighted means often end in a five at the seventh
+    rng = random.Random(59)
+    part = lambda: rng.choice([None, rng.randrange(10**6) / 10**6, rng.randrange(10**6) / 10**6])
+    rows = [(k, rng.choice([0.0, 0.7, 0.8, 0.9, 0.95]), part(), part()) for k in range(4000)]
+    layers = spark.createDataFrame(rows, "id bigint, l1 double, l2 double, l3 double")
+    layers.write.parquet(str(tmp_path / "l.parquet"))
+    got = spark.sql(decision(SPARK, "SELECT * FROM {rows}"), rows=layers)
+    compare(got, connect(str(tmp_path)), decision(DUCK, "SELECT * FROM l"))
+    # what is rounded before that: doubles that are nearly a five at the seventh place
+    fives = [(k, s * (10 * k + 5) / 10**7) for k in range(0, 200_000, 37) for s in (1, -1)] + [(-1, None), (-2, float("nan")), (-3, 0.0)]
+    spark.createDataFrame(fives, "id bigint, x double").write.parquet(str(tmp_path / "fives.parquet"))
+    got = spark.read.parquet(str(tmp_path / "fives.parquet")).selectExpr("id", f"{SPARK.round('x')} AS x")
+    compare(got, connect(str(tmp_path)), f"SELECT id, {DUCK.round('x')} AS x FROM fives")
