@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -33,6 +34,8 @@ REST = BOUND * BOUND
 FREQUENT = 5
 #: Different tokens that a task counts before it writes the counts out.
 COUNTED = 200_000
+#: Tokens of one count that share a row of a task's counts at most.
+PACKED = 500
 #: Titles of a cell that are compared first, where a cell holds more than so many.
 FIRSTS = 24
 #: About so many rows of the start share a folder of the index, of which there are at most
@@ -65,6 +68,11 @@ def record_key(source: Column, raw: Column) -> Column:
     return F.when(plainly, raw.cast("string")).when(key != "", key)
 
 
+def _values(batch: pa.RecordBatch, *columns: int) -> Iterator[tuple]:
+    """Rows of some columns without null numbers; several times faster than to_pylist."""
+    return zip(*(batch.column(k).to_numpy(zero_copy_only=False).tolist() for k in columns), strict=True)
+
+
 def with_vectors(rows: DataFrame, weights: Weights) -> DataFrame:
     """source, ord, key of rows (source, ord, key, title), and of a title that names a workbook,
     range or number ``norm``, the normal title, ``vid``, its id, and ``cells``, its cells.
@@ -78,7 +86,7 @@ def with_vectors(rows: DataFrame, weights: Weights) -> DataFrame:
         probes = shared.value.probes
         for batch in batches:
             norms, cells, parts = [], [], []
-            for source, title in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            for source, title in _values(batch, 0, 3):
                 text = normal(title)
                 found, names = tokens(text) if text else ((), False)
                 norms.append(text if names else None)
@@ -102,10 +110,11 @@ def hashed_cells() -> Column:
 def with_tokens(rows: DataFrame) -> DataFrame:
     """source, key of rows (source, key, title), and of a title that names a workbook, range or
     number ``norm``, the normal title, and ``found``, its tokens between blanks; besides rows
-    (source, token, n): in how many of its titles a task met a token.
+    (source, token, n): tokens between blanks that a task met in n of the source's titles each.
 
     A task gives a key and a title that it has met before as nulls, so what many rows share is
-    not sent on many times.  It counts the tokens of every title.
+    not sent on many times.  It counts the tokens of every title; most are met once or twice, so
+    up to PACKED tokens of the same count make a row.
     """
     names = ["source", "key", "norm", "found", "token", "n"]
 
@@ -113,7 +122,13 @@ def with_tokens(rows: DataFrame) -> DataFrame:
         seen, counts = set(), {}
 
         def counted() -> pa.RecordBatch:
-            flat = [(s, t, n) for s, known in counts.items() for t, n in known.items()]
+            flat = []
+            for source, known in counts.items():
+                flat.append((source, TITLES, known.pop(TITLES)))
+                alike: dict[int, list[str]] = {}
+                for t, n in known.items():
+                    alike.setdefault(n, []).append(t)
+                flat += [(source, " ".join(ts[k : k + PACKED]), n) for n, ts in alike.items() for k in range(0, len(ts), PACKED)]
             counts.clear()
             source, token, n = zip(*flat, strict=True) if flat else ((), (), ())
             none = pa.nulls(len(flat), pa.string())
@@ -122,22 +137,22 @@ def with_tokens(rows: DataFrame) -> DataFrame:
         for batch in batches:
             if len(seen) > 1_000_000:  # bounds memory; what comes again is only sent again
                 seen.clear()
-            keys, norms, words = [], [], []
-            for source, key, title in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            keys, norms, words, met = [], [], [], {}
+            for source, key, title in _values(batch, 0, 1, 2):
                 text = normal(title)
                 found, named = tokens(text) if text else ((), False)
                 if title is not None:
-                    known = counts.get(source)
-                    if known is None:
-                        known = counts[source] = Counter()
-                    known.update(found)
-                    known[TITLES] += 1
+                    met.setdefault(source, []).append(found)
                 mine, theirs = hash((source, 0, key)), hash((source, 1, text))
                 keys.append(None if mine in seen else key)
                 named = named and theirs not in seen
                 seen.update((mine, theirs))
                 norms.append(text if named else None)
                 words.append(" ".join(found) if named else None)
+            for source, sets in met.items():
+                known = counts.setdefault(source, Counter())
+                known.update(chain.from_iterable(sets))
+                known[TITLES] += len(sets)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.string()), pa.array(norms, pa.string()), pa.array(words, pa.string()), pa.nulls(len(keys), pa.string()), pa.nulls(len(keys), pa.int64())], names)
             if sum(map(len, counts.values())) > COUNTED:
                 yield counted()
@@ -153,7 +168,7 @@ def with_cells(rows: DataFrame, weights: Weights) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         probes = shared.value.probes
         for batch in batches:
-            both = [probes(source, found.split(" "), BOUND) for source, found in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            both = [probes(source, found.split(" "), BOUND) for source, found in _values(batch, 0, 2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([c for c, _ in both], pa.list_(pa.string())), pa.array([p for _, p in both], pa.list_(pa.float32()))], ["source", "vid", "cells", "parts"])
 
     out = rows.select("source", title_id().alias("vid"), "found").mapInArrow(run, "source string, vid bigint, cells array<string>, parts array<float>")
@@ -167,7 +182,7 @@ def in_cells(titles: DataFrame, *rest: str) -> DataFrame:
 
 
 def fit_weights(counts: DataFrame) -> tuple[Weights, int]:
-    """Weights from the tasks' counts (source, token, n) of all titles, and the number of titles.
+    """Weights from the tasks' counts (source, tokens, n) of all titles, and the number of titles.
 
     A token that is in ``least`` of a source's titles is in ``least / parts`` of those of one of
     its ``parts`` counts at least.  Only tokens for which that holds somewhere are added up, from
@@ -182,13 +197,16 @@ def fit_weights(counts: DataFrame) -> tuple[Weights, int]:
     def by_source(values: dict[str, int]) -> Column:
         return F.coalesce(*[F.when(F.col("source").eqNullSafe(F.lit(s)), F.lit(v)) for s, v in values.items()])
 
+    def single(packed: DataFrame) -> DataFrame:
+        return packed.select("source", F.explode(F.split("token", " ")).alias("token"), "n")
+
     tokens_ = counts.filter(F.col("token") != TITLES)
-    maybe = tokens_.filter(F.col("n") >= by_source({r["source"]: -(-least[r["source"]] // r["parts"]) for r in sizes}))
+    maybe = single(tokens_.filter(F.col("n") >= by_source({r["source"]: -(-least[r["source"]] // r["parts"]) for r in sizes})))
     counted = Observation()
     maybe = maybe.select(F.col("source").alias("s"), F.col("token").alias("t")).distinct()
     maybe = written(maybe.observe(counted, F.count(F.lit(1)).alias("n")), "maybe-frequent")
     # a token is longer than an id: a tenth of the rows is sent at most
-    sums = tokens_.join(_sent(maybe, 10 * counted.get.get("n", 0)), F.expr("source <=> s and token = t"), "left_semi").groupBy("source", "token").agg(F.sum("n").alias("n"))
+    sums = single(tokens_).join(_sent(maybe, 10 * counted.get.get("n", 0)), F.expr("source <=> s and token = t"), "left_semi").groupBy("source", "token").agg(F.sum("n").alias("n"))
     found = sums.filter(F.col("n") >= by_source(least)).collect()
     return Weights(titles, {(r["source"], r["token"]): r["n"] for r in found}), sum(titles.values())
 
@@ -342,8 +360,7 @@ class HistoryIndex:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                order, a, b = (batch.column(k).to_pylist() for k in range(3))
-                hits = {o for o, x, y in zip(order, a, b, strict=True) if same_question(x, y)}
+                hits = {o for o, x, y in _values(batch, 0, 1, 2) if same_question(x, y)}
                 yield pa.RecordBatch.from_arrays([pa.array(sorted(hits), pa.int64())], ["ord"])
 
         return sides.mapInArrow(run, "ord bigint")

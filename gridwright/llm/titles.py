@@ -11,6 +11,7 @@ import html
 import math
 import re
 import unicodedata
+from functools import lru_cache
 
 
 #: What a title names, in a part between blanks that isn't a plain word: cell range, workbook,
@@ -23,6 +24,10 @@ PARTS = re.compile(
 COLON = re.compile(r"\s*:\s*")
 EXTENSION = re.compile(r"\.?xl[a-z]{1,2}$")
 DECORATION = re.compile(r"^(?:\s*(?:re|fwd|q|질문|help|urgent|급해요!?)\s*[:!])+|[\[(](?:solved|again|excel|질문|help|closed|duplicate|해결)[\])]|(?:\s[-–]?\s*(?:help|plz|please|thanks!?|급합니다|\?{2,}))+\s*$|[.…?!]+\s*$")
+#: What a title with DECORATION begins with, holds or ends with; few do, and need the pattern.
+TAGS = re.compile(r"[\[(](?:solved|again|excel|질문|help|closed|duplicate|해결)[\])]")
+STARTS = ("re", "fwd", "q", "질문", "help", "urgent", "급해요")
+ENDS = ("help", "plz", "please", "thanks", "급합니다", ".", "…", "?", "!")
 
 
 def normal(title: str | None) -> str:
@@ -36,30 +41,31 @@ def normal(title: str | None) -> str:
     if not text.isascii():
         text = unicodedata.normalize("NFKC", text)
     text = " ".join(text.lower().split())
-    text = " ".join(DECORATION.sub(" ", text).split())
-    return text if any(c.isalnum() for c in text) else ""
+    if text.endswith(ENDS) or text.startswith(STARTS) or (("(" in text or "[" in text) and TAGS.search(text)):
+        text = " ".join(DECORATION.sub(" ", text).split())
+    return text if text[:1].isalnum() or any(c.isalnum() for c in text) else ""
 
 
 def named(text: str) -> tuple[list[str], list[str], list[str], list[str]]:
     """Workbooks, ranges (as a1b2), numbers and words of a normal title."""
-    books, ranges, numbers, words = [], [], [], []
+    books, ranges, numbers, words, rest = [], [], [], [], []
     for piece in COLON.sub(":", text).split() if " :" in text or ": " in text else text.split():
-        if piece.isalpha():
-            if len(piece) > 5 and piece.startswith("tbl"):
-                books.append(piece)
-            elif len(piece) > 1:
-                words.append(piece)
-            continue
-        for m in PARTS.finditer(piece):
-            kind, part = m.lastgroup, m.group()
-            if kind == "word":
-                words.append(part)
-            elif kind == "range":
-                ranges.append(part.replace(":", "").replace("$", ""))
-            elif kind == "book":
-                books.append(EXTENSION.sub("", part).replace("-", "").replace("_", "").replace(".", ""))
-            else:
-                numbers.append(part)
+        if not piece.isalpha():
+            rest.append(piece)
+        elif len(piece) > 5 and piece.startswith("tbl"):
+            books.append(piece)
+        elif len(piece) > 1:
+            words.append(piece)
+    # no match of the pattern holds a blank, so all other parts are searched at once
+    for corners, book, number, word in PARTS.findall(" ".join(rest)):
+        if corners:
+            ranges.append(corners.replace(":", "").replace("$", ""))
+        elif book:
+            books.append(EXTENSION.sub("", book).replace("-", "").replace("_", "").replace(".", ""))
+        elif number:
+            numbers.append(number)
+        else:
+            words.append(word)
     return books, ranges, numbers, words
 
 
@@ -70,11 +76,13 @@ def tokens(text: str) -> tuple[set[str], bool]:
     """Coordinates of a normal title - b: workbook, r: range, c: far corner, n: number, words -
     and whether it names a workbook, range or number."""
     books, ranges, numbers, words = named(text)
-    out = {"b:" + b for b in books} | {"r:" + r for r in ranges} | {"n:" + n for n in numbers}
-    names = bool(out)
-    out |= {"c:" + CORNER.search(r).group() for r in ranges}
-    out.update(words)
-    return out, names
+    out = set(words)
+    for mark, those in (("b:", books), ("r:", ranges), ("n:", numbers)):
+        for name in those:
+            out.add(mark + name)
+    for r in ranges:
+        out.add("c:" + CORNER.search(r).group())
+    return out, bool(books or ranges or numbers)
 
 
 class Weights:
@@ -93,6 +101,14 @@ class Weights:
         self.square: dict[str, dict[str, float]] = {}
         for (s, t), n in frequent.items():
             self.square.setdefault(s, {})[t] = math.log(size.get(s, 2) / min(n, size.get(s, 2))) ** (2 * self.POWER)
+        #: of the sources met so far, the frequent tokens' squared lengths, negative
+        self._ready: dict[str, dict[str, float]] = {}
+
+    def _length(self, token: str, square: float) -> float:
+        """Squared length of a frequent token's coordinate."""
+        if token[:2] not in NAMES:
+            return square
+        return max(square, (self.most * CORNER_SHARE if token[:2] == "c:" else self.most) * NAME_SHARE)
 
     def probes(self, source: str, found: set[str], bound: float) -> tuple[list[str], list[float]]:
         """The longest coordinates, until what is left of the vector is shorter than ``bound``,
@@ -104,16 +120,11 @@ class Weights:
         what a title names never gets shorter than NAME_SHARE of its squared length, however
         frequent: many copies of one question still lie near one another.
         """
-        known, most = self.square.get(source, {}), self.most
-        ranked = []
-        for t in found:
-            kind = t[:2]
-            if kind in NAMES:
-                whole = most * CORNER_SHARE if kind == "c:" else most
-                ranked.append((-max(known[t], whole * NAME_SHARE) if t in known else -whole, t))
-            else:
-                ranked.append((-known.get(t, most), t))
-        ranked.sort()
+        known = self._ready.get(source)
+        if known is None:
+            known = self._ready[source] = {t: -self._length(t, w) for t, w in self.square.get(source, {}).items()}
+        rare, corner = -self.most, -(self.most * CORNER_SHARE)
+        ranked = sorted([(known[t] if t in known else corner if t[:2] == "c:" else rare, t) for t in found])
         whole = left = -sum([w for w, _ in ranked])
         least = bound * bound * whole
         out, parts = [], []
@@ -132,19 +143,25 @@ CORNER_SHARE = 0.45
 NAME_SHARE, NAMES = 0.3, ("b:", "r:", "n:", "c:")
 
 
-def word_grams(text: str) -> set[str]:
-    """Letter trigrams of a title's words, whatever their order."""
-    out = set()
-    for word in WORD.findall(text):
-        padded = f"^{word}$"
-        out.update([padded[k : k + 3] for k in range(len(padded) - 2)])
-    return out
+@lru_cache(1 << 10)
+def word_grams(text: str) -> frozenset[str]:
+    """Letter trigrams of a title's words, whatever their order.
+
+    A title is compared with several others in a row, and words come again in many titles.
+    """
+    return frozenset().union(*map(grams_of, WORD.findall(text)))
+
+
+@lru_cache(1 << 13)
+def grams_of(word: str) -> frozenset[str]:
+    padded = f"^{word}$"
+    return frozenset([padded[k : k + 3] for k in range(len(padded) - 2)])
 
 
 WORD = re.compile(r"[^\W_]+")
 
 
-def dice(a: set[str], b: set[str]) -> float:
+def dice(a: frozenset[str], b: frozenset[str]) -> float:
     return 2 * len(a & b) / max(1, len(a) + len(b))
 
 

@@ -1,10 +1,12 @@
 import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from gridwright.llm.history import HistoryIndex, record_key
+from gridwright.llm import titles as titles_module
+from gridwright.llm.history import TITLES, HistoryIndex, record_key, with_tokens
 from gridwright.llm.titles import normal, same_question, tokens
 
 TITLE = "Macro to merge 41000 dated machines from Norlis40 into K241:P4807 past midnight"
@@ -140,3 +142,27 @@ def test_weights_are_counted_over_every_title(spark):
     assert index.weights.most == pytest.approx(math.log(40_000) ** 6)
     found = index.check(spark.createDataFrame([("so", 1, None, "sum of rows from A8:C8 rarely"), ("so", 2, None, "count of names in Norlis40")], "source string, ord bigint, key string, title string"))
     assert [r["ord"] for r in found.collect()] == [1]
+
+
+def test_a_task_packs_its_counts(spark):
+    rows = [("so", str(k), f"sum of rows from A{k + 1}:C{k + 1} in Norlis{k % 50 + 10}") for k in range(3000)] + [("re", "x", None), (None, "y", "sum of names")]
+    frame = spark.createDataFrame(rows, "source string, key string, title string").coalesce(2)
+    counts = with_tokens(frame).filter("n is not null").collect()
+    assert len(counts) < 200  # each task met some 3,000 tokens and more
+    got, want = Counter(), Counter()
+    for r in counts:
+        for t in r["token"].split(" "):
+            got[r["source"], t] += r["n"]
+    for source, _, title in rows:
+        if title:
+            want.update((source, t) for t in [TITLES, *tokens(normal(title))[0]])
+    assert got == want
+
+
+def test_a_plain_title_needs_no_pattern_for_decoration(monkeypatch):
+    plain = ["sum of rows from A1:C9 in Norlis40", "can a formula merge rows (A1:C9)", "a question about helpers", "[draft] 매크로 질문"]
+    decorated = ["Re: sum", "fwd :sum", "q! sum", "질문: 합계", "급해요!: sum", "sum (Solved) of", "[해결] sum", "sum - help", "sum plz", "sum please", "sum thanks", "sum thanks!", "합계 급합니다", "sum ??", "sum…", "sum.", "sum!", "sum?"]
+    want = [" ".join(titles_module.DECORATION.sub(" ", " ".join(t.replace("…", "...").lower().split())).split()) for t in decorated]
+    assert [normal(t) for t in decorated] == want and all(a != b.lower() for a, b in zip(want, decorated, strict=True))
+    monkeypatch.setattr(titles_module, "DECORATION", None)
+    assert [normal(t) for t in plain] == [t.lower() for t in plain]
